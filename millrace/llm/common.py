@@ -17,6 +17,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Rows per Arrow batch that goes to a Python worker. Whole texts are large, so batches are short.
 BATCH_ROWS = 512
 #: Largest table (bytes as written) that is sent to every executor; larger ones are joined by a shuffle.
@@ -33,7 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings that the operators count on."""
+    """Session settings that the operators count on, and this package on the workers' path."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

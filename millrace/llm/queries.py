@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from . import line_dedup
+from .line_dedup import op5_line_dedup
 from .quality_rules import op3_quality_rules
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules,)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_line_dedup)}
+SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
