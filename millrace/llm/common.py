@@ -76,14 +76,14 @@ def put(uri: str, data: bytes) -> None:
     """Writes a file under another name, then renames it: a task that is run again leaves the same file."""
     files, path = pafs.FileSystem.from_uri(uri)
     part = f"{path}.{uuid.uuid4().hex}.part"
-    with files.open_output_stream(part) as out:
+    with files.open_output_stream(part, compression=None) as out:
         out.write(data)
     files.move(part, path)
 
 
 def get(uri: str) -> bytes:
     files, path = pafs.FileSystem.from_uri(uri)
-    with files.open_input_stream(path) as data:
+    with files.open_input_stream(path, compression=None) as data:
         return data.read()
 
 

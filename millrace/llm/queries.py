@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import line_dedup, warc
 from .line_dedup import op5_line_dedup
+from .quality_model import op9_quality_model
 from .quality_rules import op3_quality_rules
+from .warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_line_dedup)}
-SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_line_dedup, op6_warc, op9_quality_model)}
+SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL, "op6_warc": warc.SQL}
