@@ -6,7 +6,8 @@ from . import line_dedup, warc
 from .line_dedup import op5_line_dedup
 from .quality_model import op9_quality_model
 from .quality_rules import op3_quality_rules
+from .token_codes import op1_token_codes
 from .warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_line_dedup, op6_warc, op9_quality_model)}
+QUERIES = {f.__name__: f for f in (op1_token_codes, op3_quality_rules, op5_line_dedup, op6_warc, op9_quality_model)}
 SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL, "op6_warc": warc.SQL}
