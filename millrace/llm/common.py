@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 
 #: Rows per Arrow batch that goes to a Python worker. Whole texts are large, so batches are short.
-BATCH_ROWS = 512
+BATCH_ROWS = 2048
 #: Largest table (bytes as written) that is sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Sub-keys over which a shuffled join spreads each key of its large side.
