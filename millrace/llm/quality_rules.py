@@ -148,6 +148,29 @@ def quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELL
     Null and empty texts have no words, so base_failed. Repeated rows and ids are judged one by one, each giving a row;
     a null doc_id stays null. An empty table gives no rows. Without usable labels the method's verdict is to keep.
     """
+    weight, least = fit(docs, labels, max_rows)
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_rows(weight), SCHEMA)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(least)))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...], max_rows: int = MAX_LABELLED) -> DataFrame:
+    """The rows of docs that quality_rules keeps: (doc_id, text, *carry), decided beside the texts, without a shuffle."""
+    weight, least = fit(docs, labels, max_rows)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+
+    def run(batches):
+        for batch in batches:
+            texts = common.texts_of(batch.column(1))
+            score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
+            stays = [s >= least and (n := base(x))[0] >= 50 and 100 * n[4] <= 50 * n[0] for x, s in zip(texts, score.tolist())]
+            yield batch.filter(pa.array(stays, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> tuple[np.ndarray, float]:
+    """The weights of 4-grams and the least score to keep."""
     common.prepare(docs.sparkSession)
     sample = labelled(docs, labels, max_rows)
     trusted = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
@@ -160,10 +183,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELL
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["quality", "score"])
 
     known = sample.selectExpr("cast(quality as long) quality", "text").mapInArrow(score_of, "quality long, score double").toPandas()
-    least = threshold(known.score[known.quality == 1].to_numpy(), known.score[known.quality == 0].to_numpy())
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_rows(weight), SCHEMA)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(least)))
+    return weight, threshold(known.score[known.quality == 1].to_numpy(), known.score[known.quality == 0].to_numpy())
 
 
 def op3_quality_rules(spark, sf_dir):
