@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ..profile import DEFAULT, Profile
 
 #: The line ends of str.splitlines.
-LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_END = "\r\n|[\n\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 #: White space that str.strip and str.split know.
-BLANK = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def strip(c: Column) -> Column:

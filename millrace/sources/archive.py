@@ -18,6 +18,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 INDEX_SCHEMA = "crawl_id string, url string, timestamp string, status string, mime string, filename string, offset string, length string, digest string"
@@ -118,7 +119,9 @@ def fetch_ranges(pointers: DataFrame, base: str, tasks: int = 8, timeout: float
 
 # ------------------------------------------------------------------ what a slice holds
 
-PAGE_SCHEMA = "page_title string, meta_description string, pub_date string, pub_date_source string, raw_text string, extraction_method string, extraction_success boolean, extraction_error string, encoding_detected string"
+_TEXTS = ("page_title", "meta_description", "pub_date", "pub_date_source", "raw_text", "extraction_method", "extraction_error", "encoding_detected")
+#: As types, not text: parsing text would need a session on import.
+PAGE_SCHEMA = T.StructType([*(T.StructField(n, T.StringType()) for n in _TEXTS), T.StructField("extraction_success", T.BooleanType())])
 _SKIP = {"aside", "button", "footer", "form", "header", "iframe", "nav", "noscript", "script", "style"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _DATES = ("article:published_time", "datepublished", "date", "dc.date", "dc.date.issued", "og:published_time", "parsely-pub-date", "pubdate", "publish-date", "publishdate", "sailthru.date")
@@ -218,7 +221,7 @@ def read_record(data: bytes) -> tuple[str, str, str]:
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    names = [x.split()[0] for x in PAGE_SCHEMA.split(", ")]
+    names = PAGE_SCHEMA.names
     return pd.DataFrame([[r.get(n, "") for n in names] for r in rows], columns=names)
 
 
