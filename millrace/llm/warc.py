@@ -123,7 +123,7 @@ def _headers(lines: list[bytes]) -> dict[str, str]:
     out = {}
     for line in lines:
         name, colon, value = line.decode().partition(":")
-        if not colon or not name or name != name.strip():
+        if not colon or not name or not all("!" <= c <= "~" for c in name):
             raise WarcError(f"a bad header line: {line[:60]!r}")
         out[name.lower()] = value.strip()
     return out
