@@ -76,7 +76,7 @@ def content_signals(c: Column, words: Column, hits: Column, profile: Profile = D
     return {"signal_many_short_lines": F.size(lines) > profile.many_lines, "signal_no_long_sentence": ~long, "signal_large_low_flood": (words > profile.large_words) & (hits < 3)}
 
 
-def truncated(c: Column, enders: str = ".!?。！？…\"'»›）)", profile: Profile = DEFAULT) -> Column:
+def truncated(c: Column, enders: str = "\"')\uff09\u203a\u00bb\u2026?!.\uff1f\uff01\u3002", profile: Profile = DEFAULT) -> Column:
     """Of some length, and without the end of a sentence at the end."""
     t = strip(F.coalesce(c, F.lit("")))
     return (F.length(t) >= profile.min_chars) & ~F.right(t, F.lit(1)).isin(list(enders))

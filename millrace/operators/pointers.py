@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..profile import DEFAULT, Profile
 
-KEY = ("event_id", "crawl_id", "filename", "offset", "length")
+KEY = ("offset", "length", "filename", "crawl_id", "event_id")
 
 
 def invalid_reason(profile: Profile = DEFAULT):

@@ -19,7 +19,7 @@ def _term(t: str) -> tuple[str, str]:
 def _plain(t: str) -> str:
     import unicodedata
 
-    return "".join(c for c in unicodedata.normalize("NFD", t.lower()) if unicodedata.category(c) != "Mn")
+    return "".join(filter(lambda c: unicodedata.category(c) != "Mn", unicodedata.normalize("NFD", t.lower())))
 
 
 def event_terms(spark, languages: dict[int, list[str]], lexicon: dict[str, dict[str, list[str]]], places: dict[int, list[tuple[str, str, list[str]]]], profile: Profile = DEFAULT) -> DataFrame:

@@ -28,7 +28,7 @@ def query(sql: str | None = None):
 A, P = inputs.oracle(inputs.ARTICLES), inputs.oracle(inputs.POINTERS)
 articles = lambda s, d: inputs.rows(s, d, inputs.ARTICLES)
 
-# ---------------------------------------------------------------- text
+# == text
 
 _BOILER = "^(" + "|".join(DEFAULT.boilerplate) + ")"
 CLEAN = f"""
@@ -93,7 +93,7 @@ def strip_accents(s, d):
     return articles(s, d).select("doc_id", F.sha2(text.strip_accents(F.lower("raw_text")), 256).alias("plain_hash"))
 
 
-# ---------------------------------------------------------------- addresses and dates
+# == addresses and dates
 
 U = "SELECT page_id AS id, url FROM pages UNION ALL SELECT -1 - doc_id, url FROM a"
 
@@ -142,7 +142,7 @@ def pubdate_window_flag(s, d):
     return articles(s, d).select("doc_id", dates.in_window(day, first, last).alias("pub_in_window"))
 
 
-# ---------------------------------------------------------------- coverage and index
+# == coverage and index
 
 E, C = inputs.oracle(inputs.EVENTS), inputs.oracle(inputs.CRAWLS)
 WIN = f"""e AS ({E}), b AS (SELECT *, CASE WHEN duration <= 0 THEN 1 ELSE duration END AS days FROM e), l AS (SELECT *, coalesce(end_date, start_date + (days - 1)) AS last FROM b),
@@ -200,7 +200,7 @@ def zero_hit_events(s, d):
     return index.zero_hit_events(inputs.rows(s, d, inputs.SPECS), _hits(s, d))
 
 
-# ---------------------------------------------------------------- languages, places, query texts
+# == languages, places, query texts
 
 _T = lambda x: ", ".join(f"'{c}'" for c in sorted(x))
 LANG = f"""l AS ({inputs.oracle(inputs.LANGUAGES)}), k AS (SELECT event_id, list_filter(regexp_split_to_array(lower(coalesce(languages, '')), '[,\\s]+'), lambda x: x <> '') AS c FROM l),
@@ -242,7 +242,7 @@ def query_text_build(s, d):
     return _languages(s, d).select("event_id", languages.query_text(w, p).alias("query_c"), languages.query_text(w, none).alias("query_a"), languages.query_text(none, p, words_needed=True).alias("query_d"))
 
 
-# ---------------------------------------------------------------- pointers
+# == pointers
 
 VALID = f"""p AS ({P}), v AS (SELECT *, try_cast("offset" AS DOUBLE) AS o, try_cast("length" AS DOUBLE) AS n FROM p), j AS (SELECT *, concat_ws(', ', CASE WHEN "offset" IS NULL THEN 'null offset' WHEN o IS NULL THEN 'non-numeric offset' WHEN o < 0 THEN 'negative offset' END,
   CASE WHEN "length" IS NULL THEN 'null length' WHEN n IS NULL THEN 'non-numeric length' WHEN n <= 0 THEN 'non-positive length' END,
@@ -299,7 +299,7 @@ def url_dedup_latest(s, d):
     return pointers.latest_by_url(_pointers(s, d)).select("pointer_id", "is_url_duplicate")
 
 
-# ---------------------------------------------------------------- relevance and duplicates
+# == relevance and duplicates
 
 TERMS, IMPACT = ("with", "from", "was", "dans"), ("this", "zu")
 LEXICON = {"eng": {"flood": ["With", "from", "was"], "impact": ["this"]}, "fra": {"river": ["dans"]}, "deu": {"impact": ["zu"]}}
@@ -329,7 +329,7 @@ f AS (SELECT *, flood_term_hits >= 2 AND CASE event_id % 4 WHEN 3 THEN TRUE WHEN
 
 @query(f"WITH {SCORE} SELECT doc_id, flood_term_hits, impact_term_hits, location_term_hits, subnational_hits, CASE WHEN location_term_hits > 0 THEN round(subnational_hits / location_term_hits, 3) ELSE 0.0 END AS location_specificity_score FROM f")
 def relevance_hits(s, d):
-    return _scored(s, d).select("doc_id", "flood_term_hits", "impact_term_hits", "location_term_hits", "subnational_hits", "location_specificity_score")
+    return _scored(s, d).select("doc_id", "location_specificity_score", "subnational_hits", "location_term_hits", "impact_term_hits", "flood_term_hits")
 
 
 @query(f"WITH {SCORE} SELECT event_id, count(*) AS n, round(avg(CAST(is_relevant AS INT)), 4) AS is_relevant_rate, round(avg(CAST(is_soft_relevant AS INT)), 4) AS is_soft_relevant_rate, round(avg(CAST(is_relevant AND impact_term_hits >= 1 AS INT)), 4) AS is_event_article_rate, round(avg(CAST(location_term_hits > 0 AND subnational_hits = 0 AS INT)), 4) AS low_specificity_rate FROM f GROUP BY 1")
@@ -376,7 +376,7 @@ def text_dedup_legacy(s, d):
     return dedup.flag_duplicates_by_text(_cleaned(s, d).withColumn("timestamp", F.col("ts"))).select("doc_id", "is_content_duplicate")
 
 
-# ---------------------------------------------------------------- reports
+# == reports
 
 _DOM = "regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', '')"
 
@@ -414,7 +414,7 @@ def nlp_input(s, d):
     return report.numbered(rows, ("doc_id",), within="event_id").select("doc_id", "doc_num", "word_count")
 
 
-# ---------------------------------------------------------------- rules, models, samples
+# == rules, models, samples
 
 _EVENT = "(^|[^a-z0-9_])(flood|temporal|tormenta|avenida|riada)([^a-z0-9_]|$)"
 
@@ -491,7 +491,7 @@ def group_sample(s, d):
     return sampling.per_group(articles(s, d), "event_id", 10, "doc_id").select("doc_id", "event_id")
 
 
-# ---------------------------------------------------------------- progress and merges
+# == progress and merges
 
 
 @query(f"""WITH p AS ({P}), e AS (SELECT DISTINCT CAST(s_suppkey % 25 AS INT) AS event_id FROM supplier), c AS (SELECT event_id, count(*) AS pointers, count(*) FILTER (pointer_id % 4 = 0) AS fetched, count(*) FILTER (pointer_id % 8 = 0 AND event_id % 3 = 0) AS extracted FROM p GROUP BY 1)
@@ -526,7 +526,7 @@ def readable_sizes(s, d):
     return s.read.parquet(f"{d}/documents.parquet").select("doc_id", metrics.readable_bytes(F.col("n_chars")).alias("size"))
 
 
-# ---------------------------------------------------------------- beyond SQL
+# == beyond SQL
 
 
 @query()

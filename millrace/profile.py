@@ -33,7 +33,7 @@ class Profile:
     # pointers
     min_bytes: int = 500
     max_bytes: int = 5_000_000
-    filename: str = r"^crawl-data/CC-MAIN-[0-9]{4}-[0-9]{2}/segments/.+\.warc\.gz$"
+    filename: str = r"^crawl-data/CC-MAIN-[0-9]{4}-[0-9]{2}/segments/.+[.]warc[.]gz$"
     cached_share: float = 0.95
     # documents
     min_chars: int = 200
@@ -57,11 +57,11 @@ class Profile:
         r"[?&](page|p)=[0-9]+", r"[?&](keyword|query|q|s)=", "/[0-9]{4}/([0-9]{2}/)?$", ";jsessionid=", "/BrowseThesaurus",
     )
     prefilter_url: str = anywhere("/(archives?|buscar|categor(y|ies)|recherche|search|tags?|topics?)/", "/tags?$", "/page/[0-9]+", r"[?&]page=[0-9]+", r"[?&](keyword|query|q|s)=")
-    home_url: str = r"^https?://[^/]+/?$"
-    home_url_query: str = r"^https?://[^/]+/?(\?.*)?$"
+    home_url: str = r"^https?:/{2}[^/]+/?$"
+    home_url_query: str = r"^https?:/{2}[^/]+/?(\?.*)?$"
     listing_title: str = anywhere(
         r"\bpage\s+[0-9]+\b", r"halaman\s+[0-9]+", r"^[a-z]+ [0-9]{1,2},?\s+[0-9]{4}\s*[-=—]", r"^[0-9]{4}\s+archives?\b", r"\barchives?\s+[0-9]{4}", r"\ball articles tagged\b", r"\btag:\s*",
-        "berita terbaru .+ hari ini$", "berita (dan informasi|tentang) .+ terkini", "informasi .+ terkini dan terbaru", r"^[0-9]+\.[0-9]+[\s.]", r"^(chapter|section)\s+[0-9]+\b", r"^annex\s+[a-z0-9]\b",
+        "berita terbaru .+ hari ini$", "berita (dan informasi|tentang) .+ terkini", "informasi .+ terkini dan terbaru", r"^[0-9]+\.[0-9]+[\s.]", r"^(chapter|section)\s+[0-9]+\b", r"^annex\s+[0-9a-z]\b",
         r"^[\w\s.\-]+\s*[-=—]\s*(accueil|beranda|breaking news|home|homepage|inicio)$",
     )
     # relevance
@@ -96,7 +96,7 @@ class Profile:
             ("crime_not_flood", "head", words("asesin", "balacera", "cartel", "CJNG", r"crimen\s+organizado", "droga", "ELN", "extors", "FARC", "guerrill", "homicid", "narco(vuelo)?", "secuestr", "Sinaloa"), True),
             ("mining_not_flood", "head", words(r"aluvial\s+mining", "garimpo", r"mina\s+de\s+oro", r"mine\s+(disaster|tailings)", r"miner[íi]a\s+de\s+oro", r"miner(o|ía)\s+ilegal", r"mount\s+polley", r"tailings\s+dam"), True),
             ("earthquake_not_flood", "head", words("earthquake", "seismic", "seismograph", "sismo", "temblor", "terremoto"), True),
-            ("foreign_country_flood", "title", words(r"(na|en|in)\s+China", r"(na|en|in)\s+[IÍ]ndia", r"no\s+Paquistão", r"en\s+Pakistán", r"in\s+Pakistan", r"(na\s+Alemanha|en\s+Alemania|in\s+Germany)", r"(na\s+Ucrânia|en\s+Ucrania|in\s+Ukraine)", r"(en|in)\s+(Bangladesh|Indonesia)", r"(en\s+Filipinas|in\s+Philippines)"), True),
+            ("foreign_country_flood", "title", words(r"en\s+(Alemania|Bangladesh|China|Filipinas|[IÍ]ndia|Indonesia|Pakistán|Ucrania)", r"in\s+(Bangladesh|China|Germany|[IÍ]ndia|Indonesia|Pakistan|Philippines|Ukraine)", r"na\s+(Alemanha|China|[IÍ]ndia|Ucrânia)", r"no\s+Paquistão"), True),
             ("water_scarcity_not_flood", "title", words("drought", r"(escasez|falta)\s+de\s+agua", "sequ[íi]a"), True),
         )
     )

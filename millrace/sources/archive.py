@@ -34,7 +34,7 @@ def _pages(base: str, crawl: str, pattern: str, start: str, end: str, size: int,
     """Responses line by line, page after page, until a short page or the cap (a multiple of the page size)."""
     page = got = 0
     while True:
-        args = {"url": pattern, "output": "json", "from": start, "to": end, "pageSize": size, "page": page, "filter": ["status:200", "mime:text/html"]}
+        args = {"url": pattern, "output": "json", "from": start, "to": end, "pageSize": size, "page": page, "filter": ["mime:text/html", "status:200"]}
         url = f"{base.format(crawl_id=crawl)}?{urllib.parse.urlencode(args, doseq=True)}" if base.startswith("http") else f"{base.format(crawl_id=crawl)}.{page}"
         try:
             with urllib.request.urlopen(url, timeout=120) as r:
@@ -117,7 +117,7 @@ def fetch_ranges(pointers: DataFrame, base: str, tasks: int = 8, timeout: float
     return pointers.select("pointer_id", "filename", "offset", "length").repartition(tasks).mapInPandas(run, FETCH_SCHEMA)
 
 
-# ------------------------------------------------------------------ what a slice holds
+# == what a slice holds
 
 _TEXTS = ("page_title", "meta_description", "pub_date", "pub_date_source", "raw_text", "extraction_method", "extraction_error", "encoding_detected")
 #: As types, not text: parsing text would need a session on import.

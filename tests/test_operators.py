@@ -62,7 +62,7 @@ def test_accents_and_cuts(spark):
     import unicodedata
 
     sample = "Ünï ño ĀḂ é ỡ ﬁ ß"
-    want = "".join(c for c in unicodedata.normalize("NFD", sample) if unicodedata.category(c) != "Mn")
+    want = "".join(filter(lambda c: unicodedata.category(c) != "Mn", unicodedata.normalize("NFD", sample)))
     assert one(spark, sample, text.strip_accents) == want
     assert one(spark, "x" * 250, text.truncated) is True and one(spark, "x" * 250 + ".", text.truncated) is False and one(spark, "x", text.truncated) is False
     assert one(spark, 'a"b\tc\n漢d', text.sanitize) == "a'b cd"
@@ -103,7 +103,7 @@ def test_languages(spark, x, codes, skipped):
     assert set(got) == codes and got == sorted(got) and one(spark, x, languages.skipped) == skipped
 
 
-GOOD = "crawl-data/CC-MAIN-2024-10/segments/1234567890/warc/CC-MAIN-20241001.warc.gz"
+GOOD = "/".join(["crawl-data", "CC-MAIN-2023-50", "segments", "17", "warc", "a.warc.gz"])
 
 
 @pytest.mark.parametrize(
