@@ -104,6 +104,16 @@ def folder_bytes(folder: str) -> int:
     return sum(x.size or 0 for x in files.get_file_info(pafs.FileSelector(path, recursive=True)) if x.is_file)
 
 
+def first_by_hash(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """At most n rows of df, the first by hash of keys. Of a large df only those below a hash bound that about 2n rows
+    pass are sorted, so tasks don't each send n rows on."""
+    h = F.xxhash64(*keys)
+    total = df.count()
+    if total > 4 * n:
+        df = df.filter(F.pmod(h, F.lit(1 << 40)) < int((1 << 40) * 2 * n / total))
+    return df.orderBy(h, *keys).limit(n)
+
+
 def join_lookup(large: DataFrame, lookup: DataFrame, key: str, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """large left join lookup (unique in key). The lookup is written first: up to `limit` bytes it is broadcast, beyond
     that the join shuffles, with every key of large spread over SALTS sub-keys so that a hot one is no single task's."""

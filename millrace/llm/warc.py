@@ -21,7 +21,7 @@ from . import common
 FRAME = 0xFD2FB528
 DICTIONARY_FRAME = 0x184D2A5D
 DICTIONARY_BYTES = 32 << 10
-#: Pages (the first by hash of their payload) and leading bytes of each on which the dictionary is trained.
+#: Pages (the first by hash) and leading bytes of each on which the dictionary is trained.
 SAMPLE_ROWS, SAMPLE_BYTES = 256, 16 << 10
 LEVEL = 3
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -210,7 +210,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """
     common.prepare(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "html", "url")
-    sample = pages.select("html").filter("length(html) > 0").orderBy(F.xxhash64("html"), "html").limit(SAMPLE_ROWS).select(F.substring("html", 1, SAMPLE_BYTES).alias("html"))
+    sample = common.first_by_hash(pages.select("page_id", F.substring("html", 1, SAMPLE_BYTES).alias("html")), SAMPLE_ROWS, "page_id", "html").filter("length(html) > 0")
     dictionary = train([r.html.encode()[:SAMPLE_BYTES] for r in sample.collect()])
     rows = pages.mapInArrow(_digests, "page_id long, html string, url string, digest string")
     own = rows.select("digest", "page_id").groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("_first"))
