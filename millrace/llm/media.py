@@ -32,7 +32,7 @@ class JpegError(ValueError):
     pass
 
 
-# ---------------------------------------------------------------- writing
+# == writing
 
 
 def _segment(marker: int, body: bytes) -> bytes:
@@ -91,7 +91,7 @@ def encode(text: bytes) -> bytes:
     return head + body[:-2] + b"\xff\xd9"
 
 
-# ---------------------------------------------------------------- reading
+# == reading
 
 
 class Image:
@@ -285,7 +285,7 @@ def payload_of(image: Image, coefficients: np.ndarray) -> tuple[bytes, int]:
     return np.where(values < 0, values + 255, values).astype(np.uint8).tobytes(), n_bytes
 
 
-# ---------------------------------------------------------------- columns
+# == columns
 
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width long, height long"
 #: Coefficients that are decoded at once.
