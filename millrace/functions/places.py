@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import strip
@@ -30,3 +30,20 @@ def parse(raw: Column) -> Column:
     parts = F.flatten(F.transform(parts, lambda x: F.when((F.length(x) > 40) & F.lower(x).contains(" and "), F.split(x, r"(?i)\s+and\s+")).otherwise(F.array(x))))
     names = F.transform(parts, _token)
     return F.array_distinct(F.filter(names, lambda x: (F.length(x) >= 3) & ~x.isin(_FILLER)))
+
+
+def dictionary(events: DataFrame, aliases: DataFrame, countries: list[str], ambiguous: list[str]) -> DataFrame:
+    """(event_id, location_normalised, aliases, level, ambiguous) for each place of events (event_id, country, location,
+    river_basin): the country, its aliases, then places and basins, each once. aliases: (name, alias), a dimension."""
+    known = aliases.select(normalise(F.col("name")).alias("name"), "alias").groupBy("name").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))
+    if known.count() > 100_000:
+        raise ValueError("that many rows are no alias dimension")
+    none = F.array().cast("array<string>")
+    rows = events.withColumn("country", normalise(F.coalesce("country", F.lit("")))).join(F.broadcast(known.select(F.col("name").alias("country"), F.col("aliases").alias("_other"))), "country", "left")
+    other = F.transform(F.coalesce("_other", none), normalise)
+    basin = F.when(~F.lower(F.coalesce("river_basin", F.lit(""))).isin("nan", "n/a", "none", ""), parse(F.col("river_basin"))).otherwise(none)
+    names = F.array_distinct(F.filter(F.concat(F.array("country"), other, parse(F.col("location")), basin), lambda x: x != ""))
+    rows = rows.withColumn("_national", F.array_union(other, F.array("country"))).select("event_id", "_national", F.explode(names).alias("name"))
+    national = F.array_contains("_national", F.col("name")) | F.col("name").isin(countries)
+    rows = rows.join(F.broadcast(known), "name", "left")
+    return rows.select("event_id", F.col("name").alias("location_normalised"), F.coalesce("aliases", none).alias("aliases"), F.when(national, "country").otherwise("subnational").alias("level"), F.col("name").isin(ambiguous).alias("ambiguous"))

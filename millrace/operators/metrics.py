@@ -61,3 +61,35 @@ def progress(events: DataFrame, found: DataFrame, fetched: DataFrame, extracted:
 def readable_bytes(c):
     unit = F.when(c < 1024, F.struct(F.lit(1.0).alias("d"), F.lit("B").alias("u"))).when(c < 1 << 20, F.struct(F.lit(1024.0).alias("d"), F.lit("KB").alias("u"))).when(c < 1 << 30, F.struct(F.lit(float(1 << 20)).alias("d"), F.lit("MB").alias("u"))).otherwise(F.struct(F.lit(float(1 << 30)).alias("d"), F.lit("GB").alias("u")))
     return F.concat(F.format_string("%.1f", c / unit["d"]), F.lit(" "), unit["u"])
+
+
+def dropout(events: DataFrame, hits: DataFrame, clean: DataFrame, accepted: DataFrame) -> DataFrame:
+    """(event_id, dropped_at): where an event leaves the funnel; keys are made distinct first, so no join fans out."""
+    rows = events.select("event_id").distinct()
+    for name, df in (("hits", hits), ("clean", clean), ("accepted", accepted)):
+        rows = rows.join(df.select("event_id").distinct().withColumn(name, F.lit(True)), "event_id", "left")
+    at = F.when(F.col("hits").isNull(), "no_hits").when(F.col("clean").isNull(), "no_text").when(F.col("accepted").isNull(), "all_rejected").otherwise("passed")
+    return rows.select("event_id", at.alias("dropped_at"))
+
+
+def stage_counts(progress_rows: DataFrame) -> DataFrame:
+    """One row of how many events are complete, fetched, begun and not begun."""
+    s = F.col("stages")
+    return progress_rows.agg(F.count_if(s == 3).alias("complete"), F.count_if(s == 2).alias("fetched"), F.count_if(s == 1).alias("begun"), F.count_if(s == 0).alias("not_begun"))
+
+
+def chi_square(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """One row: the statistic and the degrees of freedom of two categories' independence; nulls are left out."""
+    cells = rows.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("o"))
+    ra, rb = (cells.groupBy(c).agg(F.sum("o").alias(f"n_{k}")) for k, c in (("a", a), ("b", b)))
+    total = cells.agg(F.sum("o")).first()[0] or 0
+    # empty cells add their expectation, so the sum needs the filled ones and the total alone
+    filled = cells.join(ra, a).join(rb, b).withColumn("e", F.col("n_a") * F.col("n_b") / F.lit(total))
+    return filled.agg(F.round(F.sum((F.col("o") - F.col("e")) ** 2 / F.col("e") - F.col("e")) + F.lit(total), 6).alias("statistic"), ((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("dof"))
+
+
+def rank_sum(rows: DataFrame, flag: str, value: str) -> DataFrame:
+    """One row: Mann-Whitney's U of the rows with flag 1 against those with 0, ties halved."""
+    counts = rows.filter(F.col(flag).isin(0, 1) & F.col(value).isNotNull()).groupBy(value).agg(F.count_if(F.col(flag) == 1).alias("p"), F.count_if(F.col(flag) == 0).alias("n"))
+    w = Window.partitionBy(F.lit(1)).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("below", F.coalesce(F.sum("n").over(w), F.lit(0))).agg(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)).alias("u"))

@@ -526,6 +526,66 @@ def readable_sizes(s, d):
     return s.read.parquet(f"{d}/documents.parquet").select("doc_id", metrics.readable_bytes(F.col("n_chars")).alias("size"))
 
 
+@query(f"""WITH {GATES}, e AS (SELECT DISTINCT CAST(s_suppkey % 25 AS INT) AS event_id FROM supplier) SELECT e.event_id, CASE WHEN count(r.doc_id) = 0 THEN 'no_hits' WHEN count(*) FILTER (r.reject_reason = '') = 0 THEN 'no_text' WHEN count(*) FILTER (r.reject_reason = '' AND r.doc_id % 9 = 0) = 0 THEN 'all_rejected' ELSE 'passed' END AS dropped_at
+FROM e LEFT JOIN r USING (event_id) GROUP BY 1""")
+def dropout_stage(s, d):
+    events = s.read.parquet(f"{d}/supplier.parquet").select((F.col("s_suppkey") % 25).cast("int").alias("event_id"))
+    kept = _gated(s, d).filter("reject_reason = ''")
+    return metrics.dropout(events, articles(s, d), kept, kept.filter("doc_id % 9 = 0"))
+
+
+@query(f"""WITH p AS ({P}), e AS (SELECT DISTINCT CAST(s_suppkey % 25 AS INT) AS event_id FROM supplier), c AS (SELECT e.event_id, count(p.pointer_id) AS a, count(*) FILTER (p.pointer_id % 4 = 0) AS f, count(*) FILTER (p.pointer_id % 8 = 0 AND p.event_id % 3 = 0) AS x FROM e LEFT JOIN p USING (event_id) GROUP BY 1)
+SELECT count(*) FILTER (x > 0) AS complete, count(*) FILTER (x = 0 AND f > 0) AS fetched, count(*) FILTER (x = 0 AND f = 0 AND a > 0) AS begun, count(*) FILTER (a = 0) AS not_begun FROM c""")
+def progress_counts(s, d):
+    return metrics.stage_counts(progress_summary(s, d))
+
+
+@query(f"""WITH p AS (SELECT *, (pointer_id // 1000) % 300 AS want, CASE WHEN pointer_id % 3 = 0 THEN (pointer_id // 1000) % 300 ELSE (pointer_id // 1000) % 200 END AS got, CASE pointer_id % 7 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN 500 ELSE 206 END AS st FROM ({P}) z),
+r AS (SELECT event_id, st = 206 AND got > 0 AS ok, CASE WHEN st = 206 AND got > 0 AND got <> want THEN 'PARTIAL' WHEN st = 206 AND got > 0 THEN '' WHEN st = 404 THEN 'NOT_FOUND' WHEN st = 503 THEN 'RATE_LIMITED' ELSE 'FAILED' END AS error_type FROM p)
+SELECT event_id, error_type, count(*) AS n, round(avg(CAST(ok AS INT)), 4) AS ok_rate FROM r GROUP BY 1, 2""")
+def fetch_log_summary(s, d):
+    k = F.col("pointer_id")
+    base = F.floor(k / 1000)
+    want, got = base % 300, F.when(k % 3 == 0, base % 300).otherwise(base % 200)
+    status = F.when(k % 7 == 0, 404).when(k % 7 == 1, 503).when(k % 7 == 2, 500).otherwise(206)
+    ok, error = pointers.fetch_result(want, got, status)
+    rows = _pointers(s, d).select("event_id", ok.alias("ok"), error.alias("error_type"))
+    return rows.groupBy("event_id", "error_type").agg(F.count("*").alias("n"), F.round(F.avg(F.col("ok").cast("int")), 4).alias("ok_rate"))
+
+
+@query("SELECT doc_id FROM documents WHERE NOT regexp_matches(lower(left(text, 60)), '(^|[^a-z])(was|und)([^a-z]|$)') AND regexp_matches(lower(left(text, 60)), '(^|[^a-z])(the|der|que)([^a-z]|$)')")
+def title_flood_filter(s, d):
+    title = F.left("text", F.lit(60))
+    return s.read.parquet(f"{d}/documents.parquet").filter(rules.titled(title, "(?i)(^|[^a-z])(the|der|que)([^a-z]|$)", "(?i)(^|[^a-z])(was|und)([^a-z]|$)")).select("doc_id")
+
+
+@query(f"WITH a AS ({A}) SELECT doc_id, event_id, CAST(row_number() OVER (ORDER BY event_id, doc_id % 7 DESC, doc_id) AS INT) AS doc_num FROM a WHERE event_id < 12")
+def merge_splits(s, d):
+    rows = articles(s, d).select("doc_id", "event_id", (F.col("doc_id") % 7).alias("p"))
+    parts = rows.filter("event_id < 5").unionByName(rows.filter("event_id between 5 and 11"))
+    return report.numbered(parts, ("event_id", "p desc", "doc_id")).select("doc_id", "event_id", "doc_num")
+
+
+@query(f"""WITH l AS ({inputs.oracle(inputs.PLACES)}), b AS (SELECT event_id, CASE event_id % 2 WHEN 0 THEN 'peru' ELSE 'united states' END AS c FROM l)
+SELECT event_id, count(*) AS n FROM (SELECT event_id, c AS x FROM b UNION SELECT event_id, unnest(['usa', 'america']) FROM b WHERE c = 'united states' UNION SELECT event_id, 'rimac' FROM b) GROUP BY 1""")
+def location_dictionary(s, d):
+    events = inputs.rows(s, d, inputs.PLACES).select("event_id", F.when(F.col("event_id") % 2 == 0, "Peru").otherwise("United States.").alias("country"), F.lit(None).cast("string").alias("location"), F.lit("Rimac").alias("river_basin"))
+    aliases = s.createDataFrame([("united states", "USA"), ("United States", "America"), ("rimac", "Río Rímac")], "name string, alias string")
+    return places.dictionary(events, aliases, ["peru"], []).groupBy("event_id").agg(F.count("*").alias("n"))
+
+
+@query("""WITH c AS (SELECT quality, toxic, count(*) AS o FROM labels GROUP BY 1, 2), a AS (SELECT quality, sum(o) AS na FROM c GROUP BY 1), b AS (SELECT toxic, sum(o) AS nb FROM c GROUP BY 1), t AS (SELECT sum(o) AS n FROM c)
+SELECT round(sum((coalesce(o, 0) - na * nb / n) ** 2 / (na * nb / n)), 6) AS statistic, CAST((count(DISTINCT a.quality) - 1) * (count(DISTINCT b.toxic) - 1) AS BIGINT) AS dof FROM a, b, t LEFT JOIN c ON c.quality = a.quality AND c.toxic = b.toxic""")
+def label_independence(s, d):
+    return metrics.chi_square(s.read.parquet(f"{d}/labels.parquet"), "quality", "toxic")
+
+
+@query("SELECT CAST(sum(CASE WHEN p.n_chars > n.n_chars THEN 1.0 WHEN p.n_chars = n.n_chars THEN 0.5 ELSE 0 END) AS DOUBLE) AS u FROM (SELECT n_chars FROM documents JOIN labels USING (doc_id) WHERE quality = 1) p, (SELECT n_chars FROM documents JOIN labels USING (doc_id) WHERE quality = 0) n")
+def length_rank_sum(s, d):
+    rows = s.read.parquet(f"{d}/labels.parquet").join(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "n_chars"), "doc_id")
+    return metrics.rank_sum(rows, "quality", "n_chars")
+
+
 # == beyond SQL
 
 

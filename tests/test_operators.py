@@ -278,3 +278,13 @@ def test_refine(spark):
     kept, rejected = refine(articles, terms, wanted, windows)
     assert {r.doc_id: (r.is_content_duplicate, r.pub_in_window) for r in kept.collect()} == {1: (False, True), 2: (True, None)}
     assert {r.doc_id: r.reject_reason for r in rejected.collect()} == {3: "char_count_too_short", 4: "tag_or_index_page"}
+
+
+def test_place_dictionary(spark):
+    events = spark.createDataFrame([(1, "Peru", "Lima (Rimac), Callao", "n/a"), (2, "United States", None, "Guadalupe")], "event_id int, country string, location string, river_basin string")
+    aliases = spark.createDataFrame([("united states", "USA"), ("lima", "Ciudad de Lima")], "name string, alias string")
+    got = {(r.event_id, r.location_normalised): (r.aliases, r.level, r.ambiguous) for r in places.dictionary(events, aliases, ["peru"], ["rimac"]).collect()}
+    assert got == {
+        (1, "peru"): ([], "country", False), (1, "lima"): (["Ciudad de Lima"], "subnational", False), (1, "callao"): ([], "subnational", False), (1, "rimac"): ([], "subnational", True),
+        (2, "united states"): (["USA"], "country", False), (2, "usa"): ([], "country", False), (2, "guadalupe"): ([], "subnational", False),
+    }
