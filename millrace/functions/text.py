@@ -17,15 +17,19 @@ LINE_END = "\r\n|[\n\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+#: The same characters, for trimming without a pattern.
+_BLANKS = "".join(chr(i) for i in (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, f"^{BLANK}+", ""), f"{BLANK}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def clean_text(raw: Column, profile: Profile = DEFAULT) -> Column:
     """Lines trimmed and their runs of spaces collapsed, boilerplate lines dropped, at most one blank line in a row.
     Null is empty."""
     drop = "(?iu)^(" + "|".join(profile.boilerplate) + ")"
-    lines = F.transform(F.split(F.coalesce(raw, F.lit("")), LINE_END), lambda x: strip(F.regexp_replace(x, " {2,}", " ")))
+    lines = F.transform(F.split(F.regexp_replace(F.coalesce(raw, F.lit("")), " {2,}", " "), LINE_END), strip)
     kept = F.filter(lines, lambda x: ~x.rlike(drop))
     return strip(F.regexp_replace(F.array_join(kept, "\n"), "\n{3,}", "\n\n"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.plan import spread
+
 ARTICLES = """
 SELECT doc_id, CAST(substr(source, 4) AS INT) AS event_id, coalesce(text, '') AS raw_text, lang, n_chars,
   concat('https://', CASE WHEN doc_id % 3 = 0 THEN 'www.' ELSE '' END, 'Site', CAST(doc_id % 37 AS STRING), '.example.com',
@@ -63,7 +65,8 @@ def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The DataFrame of one of the above."""
     name = sql[sql.index("{") + 1 : sql.index("}")]
     body = sql.replace('AS "offset"', "AS offset").replace('AS "length"', "AS length")
-    return spark.sql(body, **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet")})
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.sql(body, **{name: spread(table) if name == "documents" else table})
 
 
 def oracle(sql: str) -> str:

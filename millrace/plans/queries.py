@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates, languages, places, text, urls
+from ..functions.plan import filter_here, spread
 from ..operators import classify, coverage, dedup, gates, index, metrics, pointers, relevance, report, rules, sampling
 from ..profile import DEFAULT
 from ..session import ship
@@ -358,7 +359,7 @@ k2 AS (SELECT *, NOT by_url AND row_number() OVER (PARTITION BY event_id, by_url
 
 
 def _deduped(s, d):
-    return dedup.flag_duplicates(_gated(s, d).filter("reject_reason = ''"))
+    return dedup.flag_duplicates(filter_here(_gated(s, d), "reject_reason = ''"))
 
 
 @query(f"WITH {DEDUP} SELECT doc_id, by_url OR by_text AS is_content_duplicate, CASE WHEN NOT by_url THEN sha256(event_id || '|' || h) ELSE '' END AS duplicate_group_id, NOT (by_url OR by_text) AND event_id > owner AS cross_event_shared FROM k2")
@@ -393,13 +394,13 @@ def domain_cap_report(s, d):
 @query(f"""WITH {SCORE}, x AS (SELECT *, is_relevant AND impact_term_hits >= 1 AS ev FROM f WHERE is_relevant OR is_soft_relevant)
 SELECT doc_id, event_id, CAST(row_number() OVER (ORDER BY event_id, CAST(ev AS INT) DESC, CAST(is_relevant AS INT) DESC, flood_term_hits DESC, doc_id) AS INT) AS doc_num, CASE WHEN flood_term_hits >= 2 AND location_term_hits >= 1 THEN sha256(regexp_replace(regexp_replace(replace(regexp_replace(clean_text, '\\n{{2,}}', ' || ', 'g'), chr(10), ' '), ' {{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g')) ELSE '' END AS cell FROM x""")
 def report_numbered(s, d):
-    rows = report.with_text_cell(_scored(s, d).filter(F.col("is_relevant") | F.col("is_soft_relevant")))
+    rows = report.with_text_cell(filter_here(_scored(s, d), "is_relevant or is_soft_relevant"))
     return report.numbered(rows).select("doc_id", "event_id", "doc_num", text.text_hash(F.col("clean_text_relevant")).alias("cell"))
 
 
 @query(f"WITH {SCORE} SELECT doc_id, event_id, flood_term_hits FROM f WHERE is_relevant ORDER BY flood_term_hits DESC, doc_id LIMIT 25")
 def top_relevant(s, d):
-    return _scored(s, d).filter("is_relevant").orderBy(F.desc("flood_term_hits"), "doc_id").select("doc_id", "event_id", "flood_term_hits").limit(25)
+    return filter_here(_scored(s, d), "is_relevant").orderBy(F.desc("flood_term_hits"), "doc_id").select("doc_id", "event_id", "flood_term_hits").limit(25)
 
 
 @query(f"WITH a AS ({A}) SELECT doc_id FROM a WHERE event_id % 3 = 0 OR contains(lower(page_title), 'the') OR contains(lower(page_title), 'und ')")
@@ -410,7 +411,7 @@ def title_location_filter(s, d):
 
 @query(f"WITH {SCORE} SELECT doc_id, CAST(row_number() OVER (PARTITION BY event_id ORDER BY doc_id) AS INT) AS doc_num, word_count FROM f WHERE is_soft_relevant OR is_relevant")
 def nlp_input(s, d):
-    rows = _scored(s, d).filter(F.col("is_relevant") | F.col("is_soft_relevant"))
+    rows = filter_here(_scored(s, d), "is_relevant or is_soft_relevant")
     return report.numbered(rows, ("doc_id",), within="event_id").select("doc_id", "doc_num", "word_count")
 
 
@@ -530,7 +531,7 @@ def readable_sizes(s, d):
 FROM e LEFT JOIN r USING (event_id) GROUP BY 1""")
 def dropout_stage(s, d):
     events = s.read.parquet(f"{d}/supplier.parquet").select((F.col("s_suppkey") % 25).cast("int").alias("event_id"))
-    kept = _gated(s, d).filter("reject_reason = ''")
+    kept = filter_here(_gated(s, d), "reject_reason = ''")
     return metrics.dropout(events, articles(s, d), kept, kept.filter("doc_id % 9 = 0"))
 
 
@@ -593,7 +594,7 @@ def length_rank_sum(s, d):
 def html_title_text(s, d):
     """Pages' titles, descriptions, dates and texts, by an HTML parser."""
     ship(s)
-    rows = s.read.parquet(f"{d}/pages.parquet").withColumn("p", archive.extract_html("html"))
+    rows = spread(s.read.parquet(f"{d}/pages.parquet")).withColumn("p", archive.extract_html("html"))
     return rows.select("page_id", "p.page_title", "p.raw_text", "p.extraction_method", "p.pub_date", dates.url_date(F.col("url")).alias("url_day"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, languages
+from ..functions.plan import filter_here
 from ..operators import classify, dedup, gates, relevance
 from ..profile import DEFAULT, Profile
 
@@ -24,5 +25,5 @@ def refine(articles: DataFrame, terms: DataFrame, wanted: DataFrame, windows: Da
     rows = relevance.score(rows, terms, profile)
     rows = rows.withColumn("pub_in_window", dates.in_window(F.col("pub_date"), F.col("window_start"), F.col("window_end")))
     rows = rows.withColumn("reject_reason", gates.first_reason(F.nullif("_early", F.lit("")), gates.language_mismatch(), gates.no_terms())).drop("_early", "query_codes", "skipped")
-    kept = dedup.flag_duplicates(rows.filter("reject_reason = ''").drop("reject_reason"), profile)
-    return kept, rows.filter("reject_reason <> ''")
+    kept = dedup.flag_duplicates(filter_here(rows, "reject_reason = ''").drop("reject_reason"), profile)
+    return kept, filter_here(rows, "reject_reason <> ''")
