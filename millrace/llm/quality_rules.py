@@ -138,7 +138,7 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -
     """(quality, toxic, text) of at most max_rows labelled documents, the same ones on every run. That bound makes the
     label side fit for a broadcast, so texts aren't shuffled."""
     rows = labels.select("doc_id", "quality", "toxic").filter("doc_id is not null and quality is not null").dropDuplicates(["doc_id"])
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = common.first_by_hash(rows, max_rows, "doc_id")
     return common.written(docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("quality", "toxic", "text"), "labelled")
 
 
