@@ -41,7 +41,7 @@ def dictionary(events: DataFrame, aliases: DataFrame, countries: list[str], ambi
     none = F.array().cast("array<string>")
     rows = events.withColumn("country", normalise(F.coalesce("country", F.lit("")))).join(F.broadcast(known.select(F.col("name").alias("country"), F.col("aliases").alias("_other"))), "country", "left")
     other = F.transform(F.coalesce("_other", none), normalise)
-    basin = F.when(~F.lower(F.coalesce("river_basin", F.lit(""))).isin("nan", "n/a", "none", ""), parse(F.col("river_basin"))).otherwise(none)
+    basin = F.when(~F.lower(F.coalesce("river_basin", F.lit(""))).isin("", "n/a", "nan", "none"), parse(F.col("river_basin"))).otherwise(none)
     names = F.array_distinct(F.filter(F.concat(F.array("country"), other, parse(F.col("location")), basin), lambda x: x != ""))
     rows = rows.withColumn("_national", F.array_union(other, F.array("country"))).select("event_id", "_national", F.explode(names).alias("name"))
     national = F.array_contains("_national", F.col("name")) | F.col("name").isin(countries)
