@@ -2,7 +2,7 @@
 
 Documents are spread over shards of about SHARD_DOCS by hash. A shard's ids are written as one file; document
 frequencies and the mean length are counted over all documents. Then each shard builds its inverted index and packs: a
-seed opens a sequence, its weightiest terms query the index, and the unused neighbours follow in the order of their
+seed opens a sequence, all of its terms query the index, and the unused neighbours follow in the order of their
 scores (after them, unused documents in order) until the sequence is full. What a cut leaves over seeds the next.
 """
 
@@ -22,8 +22,8 @@ LENGTH = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_DOCS = 5000
-#: Terms of a seed that query the index: those of the largest weight.
-QUERY_TERMS = 32
+#: Terms of a seed that query the index: None, so all of them.
+QUERY_TERMS = None
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -86,18 +86,15 @@ class Index:
         self.n, self.doc = len(lengths), doc
         self.impact = (idf[token] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
         self.start = np.searchsorted(token, np.arange(len(idf) + 1))
-        # the query of each document: its postings of the largest impact, by document
-        alone = (self.start[token + 1] - self.start[token]) < 2  # terms that no other document here has
-        order = np.lexsort((token, -np.where(alone, -1.0, self.impact), doc))
-        self.query_token, self.query_alone = token[order], alone[order]
+        # the query of each document: all of its terms that another document here has
+        shared = np.flatnonzero(self.start[token + 1] - self.start[token] > 1)
+        order = shared[np.argsort(doc[shared], kind="stable")]
+        self.query_token = token[order]
         self.query_start = np.searchsorted(doc[order], np.arange(self.n + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         out = np.zeros(self.n, np.float32)
-        a, b = self.query_start[seed], self.query_start[seed + 1]
-        for t, alone in zip(self.query_token[a : min(b, a + QUERY_TERMS)].tolist(), self.query_alone[a : min(b, a + QUERY_TERMS)].tolist()):
-            if alone:
-                break
+        for t in self.query_token[self.query_start[seed] : self.query_start[seed + 1]].tolist():
             i, j = self.start[t], self.start[t + 1]
             out[self.doc[i:j]] += self.impact[i:j]
         return out

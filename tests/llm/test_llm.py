@@ -537,6 +537,18 @@ def test_bm25_and_order():
     assert follow == int(s.argmax())
 
 
+def test_all_terms_of_a_seed_count():
+    rng = np.random.default_rng(9)
+    docs = [rng.permutation(200)[:n] for n in rng.integers(60, 150, 20)]  # far more terms than 32
+    lengths, ids = np.array([len(x) for x in docs]), np.concatenate(docs).astype(np.uint16)
+    df = np.bincount(ids, minlength=200).astype(float)
+    idf, mean = np.log1p((20 - df + 0.5) / (df + 0.5)), lengths.mean()
+    index = packing.Index(lengths, ids, idf, mean)
+    for seed in range(20):
+        want = [sum(idf[t] * 2.2 / (1 + 1.2 * (0.25 + 0.75 * lengths[d] / mean)) for t in set(docs[seed]) & set(docs[d]) if df[t] > 1) for d in range(20)]
+        assert np.allclose(index.scores(seed), want, atol=1e-4)
+
+
 # the list of queries
 
 
