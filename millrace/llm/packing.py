@@ -1,15 +1,21 @@
 """Lexical retrieval packing: sequences of a fixed length, each a seed document and its unused BM25 neighbours.
 
-Documents are spread over shards of about SHARD_DOCS by hash. A shard's ids are written as one file; document
-frequencies and the mean length are counted over all documents. Then each shard builds its inverted index and packs: a
-seed opens a sequence, all of its terms query the index, and the unused neighbours follow in the order of their
-scores (after them, unused documents in order) until the sequence is full. What a cut leaves over seeds the next.
+Documents are spread over shards of about SHARD_DOCS by hash, whose ids and postings are written as files; document
+frequencies and the mean length are counted over all documents. A seed opens a sequence, all of its terms query every
+shard, and the unused neighbours of the whole corpus follow in the order of their scores (after them, unused documents
+in order) until the sequence is full. What a cut leaves over seeds another one.
+
+Sequences are filled in rounds. Those open in a round query the documents left, indexed anew in groups of shards; the
+driver merges each seed's NEIGHBOURS best of all groups and hands them out in order. A seed whose list is used up before
+its sequence is full stays open and queries again in the next round, so a list's length is no limit.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from array import array
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +30,15 @@ END_ID = 1
 SHARD_DOCS = 5000
 #: Terms of a seed that query the index: None, so all of them.
 QUERY_TERMS = None
+#: Documents of an index, and neighbours that a seed takes from it at a time.
+GROUP_DOCS = 20_000
+NEIGHBOURS = 16
+#: In a round, the sequences that one part in SHARE of the tokens left would fill are open.
+SHARE = 4
+#: Bytes of neighbours that a round brings to the driver: fewer sequences are open over many groups.
+ROUND_BYTES = 128 << 20
+#: Terms that more than one document in DENSE of an index has are multiplied as a matrix, for ROWS seeds at a time.
+DENSE, ROWS = 16, 256
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -60,7 +75,11 @@ def _tokenise(folder: str, path: str, end_id: int):
         lengths = np.array([len(d[2]) for d in docs], np.int64) // encoder.dtype.itemsize
         ids = np.frombuffer(b"".join(d[2] for d in docs), encoder.dtype)
         common.put(f"{folder}/shard-{shard:06d}.ids", pack_shard([x if known else None for known, x, _ in docs], lengths, ids))
-        _, token, _ = postings(lengths, ids)
+        doc, token, tf = postings(lengths, ids)
+        order = np.argsort(doc, kind="stable")
+        common.put(f"{folder}/shard-{shard:06d}.sizes", np.stack([lengths, np.bincount(doc, minlength=len(docs))]).astype("<i8").tobytes())
+        common.put(f"{folder}/shard-{shard:06d}.terms", token[order].astype(encoder.dtype).tobytes())
+        common.put(f"{folder}/shard-{shard:06d}.tf", zlib.compress(tf[order].astype("<u4").tobytes(), 1))
         used, df = np.unique(token, return_counts=True)
         names = ["shard", "token", "n"]
         key = np.concatenate([[-1, -2], used.astype(np.int64)])
@@ -78,10 +97,10 @@ def postings(lengths: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Index:
-    """A shard's inverted index with BM25 impacts; idf and mean length are those of the whole corpus."""
+    """An inverted index with BM25 impacts; idf and mean length are those of the whole corpus. pairs: the postings, if known."""
 
-    def __init__(self, lengths: np.ndarray, ids: np.ndarray, idf: np.ndarray, mean_length: float):
-        doc, token, tf = postings(lengths, ids)
+    def __init__(self, lengths: np.ndarray, ids: np.ndarray | None, idf: np.ndarray, mean_length: float, pairs: tuple | None = None):
+        doc, token, tf = pairs or postings(lengths, ids)
         norm = K1 * (1 - B + B * lengths / mean_length)
         self.n, self.doc = len(lengths), doc
         self.impact = (idf[token] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
@@ -99,9 +118,49 @@ class Index:
             out[self.doc[i:j]] += self.impact[i:j]
         return out
 
+    def nearest(self, terms: np.ndarray, ends: np.ndarray, k: int):
+        """(query, documents, scores) of each query's k best documents above 0, the best first; query q has the terms up
+        to ends[q]."""
+        size = np.diff(self.start)
+        common_terms = np.flatnonzero(size * DENSE > self.n)
+        column = np.full(len(size), -1)
+        column[common_terms] = np.arange(len(common_terms))
+        width = -(-self.n // 64) * 64
+        dense = np.zeros((len(common_terms), width), np.float32)
+        for c, t in enumerate(common_terms.tolist()):
+            i, j = self.start[t], self.start[t + 1]
+            dense[c, self.doc[i:j]] = self.impact[i:j]
+        starts = np.concatenate([[0], ends[:-1]])
+        for a in range(0, len(ends), ROWS):
+            b = min(len(ends), a + ROWS)
+            of = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
+            own = terms[starts[a] : ends[b - 1]].astype(np.int64)
+            at = column[own]
+            query = np.zeros((b - a, len(common_terms)), np.float32)
+            query[of[at >= 0], at[at >= 0]] = 1
+            scores = query @ dense
+            rest = (at < 0) & (size[own] > 0)
+            of, own = of[rest], own[rest]
+            cut = np.searchsorted(of, np.arange(b - a + 1))
+            for q in range(b - a):
+                if cut[q] < cut[q + 1]:
+                    t = own[cut[q] : cut[q + 1]]
+                    n = size[t]
+                    found = np.arange(n.sum()) + np.repeat(self.start[t] - np.cumsum(n) + n, n)
+                    np.add.at(scores[q], self.doc[found], self.impact[found])
+            # the k-th largest of the maxima of pieces is no more than the k-th largest of all
+            least = np.zeros(b - a, np.float32)
+            if width // 64 > k:
+                least = np.partition(scores.reshape(b - a, -1, 64).max(2), -k, axis=1)[:, -k]
+            for q in range(b - a):
+                found = np.flatnonzero(scores[q] >= least[q]) if least[q] > 0 else np.flatnonzero(scores[q])
+                found = found[np.argsort(-scores[q, found], kind="stable")[:k]]
+                yield a + q, found, scores[q, found]
+
 
 def pack(lengths: np.ndarray, scores_of, length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of each piece. scores_of(seed): a fresh array, above 0 for neighbours."""
+    """One sequence after another, for a corpus of one index: (document, start, length, sequence, offset) of each piece.
+    scores_of(seed): a fresh array, above 0 for neighbours."""
     n, used, out = len(lengths), np.zeros(len(lengths), bool), []
     sequence, offset, following, seed = 0, 0, 0, None
     scores = None
@@ -141,24 +200,139 @@ def pack(lengths: np.ndarray, scores_of, length: int = LENGTH) -> list[tuple[int
                 scores[used] = 0
 
 
-def _pack(folder: str, dtype, idf: np.ndarray, mean_length: float, length: int):
+def _nearest(folder: str, dtype, shared, made: list[int], idf: np.ndarray, mean_length: float):
+    """Rows of a group of shards to its best documents for each seed: the seed's number, and arrays of documents by
+    their numbers in the corpus and of scores."""
+
+    def run(batches):
+        left, first, terms, ends = shared.value
+        for batch in batches:
+            for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                here = np.flatnonzero(left[first[a] : first[b]])
+                if not len(here):
+                    continue
+                lengths, token, tf, doc = [], [], [], []
+                for k in range(a, b):
+                    name = f"{folder}/shard-{made[k]:06d}"
+                    size = np.frombuffer(common.get(f"{name}.sizes"), "<i8").reshape(2, -1)
+                    lengths.append(size[0])
+                    token.append(np.frombuffer(common.get(f"{name}.terms"), dtype))
+                    tf.append(np.frombuffer(zlib.decompress(common.get(f"{name}.tf")), "<u4"))
+                    doc.append(np.repeat(np.arange(size.shape[1]) + first[k] - first[a], size[1]))
+                number = np.full(first[b] - first[a], -1)
+                number[here] = np.arange(len(here))
+                token, tf, doc = np.concatenate(token), np.concatenate(tf), number[np.concatenate(doc)]
+                order = np.flatnonzero(doc >= 0)
+                order = order[np.argsort(token[order], kind="stable")]
+                index = Index(np.concatenate(lengths)[here], None, idf, mean_length, (doc[order], token[order].astype(np.int64), tf[order]))
+                best = [(q, (here[d] + first[a]).astype("<i8").tobytes(), x.tobytes()) for q, d, x in index.nearest(terms, ends, NEIGHBOURS) if len(d)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*best), (pa.int64(), pa.binary(), pa.binary()))] if best else [pa.array([], t) for t in (pa.int64(), pa.binary(), pa.binary())], ["seed", "docs", "scores"])
+
+    return run
+
+
+def _terms_of(folder: str, dtype, made: list[int], first: np.ndarray, ranges: list[np.ndarray], docs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of docs in a row, and where those of each end."""
+    out: list[bytes] = [b""] * len(docs)
+    shard = np.searchsorted(first, docs, "right") - 1
+    for s in np.unique(shard).tolist():
+        files, path = common.pafs.FileSystem.from_uri(f"{folder}/shard-{made[s]:06d}.terms")
+        with files.open_input_file(path) as data:
+            for k in np.flatnonzero(shard == s).tolist():
+                i, j = ranges[s][docs[k] - first[s] : docs[k] - first[s] + 2].tolist()
+                out[k] = data.read_at((j - i) * dtype.itemsize, i * dtype.itemsize)
+    return np.frombuffer(b"".join(out), dtype), np.cumsum([len(x) // dtype.itemsize for x in out])
+
+
+def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mean_length: float, length: int, group: int) -> None:
+    """Writes the pieces of each shard's documents, rows of (document, start, length, sequence, offset), beside them."""
+    sizes = [np.frombuffer(common.get(f"{folder}/shard-{s:06d}.sizes"), "<i8").reshape(2, -1) for s in made]
+    first = np.concatenate([[0], np.cumsum([x.shape[1] for x in sizes])])
+    ranges = [np.concatenate([[0], np.cumsum(x[1])]) for x in sizes]
+    total = np.concatenate([x[0] for x in sizes])
+    left = total.copy()
+    groups = [(a, min(a + group, len(made))) for a in range(0, len(made), group)]
+    tasks = spark.createDataFrame(groups, "a long, b long").repartitionByRange(len(groups), "a")
+    pieces = array("q")  # five numbers each
+    filled: list[int] = []  # tokens of each sequence
+    most = max(1, ROUND_BYTES // (len(groups) * NEIGHBOURS * 12))
+    open_: list[tuple[int, int]] = []  # sequence, seed
+    cut: deque[int] = deque()
+    following, rest = 0, int(total.sum())
+
+    def put(doc: int, sequence: int) -> None:
+        nonlocal rest
+        take = min(int(left[doc]), length - filled[sequence])
+        pieces.extend((doc, int(total[doc] - left[doc]), take, sequence, filled[sequence]))
+        left[doc] -= take
+        rest -= take
+        filled[sequence] += take
+        if left[doc]:
+            cut.append(doc)
+
+    def unused() -> int:
+        nonlocal following
+        while cut:
+            if left[doc := cut.popleft()]:
+                return doc
+        while not left[following]:
+            following += 1
+        return following
+
+    while rest:
+        while rest and len(open_) < min(most, max(1, rest // (length * SHARE))):
+            filled.append(0)
+            put(doc := unused(), len(filled) - 1)
+            if filled[-1] < length:
+                open_.append((len(filled) - 1, doc))
+        if not open_ or not rest:
+            continue
+        terms, ends = _terms_of(folder, dtype, made, first, ranges, [d for _, d in open_])
+        shared = spark.sparkContext.broadcast((left > 0, first, terms, ends))
+        found: list[list] = [[] for _ in open_]
+        for r in tasks.mapInArrow(_nearest(folder, dtype, shared, made, idf, mean_length), "seed long, docs binary, scores binary").toArrow().to_batches():
+            for q, d, x in zip(*(c.to_pylist() for c in r.columns)):
+                found[q].append((d, x))
+        shared.destroy()
+        still = []
+        for (sequence, seed), own in zip(open_, found):
+            docs, score = np.frombuffer(b"".join(d for d, _ in own), "<i8"), np.frombuffer(b"".join(x for _, x in own), np.float32)
+            best = docs[np.lexsort((docs, -score))][:NEIGHBOURS].tolist()
+            for doc in best:
+                if left[doc]:
+                    put(doc, sequence)
+                    if filled[sequence] == length:
+                        break
+            while len(best) < NEIGHBOURS and filled[sequence] < length and rest:  # no neighbour is left
+                put(unused(), sequence)
+            if filled[sequence] < length:
+                still.append((sequence, seed))
+        open_ = still
+    rows = np.frombuffer(pieces, np.int64).reshape(-1, 5)
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    ends = np.searchsorted(rows[:, 0], first)
+    for k, s in enumerate(made):
+        own = rows[ends[k] : ends[k + 1]].copy()
+        own[:, 0] -= first[k]
+        common.put(f"{folder}/shard-{s:06d}.pieces", own.astype("<i8").tobytes())
+
+
+def _pieces(folder: str, dtype):
     def run(batches):
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 doc_ids, lengths, ids = read_shard(common.get(f"{folder}/shard-{shard:06d}.ids"), dtype)
-                index = Index(lengths, ids, idf, mean_length)
                 first = np.concatenate([[0], np.cumsum(lengths)])
-                rows = pack(lengths, index.scores, length)
-                crc = [zlib.crc32(ids[first[d] + s : first[d] + s + k].astype("<u4")) for d, s, k, _, _ in rows]
-                doc, start, size, sequence, offset = (np.array(c, np.int64) for c in zip(*rows))
-                columns = [pa.array([doc_ids[d] for d in doc.tolist()], pa.int64()), pa.array(start), pa.array(size), pa.array(crc, pa.int64()), pa.array(lengths[doc]), pa.array(sequence | shard << 32), pa.array(offset)]
+                doc, start, size, sequence, offset = np.frombuffer(common.get(f"{folder}/shard-{shard:06d}.pieces"), "<i8").reshape(-1, 5).T
+                crc = [zlib.crc32(ids[a : a + k].astype("<u4")) for a, k in zip((first[doc] + start).tolist(), size.tolist())]
+                columns = [pa.array([doc_ids[d] for d in doc.tolist()], pa.int64()), pa.array(start), pa.array(size), pa.array(crc, pa.int64()), pa.array(lengths[doc]), pa.array(sequence), pa.array(offset)]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCHEMA.split(", ")])
 
     return run
 
 
 def retrieval_packing(docs: DataFrame, path: str, end_id: int = END_ID, length: int = LENGTH, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """SCHEMA's row for each piece of docs (doc_id, text); only the last sequence of a shard is not full.
+    """SCHEMA's row for each piece of docs (doc_id, text); only the last sequence is not full.
 
     A null or empty text is just the end id. Repeated rows and equal doc_ids (null too) are documents of their own, each
     with all of its pieces. A text longer than a sequence runs on through the next ones. No rows: none.
@@ -180,8 +354,10 @@ def retrieval_packing(docs: DataFrame, path: str, end_id: int = END_ID, length:
             df[r.token] = r.n
     n = total.get(-1, 0)
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    made = rows.filter("token = -1").select("shard")
-    return made.repartitionByRange(shards, "shard").mapInArrow(_pack(folder, encoder.dtype, idf, total.get(-2, 1) / max(1, n), length), SCHEMA)
+    made = sorted(r.shard for r in rows.filter("token = -1").select("shard").collect())
+    if made:
+        pack_corpus(spark, folder, encoder.dtype, made, idf, total[-2] / n, length, max(1, GROUP_DOCS // shard_docs))
+    return rows.filter("token = -1").select("shard").repartitionByRange(shards, "shard").mapInArrow(_pieces(folder, encoder.dtype), SCHEMA)
 
 
 def op10_packing(spark, sf_dir):

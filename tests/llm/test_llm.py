@@ -549,6 +549,39 @@ def test_all_terms_of_a_seed_count():
         assert np.allclose(index.scores(seed), want, atol=1e-4)
 
 
+def test_nearest_is_the_sort(monkeypatch):
+    rng = np.random.default_rng(6)
+    docs = [(rng.zipf(1.3, n) % 400).astype(np.uint16) for n in rng.integers(5, 90, 3000)]
+    lengths, ids = np.array([len(x) for x in docs]), np.concatenate(docs)
+    df = np.bincount(packing.postings(lengths, ids)[1], minlength=400).astype(float)
+    index = packing.Index(lengths, ids, np.log1p((3000 - df + 0.5) / (df + 0.5)), lengths.mean())
+    queries_ = [np.unique(x) for x in docs[:300]]
+    for q, found, got in index.nearest(np.concatenate(queries_), np.cumsum([len(x) for x in queries_]), 16):
+        scores = index.scores(q)
+        for t in queries_[q]:  # scores() leaves out terms that only the seed has
+            if df[t] == 1:
+                scores[q] += index.impact[index.start[t]]
+        assert np.allclose(got, np.sort(scores)[::-1][:16], atol=1e-3) and np.allclose(got, scores[found], atol=1e-3)
+
+
+def test_neighbours_come_from_other_shards(spark):
+    # pairs that share words no other document has: each must lie together, wherever the hash put the two
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(9))
+    pairs = []
+    for i in range(60):
+        own = [word() for _ in range(12)]
+        pairs += [(i, " ".join(own)), (1000 + i, " ".join(own[::-1]))]
+    path = tokens.public(packing.TOKENIZER)
+    got = packing.retrieval_packing(spark.createDataFrame(pairs, "doc_id long, text string"), path, length=1024, shard_docs=10).toPandas()
+    assert (got.groupby("sequence_id").length.sum() < 1024).sum() <= 1
+    where = {}
+    for r in got.sort_values(["sequence_id", "offset"]).itertuples():
+        where.setdefault(r.doc_id, []).append(r.sequence_id)
+    whole = [i for i in range(60) if len(where[i]) == len(where[1000 + i]) == 1]
+    assert len(whole) > 30 and sum(where[i] == where[1000 + i] for i in whole) > 0.6 * len(whole)
+
+
 # the list of queries
 
 
