@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS = 1 << 16
-#: Labelled rows (the first by hash of the id) that the trusted multinomial and the threshold are fitted on.
+#: Labelled rows (the first by hash of the id) that op4's classifier is fitted on.
 MAX_LABELLED = 20_000
 #: Pseudo-4-grams that the trusted multinomial takes from the raw one.
 PRIOR = 4096.0
+#: Pieces of a unit of the score by which the labelled rows are counted for the threshold.
+STEPS = 1 << 14
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))
@@ -119,19 +121,26 @@ def _rows(weight: np.ndarray):
     return run
 
 
-def threshold(good: np.ndarray, bad: np.ndarray) -> float:
-    """The middle of the widest of the gaps between scores that leave fewest labelled rows on the wrong side, each side
-    weighed by its number and a wrongly dropped good row ten times as much. Without good or bad rows: everything stays."""
-    if not len(good) or not len(bad):
+def threshold(low: np.ndarray, high: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """Of steps of the score in order (the lowest and highest score, and the labelled rows of each kind): the middle of
+    the widest of the gaps between steps that leave fewest labelled rows on the wrong side, each side weighed by its
+    number and a wrongly dropped good row ten times as much. Without good or bad rows: everything stays."""
+    if not good.sum() or not bad.sum():
         return float("-inf")
-    cuts = np.unique(np.concatenate([good, bad]))
-    lost = np.searchsorted(np.sort(good), cuts, "left") / len(good)
-    passed = 1 - np.searchsorted(np.sort(bad), cuts, "left") / len(bad)
+    lost = (np.cumsum(good) - good) / good.sum()
+    passed = 1 - (np.cumsum(bad) - bad) / bad.sum()
     cost = 10 * lost + passed
-    best = np.flatnonzero(cost == cost.min())
-    below = np.where(best > 0, cuts[np.maximum(best - 1, 0)], cuts[best])
-    k = int(np.argmax(cuts[best] - below))
-    return float((cuts[best[k]] + below[k]) / 2)
+    best = np.flatnonzero(cost <= cost.min() + 1e-12)
+    below = np.where(best > 0, high[np.maximum(best - 1, 0)], low[best])
+    k = int(np.argmax(low[best] - below))
+    return float((low[best[k]] + below[k]) / 2)
+
+
+def known(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(quality, toxic, text) of all labelled documents."""
+    rows = labels.selectExpr("cast(doc_id as long) doc_id", "quality", "toxic").filter("doc_id is not null and quality is not null").dropDuplicates(["doc_id"])
+    docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter("doc_id is not null")
+    return common.join_lookup(docs, rows, "doc_id", "labels").filter("quality is not null").select("quality", "toxic", "text")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
@@ -142,21 +151,21 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -
     return common.written(docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("quality", "toxic", "text"), "labelled")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, counts, score, base_failed and kept for each row of docs (doc_id, text).
 
     Null and empty texts have no words, so base_failed. Repeated rows and ids are judged one by one, each giving a row;
     a null doc_id stays null. An empty table gives no rows. Without usable labels the method's verdict is to keep.
     """
-    weight, least = fit(docs, labels, max_rows)
+    weight, least = fit(docs, labels)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_rows(weight), SCHEMA)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(least)))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...], max_rows: int = MAX_LABELLED) -> DataFrame:
+def kept_documents(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     """The rows of docs that quality_rules keeps: (doc_id, text, *carry), decided beside the texts, without a shuffle."""
-    weight, least = fit(docs, labels, max_rows)
+    weight, least = fit(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
 
     def run(batches):
@@ -169,12 +178,12 @@ def kept_documents(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...], m
     return rows.mapInArrow(run, rows.schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """The weights of 4-grams and the least score to keep."""
     common.prepare(docs.sparkSession)
-    sample = labelled(docs, labels, max_rows)
+    judged = known(docs, labels)
     trusted = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    weight = weights(counts(sample.filter(trusted)), counts(docs))
+    weight = weights(counts(judged.filter(trusted)), counts(docs))
 
     def score_of(batches):
         for batch in batches:
@@ -182,8 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> tup
             score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["quality", "score"])
 
-    known = sample.selectExpr("cast(quality as long) quality", "text").mapInArrow(score_of, "quality long, score double").toPandas()
-    return weight, threshold(known.score[known.quality == 1].to_numpy(), known.score[known.quality == 0].to_numpy())
+    rows = judged.selectExpr("cast(quality as long) quality", "text").mapInArrow(score_of, "quality long, score double")
+    ones = [F.sum((F.col("quality") == q).cast("long")).alias(name) for name, q in (("good", 1), ("bad", 0))]
+    steps = rows.filter("quality in (0, 1)").groupBy(F.floor(F.col("score") * STEPS).alias("step")).agg(F.min("score").alias("low"), F.max("score").alias("high"), *ones)
+    steps = steps.toPandas().sort_values("step")  # STEPS a unit of the score at most
+    return weight, threshold(*(steps[c].to_numpy() for c in ("low", "high", "good", "bad")))
 
 
 def op3_quality_rules(spark, sf_dir):

@@ -255,6 +255,25 @@ def test_rules_on_labelled_documents(spark, sf):
     assert judged[judged.quality == 1].kept.mean() > 0.99 and judged[judged.quality == 0].kept.mean() < 0.05
 
 
+def test_rules_count_all_labels(spark, docs, rows, labels, monkeypatch):
+    labels = labels.filter("doc_id <> 6")  # two labels that differ
+    marks = {r.doc_id: r for r in labels.collect() if r.doc_id is not None and r.quality is not None}
+    want = quality_rules.weights(target_of(rows, marks), quality_rules.counts(docs))
+    monkeypatch.setattr(quality_rules, "MAX_LABELLED", 3)
+    monkeypatch.setattr(quality_rules.common, "first_by_hash", lambda df, n, *keys: df.limit(3))
+    weight, least = quality_rules.fit(docs, labels)
+    assert np.allclose(weight, want) and np.isfinite(least)
+
+
+def target_of(rows, marks):
+    out = np.zeros(quality_rules.BUCKETS)
+    for i, x in rows:
+        if i in marks and marks[i].quality == 1 and not marks[i].toxic:
+            code, inside, _ = quality_rules.grams([(x or "").encode()])
+            out += np.bincount(code[inside], minlength=quality_rules.BUCKETS)
+    return out
+
+
 # 4
 
 
