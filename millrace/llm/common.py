@@ -8,19 +8,23 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
 
-#: Rows per Arrow batch that goes to a Python worker. Whole texts are large, so batches are short.
-BATCH_ROWS = 2048
+#: Rows and bytes of text that a worker handles at once; a longer text stands alone. The session's own bounds on Arrow
+#: batches (rows, and 64 MB by default) stay as they are.
+BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
 #: Largest table (bytes as written) that is sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Sub-keys over which a shuffled join spreads each key of its large side.
@@ -35,20 +39,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings that the operators count on, and this package on the workers' path."""
+    """This package on the workers' path. No session setting is changed."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def small(batches):
+    """Slices of the batches, in order, of at most BATCH_ROWS rows and about BATCH_BYTES of text and binary values."""
+    for batch in batches:
+        wide = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type) or pa.types.is_binary(c.type)]
+        size = sum((pc.binary_length(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in wide), np.zeros(batch.num_rows, np.int64))
+        ends, at = np.cumsum(size), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = min(at + BATCH_ROWS, max(at + 1, int(np.searchsorted(ends, before + BATCH_BYTES, "right"))))
+            yield batch.slice(at, to - at)
+            at = to
+        if not batch.num_rows:
+            yield batch
+
+
+def shared_base(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session, or the folder that setCheckpointDir has set. Where neither is set, a local
+    session (as in tests) gets a folder of its own; a cluster has none that all executors see, so there it is an error."""
+    if base := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return base
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _unset:
+        _unset[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
+    return _unset[app]
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors see. Only where that is unset (tests) is one made."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _unset:
-            _unset[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
-            spark.sparkContext.setCheckpointDir(_unset[app])
-        base = _unset[app]
+    """A new folder under the shared one. It goes when the driver exits; see scratch() for an earlier end."""
+    base = shared_base(spark)
     if "://" not in base:
         base = "file://" + os.path.abspath(base.removeprefix("file:"))
     folder = f"{base.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
@@ -58,6 +83,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
+@contextmanager
+def scratch():
+    """Deletes the folders that were made within it, but for those that `keep` is called with: for steps whose tables
+    nothing lazy reads afterwards."""
+    before, kept = len(_made), set()
+    try:
+        yield kept.add
+    finally:
+        for folder in [x for x in _made[before:] if x not in kept]:
+            drop_folder(folder)
+            _made.remove(folder)
+
+
 def drop_folder(folder: str) -> None:
     files, path = pafs.FileSystem.from_uri(folder)
     try:
@@ -120,7 +158,7 @@ def join_lookup(large: DataFrame, lookup: DataFrame, key: str, name: str, limit:
     small, folder = written_at(lookup, name)
     if folder_bytes(folder) <= limit:
         return large.join(F.broadcast(small), key, "left")
-    salt = F.pmod(F.xxhash64(*[c for c, kind in large.dtypes if kind in ("bigint", "string")]), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")  # row by row: equal rows are spread too
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return large.withColumn("_salt", salt).join(spread, [key, "_salt"], "left").drop("_salt")
 

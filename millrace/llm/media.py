@@ -293,7 +293,7 @@ DECODE_AT_ONCE = 1 << 20
 
 
 def _encode(batches):
-    for batch in batches:
+    for batch in common.small(batches):
         texts = common.texts_of(batch.column(1))
         for a, b in common.pieces(texts, 4 << 20):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([encode(x) for x in texts[a:b]], pa.binary())], ["doc_id", "media"])
@@ -326,7 +326,7 @@ def decode_all(media: list[bytes]) -> list[tuple[Image, np.ndarray]]:
 
 
 def _features(batches):
-    for batch in batches:
+    for batch in common.small(batches):
         ids, media = batch.column(0), batch.column(1).to_pylist()
         for a, b in common.pieces(media, 4 << 20):
             rows = []

@@ -67,7 +67,7 @@ def _tokenise(folder: str, path: str, end_id: int):
         shard, encoder = TaskContext.get().partitionId(), tokens.encoder(path)
         end = np.array([end_id], encoder.dtype).tobytes()
         docs = []
-        for batch in batches:
+        for batch in common.small(batches):
             docs += ((x is not None, x or 0, encoder.encode(t or "") + end) for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
         if not docs:
             return

@@ -51,7 +51,7 @@ def statistics(text: bytes) -> list[float]:
 
 
 def _features(batches):
-    for batch in batches:
+    for batch in common.small(batches):
         rows = np.array([statistics(x) for x in common.texts_of(batch.column(1))], np.float64).reshape(-1, D)
         values = pa.ListArray.from_arrays(pa.array(np.arange(0, D * len(rows) + 1, D, dtype=np.int32)), pa.array(rows.ravel()))
         yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "x"])
