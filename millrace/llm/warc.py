@@ -112,9 +112,9 @@ def frames(data: bytes):
     unpacker = zstandard.ZstdDecompressor(dict_data=_dictionary(stored)) if stored else zstandard.ZstdDecompressor()
     at = 8 + size
     while at < len(data):
-        end = frame_end(data, at)
-        if 0x184D2A50 <= struct.unpack_from("<I", data, at)[0] <= 0x184D2A5F:
+        if data[at + 1 : at + 4] == b"\x2a\x4d\x18" and 0x50 <= data[at] <= 0x5F:
             raise WarcError(f"a second skippable frame at byte {at}")
+        end = frame_end(data, at)
         yield unpacker.decompress(data[at:end])
         at = end
 
@@ -172,6 +172,8 @@ def _write(folder: str, dictionary: bytes):
     def run(batches):
         from pyspark import TaskContext
 
+        batches = common.small(batches)
+
         part, k, held, size, names, rows = TaskContext.get().partitionId(), 0, [], 0, [], []
 
         def flush():
@@ -196,7 +198,7 @@ def _write(folder: str, dictionary: bytes):
 
 
 def _digests(batches):
-    for batch in batches:
+    for batch in common.small(batches):
         payloads = [(x or "").encode() for x in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([payload_digest(x) for x in payloads], pa.string())], ["page_id", "html", "url", "digest"])
 
