@@ -108,6 +108,47 @@ class Codes:
         return rest
 
 
+class CodeFile:
+    """Random access to a file that isn't read: self[i] takes a byte, a block of the bitmap and a directory entry a level."""
+
+    def __init__(self, uri: str):
+        files, path = common.pafs.FileSystem.from_uri(uri)
+        self._file = files.open_input_file(path)
+        head = self._file.read_at(32, 0)
+        if head[:8] != MAGIC:
+            raise ValueError("no file of token codes")
+        docs, self.n, levels = struct.unpack_from("<QQQ", head, 8)
+        at, self._levels = 32 + 9 * docs + 8 * (docs + 1), []
+        for _ in range(levels):
+            n = struct.unpack("<Q", self._file.read_at(8, at))[0]
+            blocks = -(-max(1, n) // BLOCK)
+            self._levels.append((at + 8, at + 8 + n, at + 8 + n + blocks * (BLOCK // 8)))
+            at += 8 + n + blocks * (BLOCK // 8) + 8 * (blocks + 1)
+        if at != self._file.size():
+            raise ValueError("the file's parts don't add up")
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: int) -> int:
+        if not 0 <= i < self.n:
+            raise IndexError(i)
+        out = shift = 0
+        for chunks, bitmap, directory in self._levels:
+            out |= self._file.read_at(1, chunks + i)[0] << shift
+            block, bit = divmod(i, BLOCK)
+            bits = np.frombuffer(self._file.read_at(BLOCK // 8, bitmap + block * (BLOCK // 8)), np.uint8)
+            if not bits[bit >> 3] >> (bit & 7) & 1:
+                break
+            ahead = struct.unpack("<Q", self._file.read_at(8, directory + 8 * block))[0]
+            i = ahead + int(_ONES[bits[: bit >> 3]].sum()) + int(_ONES[bits[bit >> 3] & ((1 << (bit & 7)) - 1)])
+            shift += 8
+        return out
+
+    def close(self) -> None:
+        self._file.close()
+
+
 def _name(part: int, k: int) -> str:
     return f"part-{part:06d}-{k:05d}.codes"
 
@@ -129,7 +170,7 @@ def _write(folder: str, path: str, end_id: int):
             files.append((part, len(files), len(ids)))
             common.put(f"{folder}/{_name(part, files[-1][1])}", pack(doc_ids, [len(x) for x in held], ids))
 
-        for batch in batches:
+        for batch in common.small(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.concatenate([np.frombuffer(encoder.encode(text or ""), encoder.dtype).astype("<u4"), end])
                 if held and size + len(ids) > FILE_IDS:
@@ -151,7 +192,8 @@ def write_codes(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -
     common.prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc())  # the second splits a hot id over partitions
+    # the second splits a hot id over partitions, the third a hot row
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.pmod(F.monotonically_increasing_id(), F.lit(997)).asc())
     rows = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return common.written(rows.mapInArrow(_write(folder, path, end_id), "part long, k long, n long"), "code-files")
 
