@@ -21,6 +21,8 @@ BUCKETS = 1 << 16
 MAX_LABELLED = 20_000
 #: Pseudo-4-grams that the trusted multinomial takes from the raw one.
 PRIOR = 4096.0
+#: Weights are whole multiples of 1 / UNIT, so their sums are exact: a score depends on nothing but its text.
+UNIT = 1 << 24
 #: Pieces of a unit of the score by which the labelled rows are counted for the threshold.
 STEPS = 1 << 14
 SPACE = b" \t\n\r\x0b\x0c"
@@ -48,7 +50,7 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _count(batches):
     counts = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
+    for batch in common.small(batches):
         texts = common.texts_of(batch.column(0))
         for a, b in common.pieces(texts):
             code, inside, _ = grams(texts[a:b])
@@ -67,24 +69,24 @@ def counts(docs: DataFrame) -> np.ndarray:
 
 
 def weights(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """log p_target - log p_raw by bucket. Without target or raw counts: zero."""
+    """log p_target - log p_raw by bucket, in units of 1 / UNIT. Without target or raw counts: zero."""
     if not target.sum() or not raw.sum():
-        return np.zeros(BUCKETS, np.float32)
+        return np.zeros(BUCKETS, np.int64)
     p_raw = (raw + 0.5) / (raw.sum() + 0.5 * BUCKETS)
     p_target = (target + PRIOR * p_raw) / (target.sum() + PRIOR)
-    return np.log(p_target / p_raw).astype(np.float32)
+    return np.rint(np.log(p_target / p_raw) * UNIT).astype(np.int64)
 
 
 def scores(texts: list[bytes], weight: np.ndarray) -> np.ndarray:
-    """Mean weight of each text's 4-grams; 0 for a text without any."""
+    """Mean weight of each text's 4-grams; 0 for a text without any. The same whatever texts stand beside it."""
     code, inside, offsets = grams(texts)
     if not len(code):
         return np.zeros(len(texts))
-    w = np.where(inside, weight[code], np.float32(0)).astype(np.float64)
-    total = np.concatenate([[0.0], np.cumsum(w)])
+    w = np.where(inside, weight[code], 0)
+    total = np.concatenate([[0], np.cumsum(w)])
     end = np.minimum(offsets, len(w))
     n = np.maximum(np.diff(offsets) - 3, 0)
-    return np.where(n > 0, (total[end[1:]] - total[end[:-1]]) / np.maximum(n, 1), 0.0)
+    return np.where(n > 0, (total[end[1:]] - total[end[:-1]]) / np.maximum(n * UNIT, 1), 0.0)
 
 
 def base(text: bytes) -> tuple[int, int, int, int, int]:
@@ -111,7 +113,7 @@ def base(text: bytes) -> tuple[int, int, int, int, int]:
 
 def _rows(weight: np.ndarray):
     def run(batches):
-        for batch in batches:
+        for batch in common.small(batches):
             texts = common.texts_of(batch.column(1))
             stats = np.array([base(x) for x in texts], np.int64).reshape(-1, 5)
             score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
@@ -164,12 +166,16 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...]) -> DataFrame:
-    """The rows of docs that quality_rules keeps: (doc_id, text, *carry), decided beside the texts, without a shuffle."""
+    """The rows of docs that quality_rules keeps: (doc_id, text, *carry), decided beside the texts, without a shuffle.
+
+    Null, empty and other texts of under 50 words go, so no rows may be left; null ids and repeated rows are judged one
+    by one; columns that carry doesn't name are left out.
+    """
     weight, least = fit(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
 
     def run(batches):
-        for batch in batches:
+        for batch in common.small(batches):
             texts = common.texts_of(batch.column(1))
             score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
             stays = [s >= least and (n := base(x))[0] >= 50 and 100 * n[4] <= 50 * n[0] for x, s in zip(texts, score.tolist())]
@@ -186,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     weight = weights(counts(judged.filter(trusted)), counts(docs))
 
     def score_of(batches):
-        for batch in batches:
+        for batch in common.small(batches):
             texts = common.texts_of(batch.column(1))
             score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["quality", "score"])
