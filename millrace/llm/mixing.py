@@ -14,6 +14,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def _half(text: bytes) -> bool:
 
 def _word_counts(batches):
     n: list[Counter] = [Counter() for _ in range(K)]
-    for batch in batches:
+    for batch in common.small(batches):
         for quality, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.texts_of(batch.column(2))):
             if _half(text):
                 n[domain_of(quality, toxic)].update([b"", *words_of(text)])  # the empty word counts documents
@@ -85,13 +86,12 @@ def vector(text: bytes, weight: dict[bytes, tuple[float, ...]]) -> list[float]:
     return [1.0, *statistics(text), *sums.tolist(), *top.tolist(), *np.log1p((own > STRONG).sum(0)).tolist()]
 
 
-def _vectors(weight: dict, labels: bool):
+def _vectors(weight: dict):
     def run(batches):
-        for batch in batches:
+        for batch in common.small(batches):
             texts = common.texts_of(batch.column(batch.num_columns - 1))
-            if labels:
-                rows = [(domain_of(q, t), vector(x, weight)) for q, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts) if not _half(x)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["y", "x"])
+            rows = [(domain_of(q, t), vector(x, weight)) for q, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts) if not _half(x)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["y", "x"])
 
     return run
 
@@ -135,28 +135,52 @@ class Posterior:
 def fit_posterior(sample: DataFrame) -> tuple[dict, Posterior | None]:
     """Word weights and the regression; None without labelled rows of two domains, when every document is the first's."""
     weight = word_weights(sample)
-    rows = sample.select("quality", "toxic", "text").mapInArrow(_vectors(weight, True), "y long, x array<double>").collect()
+    rows = sample.select("quality", "toxic", "text").mapInArrow(_vectors(weight), "y long, x array<double>").collect()
     y = np.array([r.y for r in rows], np.int64)
     if len(np.unique(y)) < 2:
         return weight, None
     return weight, Posterior(np.array([r.x for r in rows]), y)
 
 
-def posteriors(docs: DataFrame, weight: dict, model: Posterior | None) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>...) of docs; tokens are words between white space."""
+#: The golden ratio's part: its multiples fill 0 to 1 evenly.
+_GOLDEN = 0.6180339887498949
+
+
+class Uniform:
+    """A number from 0 to 1 for each row of a task, by hash of its id and text; rows that repeat one move on by the golden
+    ratio, so they aren't all rounded alike."""
+
+    def __init__(self):
+        self.seen: Counter = Counter()
+
+    def __call__(self, doc: int | None, text: bytes) -> float:
+        h = xxhash.xxh64_intdigest(text, seed=xxhash.xxh64_intdigest(b"" if doc is None else b"%d" % doc))
+        k = self.seen[h]
+        self.seen[h] += 1
+        return ((h >> 11) / (1 << 53) + k * _GOLDEN) % 1.0
+
+
+def posteriors(docs: DataFrame, weight: dict, model: Posterior | None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_tokens, p_<domain>..., uniform), with carry also text and those, of docs; tokens are words between
+    white space."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    more = ["text", *carry] if carry else []
+    names = ["doc_id", "n_tokens", *(f"p_{k}" for k in DOMAINS), "uniform"]
+    schema = ", ".join(["doc_id long, n_tokens long", *(f"p_{k} double" for k in DOMAINS), "uniform double", *(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in more)])
 
     def run(batches):
-        for batch in batches:
+        uniform = Uniform()
+        for batch in common.small(batches):
             texts = common.texts_of(batch.column(1))
             if model is None:
                 p = np.tile(np.eye(K)[0], (len(texts), 1))
             else:
                 p = model(np.array([vector(x, weight) for x in texts]).reshape(-1, X))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x.split()) for x in texts], pa.int64()), *(pa.array(p[:, k]) for k in range(K))], names)
+            own = [uniform(i, x) for i, x in zip(batch.column(0).to_pylist(), texts)]
+            columns = [batch.column(0), pa.array([len(x.split()) for x in texts], pa.int64()), *(pa.array(p[:, k]) for k in range(K)), pa.array(own, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns + batch.columns[1:] if more else columns, names + more)
 
-    names = ["doc_id", "n_tokens", *(f"p_{k}" for k in DOMAINS)]
-    schema = "doc_id long, n_tokens long, " + ", ".join(f"p_{k} double" for k in DOMAINS)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _rate(step: np.ndarray):
@@ -224,46 +248,49 @@ def fit_rates(rows: DataFrame, targets: dict[str, float]) -> np.ndarray:
     return step
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rows: int = MAX_LABELLED) -> tuple[DataFrame, np.ndarray, tuple]:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rows: int = MAX_LABELLED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """posteriors of docs with the rate of each. Posteriors are written once; the steps read their columns alone."""
     common.prepare(docs.sparkSession)
     weight, model = fit_posterior(labelled(docs, labels, max_rows))
-    rows = common.written(posteriors(docs, weight, model), "posteriors")
-    return rows, fit_rates(rows, targets or TARGETS), (weight, model)
+    rows = common.written(posteriors(docs, weight, model, carry), "posteriors")
+    return rows.withColumn("rate", _rate(fit_rates(rows, targets or TARGETS)))
 
 
 def copies(rate):
-    """Whole copies with the rate as their mean, the same on every run: the id's hash is the uniform number."""
-    uniform = F.pmod(F.xxhash64(F.lit("copies"), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    return F.floor(rate + uniform).cast("long")
+    """Whole copies with the rate as their mean, the same on every run over the same files."""
+    return F.floor(rate + F.col("uniform")).cast("long")
+
+
+def totals(rates: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """(domain, natural, asked, aimed, expected, drawn) of document_rates' rows: a domain's tokens as they are, as the
+    targets ask of all tokens, as they can be had (see reachable), as the rates make them, and as the whole copies do.
+    Where aimed differs from asked, the target is out of reach. No rows: zeros."""
+    t = [[F.sum(x * F.col("n_tokens") * F.col(f"p_{k}")) for k in DOMAINS] for x in (F.lit(1.0), F.col("rate"), F.col("copies"))]
+    got = np.array([float(v or 0) for v in rates.agg(*(c.alias(f"c{i}") for i, c in enumerate(sum(t, [])))).first()]).reshape(3, K)
+    share = np.array([(targets or TARGETS).get(k, 0.0) for k in DOMAINS])
+    aimed = reachable(got[0], targets or TARGETS)
+    rows = [(k, *map(float, (got[0, i], share[i] / share.sum() * got[0].sum(), aimed[i], got[1, i], got[2, i]))) for i, k in enumerate(DOMAINS)]
+    return rates.sparkSession.createDataFrame(rows, "domain string, natural double, asked double, aimed double, expected double, drawn double")
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rows: int = MAX_LABELLED) -> DataFrame:
     """(doc_id, n_tokens, p_<domain>..., rate, copies) for every row of docs (doc_id, text).
 
     Null and empty texts have no tokens: they take a rate but move no total. Repeated rows count each. A null doc_id is
-    kept as null. Labels need doc_id, quality and toxic; a null toxic is 0, rows with a null quality are left out.
+    kept as null. Repeated rows are rounded one by one. Labels need doc_id, quality and toxic; a null toxic is 0, rows with a null quality are left out.
     Without labels of two domains every document is of the first one. An empty table gives no rows.
     """
-    rows, step, _ = mixed(docs, labels, targets, max_rows)
-    rows = rows.withColumn("rate", _rate(step))
-    return rows.withColumn("copies", copies(F.col("rate")))
+    return mixed(docs, labels, targets, max_rows).withColumn("copies", copies(F.col("rate"))).drop("uniform")
 
 
 def remix(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...], targets: dict[str, float] | None = None, max_rows: int = MAX_LABELLED) -> DataFrame:
-    """docs (doc_id, text, *carry), each row as often as its copies say. Rates are computed beside the texts, so
-    neither is shuffled."""
-    _, step, (weight, model) = mixed(docs, labels, targets, max_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
-    schema = ", ".join(["doc_id long", *(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("text", *carry)), "_rate double"])
+    """docs (doc_id, text, *carry), each row as often as its copies say. Texts lie beside their posteriors, so they aren't
+    shuffled.
 
-    def run(batches):
-        for batch in batches:
-            texts = common.texts_of(batch.column(1))
-            p = np.tile(np.eye(K)[0], (len(texts), 1)) if model is None else model(np.array([vector(x, weight) for x in texts]).reshape(-1, X))
-            rate = np.clip(1 + p @ step, 0, MAX_RATE)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], ["doc_id", "text", *carry, "_rate"])
-
-    rows = rows.mapInArrow(run, schema).withColumn("_copies", copies(F.col("_rate"))).filter("_copies > 0")
+    Null and empty texts take a rate like others; null ids and repeated rows are rounded one by one; texts count whole;
+    columns that carry doesn't name are left out. No rows: none.
+    """
+    rows = mixed(docs, labels, targets, max_rows, carry).withColumn("_copies", copies(F.col("rate"))).filter("_copies > 0")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("doc_id", "text", *carry)
 
 
