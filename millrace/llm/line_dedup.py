@@ -1,13 +1,16 @@
 """Line dedup: two Bloom filters (seen once, seen twice) name the suspects; only those shuffle for exact confirmation.
 
-Map tasks turn the keys of their documents into bit positions of a filter that is split by hash into shards of a fixed
-size, sized for the table by its number of rows. A shard's reducer streams the tasks' bits: the bits that a task shares
-with the once-filter so far go into the twice-filter. Collisions only add suspects; no repeat is missed.
+A map task writes its documents' keys (digests, with their documents) to a file, and sends each of the filters' shards
+the 64-bit hashes of its keys that fall there. A shard's reducer puts them into its once- and twice-filter, then answers
+every sender with a bit a hash: is it in the twice-filter. With those bits a task reads its file again and emits the
+suspects. So the filters never leave their reducers, and their number grows with the table: no size is too large for
+them. Collisions only add suspects; no repeat is missed.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 
 import numpy as np
@@ -20,14 +23,12 @@ from . import common
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-#: Bits of a shard of the filters, bits a line, and lines a document that they are sized for. More lines only raise the
-#: share of false suspects.
+#: Bits of a shard of each filter, and bits for each line that the table can have at most.
 SHARD_BITS = 1 << 22
 LINE_BITS = 16
-DOC_LINES = 16
 SPACE = b" \t\n\r\x0b\x0c"
-#: Positions that a map task holds before it emits them.
-FLUSH = 1 << 20
+#: Lines of a file.
+FLUSH = 1 << 18
 
 
 def key_of(line: bytes, min_chars: int) -> bytes | None:
@@ -52,106 +53,142 @@ def bits_of(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Shard of each hash, and its two bits there: (n,) and (n, 2)."""
     a = (hashes & np.uint64(SHARD_BITS - 1)).astype(np.int64)
     b = (hashes >> np.uint64(22) & np.uint64(SHARD_BITS - 1)).astype(np.int64)
-    return (hashes >> np.uint64(44)).astype(np.int64) % shards, np.stack([a, b], 1)
+    return (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % shards, np.stack([a, b], 1)
 
 
-def _hashes(text: bytes, min_chars: int) -> list[int]:
-    return [xxhash.xxh64_intdigest(k) for k in keys_of(text, min_chars)]
+ROW = np.dtype([("hash", "<u8"), ("key", "V16"), ("doc", "<i8"), ("null", "?"), ("text", "<u8")])
 
 
-def _partial(shards: int, min_chars: int):
-    def flush(found: list[int]):
-        h, n = np.unique(np.array(found, np.uint64), return_counts=True)
-        shard, bits = bits_of(h, shards)
-        order = np.argsort(shard, kind="stable")
-        ends = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in range(shards):
-            own = order[ends[s] : ends[s + 1]]
-            if len(own):
-                pack = lambda x: zlib.compress(np.diff(np.unique(x), prepend=0).astype(np.uint32).tobytes(), 1)
-                yield s, pack(bits[own].ravel()), pack(bits[own[n[own] > 1]].ravel())
+def _send(folder: str, shards: int, min_chars: int, lines: int):
+    """(shard, source, hashes, dup) of the keys of each `lines` lines; the lines' rows go to the source's file. Hashes are
+    in order and each once; dup has a bit for those that the source has in several documents."""
+
+    def flush(found: list):
+        rows = np.array(found, ROW)
+        shard, _ = bits_of(rows["hash"], shards)
+        rows = rows[np.lexsort((rows["hash"], shard))]
+        source = uuid.uuid4().int >> 65  # not the partition: a task that is run again answers for its own file
+        common.put(f"{folder}/{source}.lines", zlib.compress(rows.tobytes(), 1))
+        h, n = np.unique(rows["hash"], return_counts=True)
+        own, _ = bits_of(h, shards)
+        order = np.argsort(own, kind="stable")
+        ends = np.searchsorted(own[order], np.arange(shards + 1))
+        filled = [(s, order[ends[s] : ends[s + 1]]) for s in range(shards) if ends[s] < ends[s + 1]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([s for s, _ in filled], pa.int32()), pa.array([source] * len(filled), pa.int64()), pa.array([h[x].tobytes() for _, x in filled], pa.binary()), pa.array([np.packbits(n[x] > 1).tobytes() for _, x in filled], pa.binary())],
+            ["shard", "source", "hashes", "dup"],
+        )
 
     def run(batches):
-        found: list[int] = []
-        for batch in batches:
-            out = []
-            for text in common.texts_of(batch.column(0)):
-                found += _hashes(text, min_chars)
-                if len(found) >= FLUSH:
-                    out += flush(found)
+        found: list = []
+        for batch in common.small(batches):
+            for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch.column(1))):
+                if keys := keys_of(text, min_chars):
+                    own = (0 if doc is None else doc, doc is None, xxhash.xxh64_intdigest(text))
+                    found += [(xxhash.xxh64_intdigest(k), digest(k), *own) for k in keys]
+                if len(found) >= lines:
+                    yield flush(found)
                     found = []
-            if out:
-                yield rows(out)
         if found:
-            yield rows(list(flush(found)))
-
-    def rows(out):
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[k] for r in out], pa.binary()) for k in (1, 2))], ["shard", "once", "twice"])
+            yield flush(found)
 
     return run
 
 
-def _merge(batches):
-    at, once, twice = None, None, None
-    unpack = lambda x: np.cumsum(np.frombuffer(zlib.decompress(x), np.uint32).astype(np.int64))
+class Filters:
+    """A shard's once- and twice-filter."""
+
+    def __init__(self):
+        self.once, self.twice = np.zeros(SHARD_BITS, bool), np.zeros(SHARD_BITS, bool)
+
+    def add(self, hashes: np.ndarray, dup: np.ndarray) -> None:
+        """Different hashes; dup: which of them stand for several documents."""
+        at = bits_of(hashes, 1)[1]
+        again = at[self.once[at].all(1) | dup]
+        self.twice[again] = True
+        self.once[at] = True
+
+    def suspects(self, hashes: np.ndarray) -> np.ndarray:
+        return self.twice[bits_of(hashes, 1)[1]].all(1)
+
+
+def _judge(batches):
+    """(source, shard, suspect): a bit for each hash that the source sent to the shard. Rows come sorted by shard."""
 
-    def done():
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([zlib.compress(np.packbits(twice).tobytes(), 1)], pa.binary())], ["shard", "bits"])
+    def answer(shard, held):
+        filters = Filters()
+        for _, h, dup in held:
+            filters.add(h, dup)
+        sizes = [(source, np.packbits(filters.suspects(h)).tobytes()) for source, h, _ in held]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in sizes], pa.int64()), pa.array([shard] * len(sizes), pa.int32()), pa.array([x for _, x in sizes], pa.binary())], ["source", "shard", "suspect"])
 
+    at, held = None, []
     for batch in batches:
-        for shard, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+        for shard, source, h, dup in zip(*(c.to_pylist() for c in batch.columns)):
             if shard != at:
-                if at is not None:
-                    yield done()
-                at, once, twice = shard, np.zeros(SHARD_BITS, bool), np.zeros(SHARD_BITS, bool)
-            own = unpack(a)
-            twice[own[once[own]]] = True
-            twice[unpack(b)] = True
-            once[own] = True
-    if at is not None:
-        yield done()
-
-
-def twice_filter(docs: DataFrame, min_chars: int, limit: int = common.BROADCAST_BYTES) -> list[np.ndarray] | None:
-    """The twice-filter's shards as packed bits; None if they would take more than `limit` bytes."""
-    shards = 1
-    n = docs.count()
-    while shards * SHARD_BITS < n * DOC_LINES * LINE_BITS:
-        shards *= 2
-    if shards * SHARD_BITS // 8 > limit:
-        return None
-    parts = docs.select("text").mapInArrow(_partial(shards, min_chars), "shard int, once binary, twice binary")
-    rows = parts.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_merge, "shard int, bits binary").collect()
-    out = [np.zeros(SHARD_BITS // 8, np.uint8)] * shards
-    for r in rows:
-        out[r.shard] = np.frombuffer(zlib.decompress(r.bits), np.uint8)
-    return out
-
+                if held:
+                    yield answer(at, held)
+                at, held = shard, []
+            h = np.frombuffer(h, "<u8")
+            held.append((source, h, np.unpackbits(np.frombuffer(dup, np.uint8), count=len(h)).astype(bool)))
+    if held:
+        yield answer(at, held)
+
+
+def _suspects(folder: str, shards: int):
+    """(key, doc_id, text) of the suspects, text being the text's hash. Rows come sorted by source, then shard."""
+
+    def read(source, answers):
+        rows = np.frombuffer(zlib.decompress(common.get(f"{folder}/{source}.lines")), ROW)
+        new = np.concatenate([[True], rows["hash"][1:] != rows["hash"][:-1]])  # by shard and hash, as they were sent
+        shard = bits_of(rows["hash"][new], shards)[0]
+        ends = np.searchsorted(shard, np.arange(shards + 1))
+        good = np.zeros(len(shard), bool)
+        for s, bits in answers:
+            good[ends[s] : ends[s + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=ends[s + 1] - ends[s])
+        rows = rows[good[np.cumsum(new) - 1]]
+        raw = pa.Array.from_buffers(pa.binary(16), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows["key"]).tobytes())])
+        return pa.RecordBatch.from_arrays([raw.cast(pa.binary()), pa.array(rows["doc"], pa.int64(), mask=rows["null"].copy()), pa.array(rows["text"].astype(np.int64))], ["key", "doc_id", "text"])
 
-def _suspects(shards, min_chars: int):
     def run(batches):
-        bits = shards and shards.value
+        at, held = None, []
         for batch in batches:
-            ids, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch.column(1))):
-                own = list(keys_of(text, min_chars))
-                if bits and own:
-                    h = np.array([xxhash.xxh64_intdigest(k) for k in own], np.uint64)
-                    shard, at = bits_of(h, len(bits))
-                    own = [k for k, s, (a, b) in zip(own, shard.tolist(), at.tolist()) if bits[s][a >> 3] >> (7 - (a & 7)) & 1 and bits[s][b >> 3] >> (7 - (b & 7)) & 1]
-                ids += [doc] * len(own)
-                keys += map(digest, own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["key", "doc_id"])
+            for source, shard, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                if source != at:
+                    if held:
+                        yield read(at, held)
+                    at, held = source, []
+                held.append((shard, bits))
+        if held:
+            yield read(at, held)
 
     return run
 
 
+def suspects(docs: DataFrame, min_chars: int, shards: int = 1, flush: int = FLUSH) -> DataFrame:
+    """(key, doc_id, text) of each key that the twice-filter has, for each document that holds it. There are `shards`
+    shards, or more where the table needs them."""
+    spark = docs.sparkSession
+    # a text has no more keys than lines, nor than its length allows: what a reducer holds is bounded by that
+    size = F.octet_length("text")
+    most = F.least((size + 1) / (min_chars + 1), size - F.octet_length(F.replace("text", F.lit("\n"))) + 1)
+    lines = docs.agg(F.sum(most)).first()[0] or 0
+    while shards * SHARD_BITS < lines * LINE_BITS:
+        shards *= 2
+    parts = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")) * 8)
+    folder = common.shared_folder(spark, "lines")
+    sent = docs.select("doc_id", "text").mapInArrow(_send(folder, shards, min_chars, flush), "shard int, source long, hashes binary, dup binary")
+    answers = sent.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_judge, "source long, shard int, suspect binary")
+    answers = answers.repartition("source").sortWithinPartitions("source", "shard")
+    return common.written(answers.mapInArrow(_suspects(folder, shards), "key binary, doc_id long, text long"), "suspects")
+
+
 def _apply(drop, min_chars: int, names: list[str]):
     """drop: the holders by key, or None where the last column has the keys that each document loses."""
 
     def run(batches):
         holder = drop and drop.value
-        for batch in batches:
+        for batch in common.small(batches):
             ids = batch.column(0).to_pylist()
             lost = batch.column(batch.num_columns - 1).to_pylist() if drop is None else ids
             texts, n_lines, n_dropped = [], [], []
@@ -171,31 +208,39 @@ def _apply(drop, min_chars: int, names: list[str]):
     return run
 
 
-def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: tuple[str, ...] = (), limit: int = common.BROADCAST_BYTES) -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: tuple[str, ...] = (), limit: int = common.BROADCAST_BYTES, shards: int = 1, flush: int = FLUSH) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped, *carry): docs without the lines whose key min_docs documents or more hold,
     but for those in the largest doc_id that holds it.
 
     A null or empty text is one empty line. Rows of the same doc_id count as one document and keep or lose a key
     together; null is one doc_id, the smallest. Lines of any length are keyed whole. An empty table gives no rows.
-    Columns beyond doc_id, text and carry are left out, so they can't clash.
+    Columns beyond doc_id, text and carry are left out, so they can't clash. The keys that go are sent to all executors
+    up to a quarter of limit bytes; beyond that a join brings every text the keys that it loses.
     """
     spark = docs.sparkSession
     common.prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
-    bits = twice_filter(docs, min_chars, limit)
-    shards = spark.sparkContext.broadcast(bits) if bits is not None else None
-    suspects = docs.select("doc_id", "text").mapInArrow(_suspects(shards, min_chars), "key binary, doc_id long")
-    held = suspects.groupBy("key", "doc_id").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("holder"))
+    found = suspects(docs, min_chars, shards, flush)
+    held = found.groupBy("key", "doc_id").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("holder"))
     drops, folder = common.written_at(held.filter(F.col("n") >= min_docs).select("key", "holder"), "repeated-lines")
     schema = f"doc_id long, text string, n_lines long, n_dropped long{''.join(f', `{c}` {docs.schema[c].dataType.simpleString()}' for c in carry)}"
     if common.folder_bytes(folder) <= limit // 4:
         holders = spark.sparkContext.broadcast({bytes(r.key): r.holder for r in drops.collect()})
         return docs.mapInArrow(_apply(holders, min_chars, list(carry)), schema)
-    mine = suspects.join(drops, "key").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
-    as_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))  # an equi-join drops null keys
-    mine = mine.groupBy(as_text.alias("_doc")).agg(F.collect_set("key").alias("_lost"))
-    found = common.join_lookup(docs.withColumn("_doc", as_text), mine, "_doc", "lost-lines", limit)
-    return found.select("doc_id", "text", *carry, "_lost").mapInArrow(_apply(None, min_chars, list(carry)), schema)
+    # by id and text: a list is no longer than its text, though many rows may have one id
+    mine = found.join(drops, "key").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
+    mine = mine.groupBy("doc_id", "text").agg(F.collect_set("key").alias("_lost"))
+    row = lambda h: F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), h.cast("string"))
+    mine = mine.select(row(F.col("text")).alias("_row"), "_lost")
+    hashed = docs.mapInArrow(_with_hash, docs.select("*", F.lit(0).cast("long").alias("_hash")).schema)
+    rows = common.join_lookup(hashed.withColumn("_row", row(F.col("_hash"))), mine, "_row", "lost-lines", limit)
+    return rows.select("doc_id", "text", *carry, "_lost").mapInArrow(_apply(None, min_chars, list(carry)), schema)
+
+
+def _with_hash(batches):
+    for batch in common.small(batches):
+        h = np.array([xxhash.xxh64_intdigest(x) for x in common.texts_of(batch.column(1))], np.uint64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h.astype(np.int64))], [*batch.schema.names, "_hash"])
 
 
 def op5_line_dedup(spark, sf_dir):
