@@ -3,12 +3,13 @@
 A window is the first `width` bytes of a suffix; matches never cross texts. The first digit of a suffix is its anchor:
 the least hash of the GRAM-byte strings in its window, with the anchor's place in it. It is the same for equal windows,
 so suffixes are dealt out by anchor, and anchors that occur once end there. The suffixes of one anchor and place form a
-run; equal runs (same anchor, same bytes around it) are one class, whose windows repeat if it has two members. Classes
-of one anchor that differ are ordered by the bytes of their windows, eight at a time, through `width` bytes and no
-deeper; groups of one leave after every pass, and the groups that are left are exactly the repeated windows.
+run; runs of equal bytes around one anchor (by a 128-bit digest of them) are one class, of which the passes order one
+member with the class's size as its weight. The windows of an anchor's classes are ordered by their bytes, eight at a
+time, through `width` bytes and no deeper; groups of weight one leave after every pass, and the groups that are left are
+exactly the repeated windows.
 
-Texts are put into shard files once. Only anchors, runs of classes that must be compared, and verdicts are shuffled:
-verdicts go to the shards' texts, not texts to verdicts. An anchor with more than HOT_CLASSES classes isn't compared in
+Texts are put into shard files once. Only anchors, one run of a class, and verdicts are shuffled: verdicts go to the
+shards' texts, not texts to verdicts. An anchor with more than HOT_CLASSES classes isn't compared in
 one task: the windows of its classes are counted by 128-bit hash, with a map-side combine.
 """
 
@@ -19,6 +20,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +29,10 @@ from . import common
 
 WIDTH = 200
 GRAM = 80
-#: Bytes of text in a shard file, but for a longer text, and bytes that are hashed at once.
-SHARD_BYTES, PIECE = 8 << 20, 1 << 20
+#: Bytes of text in a shard file, but for a longer text; bytes that are hashed at once; bytes of the cuts of a longer text.
+SHARD_BYTES, PIECE, CUT = 8 << 20, 1 << 20, 8 << 20
+#: The low bits of a hash that give way to a position. The same for every piece, so equal windows have equal anchors.
+PLACE_BITS = 24
 HOT_CLASSES = 20_000
 #: Windows that are sorted at once, but for a larger group.
 SORT_WINDOWS = 1 << 20
@@ -65,16 +69,18 @@ class Hashes:
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int = GRAM):
-    """(anchor hash, run hash, anchor position, least and largest window start) of every run of data, where windows of
+    """(anchor hash, anchor position, least and largest window start) of every run of data, where windows of
     consecutive starts have one anchor. offsets: where the texts start and, last, where data ends."""
     n = len(data)
     none = np.zeros(0, np.int64)
+    if n >= 1 << PLACE_BITS:
+        raise ValueError("a piece is too long for its positions")
     if n < width:
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none
     h = Hashes(data)
     at = np.arange(n - gram + 1)
     g = h.of(at, at + gram)
-    bits = max(1, int(n).bit_length())
+    bits = PLACE_BITS
     v = (g & ~np.uint64((1 << bits) - 1)) | at.astype(np.uint64)  # the leftmost of equal ones
     span, have = width - gram + 1, 1
     while 2 * have <= span:
@@ -88,13 +94,19 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int
     np.add.at(inside, good_to, -1)
     starts = starts[np.cumsum(inside)[: len(starts)] > 0]
     if not len(starts):
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none
     anchor = (least[starts] & np.uint64((1 << bits) - 1)).astype(np.int64)
     cut = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(starts) != 1))
     first, last = starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])]
     anchor = anchor[np.concatenate([[0], cut + 1])]
-    run = _mix(h.of(first, last + width) ^ ((anchor - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)))
-    return g[anchor], run, anchor, first, last
+    return g[anchor], anchor, first, last
+
+
+def digests(raw: bytes, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, width: int) -> np.ndarray:
+    """Two numbers for each run: a 128-bit digest of its bytes and of where its anchor lies in them."""
+    shape = ((anchor - first) << 16 | (last - first)).tolist()
+    out = [xxhash.xxh3_128_digest(raw[a:b], s) for a, b, s in zip(first.tolist(), (last + width).tolist(), shape)]
+    return np.frombuffer(b"".join(out), "<i8").reshape(-1, 2)
 
 
 def _shard_bytes(doc_ids, lengths, data: bytes) -> bytes:
@@ -111,7 +123,7 @@ def _shard(folder: str, shard: int):
     return [None if z else int(x) for x, z in zip(ids, none)], np.concatenate([[0], np.cumsum(lengths)]), np.frombuffer(raw, np.uint8, offset=8 + 17 * n)
 
 
-def _runs(folder: str, width: int):
+def _runs(folder: str, width: int, shard_bytes: int, piece: int, most: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -121,26 +133,26 @@ def _runs(folder: str, width: int):
             shard = part << 12 | k
             common.put(f"{folder}/{shard}.shard", _shard_bytes(ids, [len(x) for x in texts], b"".join(texts)))
             out, base = [], 0
-            for a, b in common.pieces(texts, PIECE):
+            for a, b in common.pieces(texts, piece):
                 data, offsets = common.joined(texts[a:b])
                 # a text beyond a piece is cut, each cut with the bytes that its last window needs
-                for c in range(0, max(1, len(data)), 8 * PIECE):
-                    d = data[c : c + 8 * PIECE + width - 1]
-                    o = offsets if len(data) <= 8 * PIECE else np.array([0, len(d)])
-                    anchor, sign, at, first, last = runs_of(d, o, width, min(GRAM, width))
-                    out.append((anchor, sign, at + base + c, at - first, at - last))
+                for c in range(0, max(1, len(data)), most):
+                    d = data[c : c + most + width - 1]
+                    o = offsets if len(data) <= most else np.array([0, len(d)])
+                    anchor, at, first, last = runs_of(d, o, width, min(GRAM, width))
+                    out.append((anchor, digests(d.tobytes(), at, first, last, width), at + base + c, at - first, at - last))
                 base += len(data)
             anchor, sign, at, high, low = (np.concatenate(x) for x in zip(*out))
             ref = at | shard << 32
-            columns = [pa.array(anchor.astype(np.int64)), pa.array(sign.astype(np.int64)), pa.array(ref), pa.array(low.astype(np.int16)), pa.array(high.astype(np.int16))]
-            one = [pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([shard << 32], pa.int64()), pa.array([0], pa.int16()), pa.array([0], pa.int16())]
+            columns = [pa.array(anchor.astype(np.int64)), pa.array(sign[:, 0].copy()), pa.array(sign[:, 1].copy()), pa.array(ref), pa.array(low.astype(np.int16)), pa.array(high.astype(np.int16))]
+            one = [*(pa.array([None], pa.int64()) for _ in range(3)), pa.array([shard << 32], pa.int64()), pa.array([0], pa.int16()), pa.array([0], pa.int16())]
             for c in (columns, one):
-                yield pa.RecordBatch.from_arrays(c, ["anchor", "run", "ref", "low", "high"])
+                yield pa.RecordBatch.from_arrays(c, ["anchor", "run", "more", "ref", "low", "high"])
 
         ids, texts, size = [], [], 0
-        for batch in batches:
+        for batch in common.small(batches):
             for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch.column(1))):
-                if texts and size + len(text) > SHARD_BYTES:
+                if texts and size + len(text) > shard_bytes:
                     yield from flush(ids, texts)
                     k, ids, texts, size = k + 1, [], [], 0
                 ids.append(doc)
@@ -171,7 +183,7 @@ def _by_shard(batches, folder: str):
 
 
 def _contexts(folder: str, width: int):
-    """anchor, run, n, low, high and the bytes of the run."""
+    """anchor, run, more, n, low, high and the bytes of the run."""
 
     def run(batches):
         for _, (_, _, data), rows in _by_shard(batches, folder):
@@ -182,7 +194,7 @@ def _contexts(folder: str, width: int):
                 j = slice(i, i + 4096)
                 span = [raw[a:b] for a, b in zip((at[j] - high[j]).tolist(), (at[j] - low[j] + width).tolist())]
                 part = rows.slice(i, 4096)
-                yield pa.RecordBatch.from_arrays([part.column(c).combine_chunks() for c in ("anchor", "run", "n", "low", "high")] + [pa.array(span, pa.binary())], ["anchor", "run", "n", "low", "high", "span"])
+                yield pa.RecordBatch.from_arrays([part.column(c).combine_chunks() for c in ("anchor", "run", "more", "n", "low", "high")] + [pa.array(span, pa.binary())], ["anchor", "run", "more", "n", "low", "high", "span"])
 
     return run
 
@@ -217,23 +229,23 @@ def repeated(group: np.ndarray, start: np.ndarray, weight: np.ndarray, data: np.
 
 
 def _compare(width: int):
-    """Runs (anchor, run, least and largest offset) of repeated windows among the classes that have one member."""
+    """Runs (anchor, run, more, least and largest offset) of repeated windows of the classes."""
 
     def sort(rows):
-        anchor, run, n, low, high = (rows.column(c).to_numpy() for c in ("anchor", "run", "n", "low", "high"))
+        anchor, run, more, n, low, high = (rows.column(c).to_numpy() for c in ("anchor", "run", "more", "n", "low", "high"))
         data, begin = common.joined([x.as_py() for x in rows.column("span").combine_chunks()])
         size = (high - low + 1).astype(np.int64)
         row = np.repeat(np.arange(len(size)), size)
         offset = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low.astype(np.int64), size)
         same = np.concatenate([[0], np.cumsum(anchor[1:] != anchor[:-1])])
         found = repeated(same[row] * (width + 1) + offset, begin[row] + high[row] - offset, np.minimum(n, 2)[row], data, width)
-        pick = np.flatnonzero(found & (n[row] == 1))
+        pick = np.flatnonzero(found)
         if not len(pick):
             return None
         row, offset = row[pick], offset[pick]
         cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(offset) != 1))
         a, b = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(row) - 1]])
-        return pa.RecordBatch.from_arrays([pa.array(anchor[row[a]]), pa.array(run[row[a]]), pa.array(offset[a].astype(np.int16)), pa.array(offset[b].astype(np.int16))], ["anchor", "run", "low", "high"])
+        return pa.RecordBatch.from_arrays([pa.array(x[row[a]]) for x in (anchor, run, more)] + [pa.array(offset[a].astype(np.int16)), pa.array(offset[b].astype(np.int16))], ["anchor", "run", "more", "low", "high"])
 
     def run(batches):
         held, windows = [], 0
@@ -251,7 +263,7 @@ def _compare(width: int):
                 batch = batch.slice(k)
             if len(batch):
                 held.append(batch)
-                windows += int((batch.column(4).to_numpy() - batch.column(3).to_numpy() + 1).sum())
+                windows += int((batch.column(5).to_numpy() - batch.column(4).to_numpy() + 1).sum())
         if held and (out := sort(pa.Table.from_batches(held))) is not None:
             yield out
 
@@ -263,14 +275,14 @@ def _windows(folder: str, width: int):
 
     def run(batches):
         for _, (_, _, data), rows in _by_shard(batches, folder):
-            anchor, run_, ref, n, low, high = (rows.column(c).to_numpy() for c in ("anchor", "run", "ref", "n", "low", "high"))
+            anchor, run_, more, ref, n, low, high = (rows.column(c).to_numpy() for c in ("anchor", "run", "more", "ref", "n", "low", "high"))
             raw = data.tobytes()
             for i in range(len(ref)):
                 at = int(ref[i]) & 0xFFFFFFFF
                 offsets = np.arange(low[i], high[i] + 1)
                 digests = [hashlib.blake2b(raw[at - o : at - o + width], digest_size=16).digest() for o in offsets.tolist()]
                 size = len(offsets)
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *(pa.array(np.full(size, x[i])) for x in (anchor, run_, n)), pa.array(offsets.astype(np.int16))], ["window", "anchor", "run", "n", "offset"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *(pa.array(np.full(size, x[i])) for x in (anchor, run_, more, n)), pa.array(offsets.astype(np.int16))], ["window", "anchor", "run", "more", "n", "offset"])
 
     return run
 
@@ -299,7 +311,7 @@ def _apply(folder: str, width: int, texts: bool):
     return run
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, hot: int = HOT_CLASSES) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, hot: int = HOT_CLASSES, shard_bytes: int = SHARD_BYTES, piece: int = PIECE, cut: int = CUT) -> DataFrame:
     """SCHEMA for every row of docs (doc_id, text), and with texts the bytes that stay, `kept`.
 
     A null or empty text has no bytes; texts shorter than width lose none. Repeated rows are texts of their own, so from
@@ -310,25 +322,25 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, h
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = common.shared_folder(spark, "texts")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    runs = common.written(docs.mapInArrow(_runs(folder, width), "anchor long, run long, ref long, low short, high short"), "runs")
+    runs = common.written(docs.mapInArrow(_runs(folder, width, shard_bytes, piece, cut), "anchor long, run long, more long, ref long, low short, high short"), "runs")
     real = runs.filter("anchor is not null")
     twice = real.groupBy("anchor").count().filter("count > 1").select("anchor")
     shared = common.written(real.join(twice, "anchor"), "shared-runs")
-    classes = shared.groupBy("anchor", "run").agg(F.count("*").alias("n"), F.min("ref").alias("ref"), F.min("low").alias("low"), F.min("high").alias("high"))
-    classes = common.written(classes, "run-classes")
-    mixed = common.written(classes.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("fewest")).filter("m > 1 and fewest = 1").select("anchor", "m"), "anchors")
-    compared = classes.join(mixed, "anchor").withColumn("shard", F.shiftright("ref", 32))
-    cold = compared.filter(F.col("m") <= hot).drop("m").repartition(parts, "shard").sortWithinPartitions("shard")
-    spans = cold.mapInArrow(_contexts(folder, width), "anchor long, run long, n long, low short, high short, span binary")
-    verdicts = spans.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare(width), "anchor long, run long, low short, high short")
-    if not mixed.filter(F.col("m") > hot).isEmpty():
-        rows = compared.filter(F.col("m") > hot).drop("m").repartition(parts, "shard").sortWithinPartitions("shard")
-        rows = common.written(rows.mapInArrow(_windows(folder, width), "window binary, anchor long, run long, n long, offset short"), "hot-windows")
+    classes = shared.groupBy("anchor", "run", "more").agg(F.count("*").alias("n"), F.min("ref").alias("ref"), F.min("low").alias("low"), F.min("high").alias("high"))
+    classes = common.written(classes.withColumn("shard", F.shiftright("ref", 32)), "run-classes")
+    many = common.written(classes.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > hot), "hot-anchors")
+    crowded = not many.isEmpty()
+    cold = classes if not crowded else classes.join(many, "anchor", "left_anti")
+    cold = cold.repartition(parts, "shard").sortWithinPartitions("shard")
+    spans = cold.select("anchor", "run", "more", "n", "ref", "low", "high", "shard").mapInArrow(_contexts(folder, width), "anchor long, run long, more long, n long, low short, high short, span binary")
+    verdicts = spans.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare(width), "anchor long, run long, more long, low short, high short")
+    if crowded:
+        rows = classes.join(many, "anchor", "left_semi").select("anchor", "run", "more", "n", "ref", "low", "high", "shard").repartition(parts, "shard").sortWithinPartitions("shard")
+        rows = common.written(rows.mapInArrow(_windows(folder, width), "window binary, anchor long, run long, more long, n long, offset short"), "hot-windows")
         often = rows.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
-        verdicts = verdicts.unionByName(rows.filter("n = 1").join(often, "window").select("anchor", "run", F.col("offset").alias("low"), F.col("offset").alias("high")))
-    verdicts = verdicts.unionByName(classes.filter("n > 1").select("anchor", "run", "low", "high"))
+        verdicts = verdicts.unionByName(rows.join(often, "window").select("anchor", "run", "more", F.col("offset").alias("low"), F.col("offset").alias("high")))
     verdicts = common.written(verdicts, "verdicts")
-    gone = shared.select("anchor", "run", "ref").join(verdicts, ["anchor", "run"]).select("ref", "low", "high")
+    gone = shared.select("anchor", "run", "more", "ref").join(verdicts, ["anchor", "run", "more"]).select("ref", "low", "high")
     every = runs.filter("anchor is null").select("ref", "low", F.lit(-1).cast("short").alias("high"))
     gone = gone.unionByName(every).withColumn("shard", F.shiftright("ref", 32)).repartition(parts, "shard").sortWithinPartitions("shard")
     return gone.mapInArrow(_apply(folder, width, texts), SCHEMA + (", kept binary" if texts else ""))
