@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import common
 
-MAX_STEPS = 60
-
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large: every larger neighbour of a node goes to the node's least neighbour. Small: the node and its smaller ones do."""
@@ -23,18 +21,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, root) for each node of edges (u, v: long): root is the least node that u reaches. Hubs are split by adaptive
-    skew joins; the minimum is combined on the map side. No edges: no rows."""
-    edges, folder = common.written_at(edges.filter("u <> v").distinct(), "edges")
-    sign = None
-    for _ in range(MAX_STEPS):
-        step, at = common.written_at(_star(_star(edges, True), False), "edges")
+    skew joins; the minimum is combined on the map side. Steps go on until one changes nothing, some log n of them; the
+    job that writes a step also adds up its sign. No edges: no rows."""
+
+    def step(df):
+        seen = Observation()
+        out = common.written_at(df.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "edges")
+        return *out, (seen.get["n"], seen.get["h"])
+
+    edges, folder, sign = step(edges.filter("u <> v").distinct())
+    while True:
+        was = sign
+        new, at, sign = step(_star(_star(edges, True), False))
         common.drop_folder(folder)
-        edges, folder = step, at
-        r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (r.n, r.h) == sign:
+        edges, folder = new, at
+        if sign == was:
             break
-        sign = (r.n, r.h)
-    else:
-        raise RuntimeError(f"the components didn't settle in {MAX_STEPS} steps")
     roots = edges.select("u", F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
