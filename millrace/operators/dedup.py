@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
 from ..profile import DEFAULT, Profile
+from . import ordinal
 
+def _order():
+    return F.col("timestamp").asc_nulls_last(), F.col("doc_id")
 
-def _first(key, order):
-    """Row number within the event and key; rows without a key each stand alone, so they gather nowhere."""
-    alone = F.concat(F.lit("-"), F.col("doc_id").cast("string"))
-    return F.row_number().over(Window.partitionBy("event_id", F.when(key != "", F.concat(F.lit("+"), key)).otherwise(alone)).orderBy(*order))
+
+def _group(where):
+    return F.when(where, F.sha2(F.concat_ws("|", "event_id", "text_hash"), 256)).otherwise("")
 
 
 def flag_duplicates(articles: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
@@ -20,25 +22,30 @@ def flag_duplicates(articles: DataFrame, profile: Profile = DEFAULT) -> DataFram
     and cross_event_shared.
 
     The earliest row of a normalised URL stays; among what stays, the earliest of a text. A text belongs to the event
-    with the least id that has it, and its copies elsewhere are marked as shared.
+    with the least id that has it, and its copies elsewhere are marked as shared. Rows without a URL or text are no
+    duplicates by it; of rows that repeat one in all of this, one stays. Articles are written once; only their keys go
+    through the comparisons, and the flags come back by row number.
     """
-    order = (F.col("timestamp").asc_nulls_last(), F.col("doc_id"))
-    rows = articles.withColumns({"text_hash": text.text_hash(F.col("clean_text")), "_url": urls.normalise(F.col("url"), profile)})
-    rows = rows.withColumn("_by_url", _first(F.col("_url"), order) > 1)
-    key = F.when(~F.col("_by_url"), F.col("text_hash")).otherwise("")
-    rows = rows.withColumn("_by_text", _first(key, order) > 1)
-    rows = rows.withColumn("is_content_duplicate", F.col("_by_url") | F.col("_by_text"))
-    group = F.when(~F.col("_by_url") & (F.col("text_hash") != ""), F.sha2(F.concat_ws("|", "event_id", "text_hash"), 256)).otherwise("")
-    # the owner of a text: combined on the map side, then joined, so a text that a third of the rows has is no window
-    owner = rows.filter("text_hash <> ''").groupBy("text_hash").agg(F.min("event_id").alias("_owner"))
-    rows = rows.withColumn("duplicate_group_id", group).join(owner, "text_hash", "left")
-    shared = (F.col("text_hash") != "") & ~F.col("is_content_duplicate") & (F.col("event_id") > F.col("_owner"))
-    return rows.withColumn("cross_event_shared", F.coalesce(shared, F.lit(False))).drop("_url", "_by_url", "_by_text", "_owner")
+    rows = ordinal.with_row(articles.withColumns({"text_hash": text.text_hash(F.col("clean_text")), "_url": urls.normalise(F.col("url"), profile)}))
+    keys = rows.select("_row", "event_id", "doc_id", "timestamp", "text_hash", "_url")
+    by_url = ordinal.first_rows(keys.filter("_url <> ''"), ["event_id", "_url"], _order())
+    rows = ordinal.marked(rows, by_url, "_first_url").withColumn("_by_url", (F.col("_url") != "") & ~F.col("_first_url"))
+    left = ordinal.marked(keys, by_url, "_first_url").filter("text_hash <> '' and (_first_url or _url = '')")
+    # one row a text and event is left; its owner is the least event
+    first = left.join(ordinal.first_rows(left, ["event_id", "text_hash"], _order()), "_row")
+    owner = keys.filter("text_hash <> ''").groupBy("text_hash").agg(F.min("event_id").alias("_owner"))
+    first = first.join(owner, "text_hash").select("_row", F.lit(True).alias("_first_text"), (F.col("event_id") > F.col("_owner")).alias("_shared"))
+    rows = rows.join(first, "_row", "left")
+    by_text = ~F.col("_by_url") & (F.col("text_hash") != "") & F.col("_first_text").isNull()
+    rows = rows.withColumn("is_content_duplicate", F.col("_by_url") | by_text)
+    rows = rows.withColumn("duplicate_group_id", _group(~F.col("_by_url") & (F.col("text_hash") != "")))
+    return rows.withColumn("cross_event_shared", F.coalesce("_shared", F.lit(False))).drop("_row", "_url", "_first_url", "_by_url", "_first_text", "_shared")
 
 
 def flag_duplicates_by_text(articles: DataFrame) -> DataFrame:
     """The older rule: by text alone, and every row with a text has a group."""
-    rows = articles.withColumn("text_hash", text.text_hash(F.col("clean_text")))
-    again = _first(F.col("text_hash"), (F.col("timestamp").asc_nulls_last(), F.col("doc_id"))) > 1
-    group = F.when(F.col("text_hash") != "", F.sha2(F.concat_ws("|", "event_id", "text_hash"), 256)).otherwise("")
-    return rows.withColumns({"is_content_duplicate": again, "duplicate_group_id": group})
+    rows = ordinal.with_row(articles.withColumn("text_hash", text.text_hash(F.col("clean_text"))))
+    has = F.col("text_hash") != ""
+    keys = rows.filter(has).select("_row", "event_id", "doc_id", "timestamp", "text_hash")
+    rows = ordinal.marked(rows, ordinal.first_rows(keys, ["event_id", "text_hash"], _order()), "_first")
+    return rows.withColumns({"is_content_duplicate": has & ~F.col("_first"), "duplicate_group_id": _group(has)}).drop("_row", "_first")

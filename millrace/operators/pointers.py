@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..profile import DEFAULT, Profile
+from . import ordinal
 
 KEY = ("offset", "length", "filename", "crawl_id", "event_id")
 
@@ -32,29 +33,43 @@ def size_class(length, profile: Profile = DEFAULT):
 
 
 def with_rank(pointers: DataFrame) -> DataFrame:
-    """retrieval_rank: newest first within event and query."""
-    w = Window.partitionBy("event_id", "query_id").orderBy(F.col("timestamp").desc_nulls_last(), "pointer_id")
-    return pointers.withColumn("retrieval_rank", F.row_number().over(w))
+    """retrieval_rank: newest first within event and query, however many rows a query has."""
+    order = [F.col("timestamp").desc_nulls_last(), F.col("pointer_id")]
+    return ordinal.within(pointers, ["event_id", "query_id"], order, "retrieval_rank").withColumn("retrieval_rank", F.col("retrieval_rank").cast("int"))
 
 
 def flag_duplicates(pointers: DataFrame) -> DataFrame:
     """is_pointer_duplicate by natural key, then is_digest_duplicate among the rest with a digest, and
-    is_cross_event_url, which drops nothing. The lowest rank stays."""
+    is_cross_event_url, which drops nothing. The lowest rank stays. Null is a value of a key; of rows that are alike in
+    all of this one stays."""
     order = (F.col("retrieval_rank").asc_nulls_last(), F.col("pointer_id"))
-    rows = pointers.withColumn("is_pointer_duplicate", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)) > 1)
-    counted = ~F.col("is_pointer_duplicate") & (F.trim(F.coalesce("digest", F.lit(""))) != "")
-    # rows that don't count are spread by their own id, not gathered in one partition
-    w = Window.partitionBy("event_id", "crawl_id", F.when(counted, F.concat(F.lit("d"), "digest")).otherwise(F.concat(F.lit("p"), F.col("pointer_id").cast("string")))).orderBy(*order)
-    rows = rows.withColumn("is_digest_duplicate", counted & (F.row_number().over(w) > 1))
-    shared = rows.filter("coalesce(url, '') <> ''").groupBy("url").agg((F.min("event_id") != F.max("event_id")).alias("_shared")).filter("_shared")
-    return rows.join(shared, "url", "left").withColumn("is_cross_event_url", F.coalesce("_shared", F.lit(False))).drop("_shared")
+    rows = ordinal.with_row(pointers)
+    keys = rows.select("_row", *KEY, "digest", "url", "retrieval_rank", "pointer_id")
+    first = ordinal.first_rows(keys, list(KEY), order)
+    counted = ordinal.marked(keys, first, "_first").filter("_first and trim(coalesce(digest, '')) <> ''")
+    digest = ordinal.first_rows(counted, ["event_id", "crawl_id", "digest"], order)
+    rows = ordinal.marked(ordinal.marked(rows, first, "_first"), digest, "_digest")
+    has = F.trim(F.coalesce("digest", F.lit(""))) != ""
+    rows = rows.withColumns({"is_pointer_duplicate": ~F.col("_first"), "is_digest_duplicate": F.col("_first") & has & ~F.col("_digest")})
+    shared = keys.filter("coalesce(url, '') <> ''").groupBy("url").agg((F.min("event_id") != F.max("event_id")).alias("_shared")).filter("_shared")
+    # rows without an address meet no shared one, so they needn't be shuffled to one place: they get one of their own
+    own = F.when(F.coalesce("url", F.lit("")) != "", F.concat(F.lit("u"), "url")).otherwise(F.concat(F.lit("r"), F.col("_row").cast("string")))
+    rows = rows.withColumn("_key", own).join(shared.select(F.concat(F.lit("u"), "url").alias("_key"), "_shared"), "_key", "left")
+    return rows.withColumn("is_cross_event_url", F.coalesce("_shared", F.lit(False))).drop("_shared", "_key", "_row", "_first", "_digest")
 
 
 def latest_by_url(pointers: DataFrame) -> DataFrame:
     """is_url_duplicate: all but the newest row of a URL within an event; rows without a URL bypass it."""
+    rows = ordinal.with_row(pointers)
     has = F.trim(F.coalesce("url", F.lit(""))) != ""
-    w = Window.partitionBy("event_id", F.when(has, F.concat(F.lit("u"), "url")).otherwise(F.concat(F.lit("p"), F.col("pointer_id").cast("string")))).orderBy(F.col("timestamp").desc_nulls_last(), "pointer_id")
-    return pointers.withColumn("is_url_duplicate", has & (F.row_number().over(w) > 1))
+    keys = rows.filter(has).select("_row", "event_id", "url", "timestamp", "pointer_id")
+    newest = ordinal.first_rows(keys, ["event_id", "url"], (F.col("timestamp").desc_nulls_last(), F.col("pointer_id")))
+    return ordinal.marked(rows, newest, "_newest").withColumn("is_url_duplicate", has & ~F.col("_newest")).drop("_row", "_newest")
+
+
+def fetched(log: DataFrame) -> DataFrame:
+    """The rows of a fetch log that brought something (download_success, null as false)."""
+    return log.filter(F.coalesce("download_success", F.lit(False)))
 
 
 def eligible(pointers: DataFrame, profile: Profile = DEFAULT) -> DataFrame:

@@ -6,11 +6,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import ordinal
 
 
-def report_filter(strict: str = "is_relevant", soft: bool = False, event_only: bool = False):
-    keep = F.col("is_event_article") if event_only else F.col(strict)
-    return keep | (F.col("is_soft_relevant") & F.coalesce("pub_in_window", F.lit(False))) if soft and not event_only else keep
+def _true(rows: DataFrame, name: str):
+    """A flag with null as false; false where rows lack it."""
+    return F.coalesce(F.col(name), F.lit(False)) if name in rows.columns else F.lit(False)
+
+
+def event_only(rows: DataFrame) -> DataFrame:
+    """Articles on an event; where that flag is absent, relevant ones."""
+    return rows.filter(_true(rows, "is_event_article" if "is_event_article" in rows.columns else "is_relevant"))
+
+
+def relevant(rows: DataFrame) -> DataFrame:
+    """Strictly relevant, or softly and published in the window (null: not)."""
+    return rows.filter(_true(rows, "is_relevant") | (_true(rows, "is_soft_relevant") & _true(rows, "pub_in_window")))
+
+
+def in_frames(rows: DataFrame, frames: tuple[str, ...] = ("impact", "response")) -> DataFrame:
+    return rows.filter(F.coalesce("dominant_frame", F.lit("")).isin(list(frames)))
+
+
+def in_pub_window(rows: DataFrame) -> DataFrame:
+    return rows.filter(_true(rows, "pub_in_window"))
+
+
+def nlp_rows(rows: DataFrame, mode: str = "strict") -> DataFrame:
+    """What goes to language processing. event: as event_only; soft: strict or soft; strict: relevant alone."""
+    if mode == "event":
+        return event_only(rows)
+    return rows.filter(_true(rows, "is_relevant") | _true(rows, "is_soft_relevant") if mode == "soft" else _true(rows, "is_relevant"))
+
+
+def with_text(rows: DataFrame, column: str = "clean_text", least: int = 50) -> DataFrame:
+    """Rows whose text is longer than `least` characters."""
+    return rows.filter(F.length(F.coalesce(column, F.lit(""))) > least)
 
 
 def per_domain(rows: DataFrame, cap: int) -> DataFrame:
@@ -42,16 +73,11 @@ def sorted_rows(rows: DataFrame, order=REPORT_ORDER) -> DataFrame:
 
 
 def numbered(rows: DataFrame, order=REPORT_ORDER, within: str | None = None) -> DataFrame:
-    """doc_num from 1 on, over all rows or within a column. Over all rows: each range partition counts its own, and the
-    partitions' totals (few) are summed ahead, so no task sees every row."""
+    """doc_num from 1 on, over all rows or within a column. Rows are range-partitioned once and written; a row's number is
+    its place in its partition and the sizes of those before, so no task sees every row of the table or of a group."""
     keys = _order(order)
-    if within:
-        return rows.withColumn("doc_num", F.row_number().over(Window.partitionBy(within).orderBy(*keys)))
-    part = rows.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
-    part = part.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
-    totals = part.groupBy("_part").agg(F.count("*").alias("_n"))
-    ahead = totals.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_ahead"))
-    return part.join(F.broadcast(ahead), "_part").withColumn("doc_num", (F.col("_own") + F.col("_ahead")).cast("int")).drop("_part", "_own", "_ahead")
+    out = ordinal.within(rows, [within], keys, "doc_num") if within else ordinal.numbered(rows, keys, "doc_num")
+    return out.withColumn("doc_num", F.col("doc_num").cast("int"))
 
 
 def best_by_url(rows: DataFrame) -> DataFrame:

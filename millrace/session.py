@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -29,6 +30,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """df as files in the checkpoint folder that the cluster names (spark.checkpoint.dir); a local session without one
+    gets its own. Lineage ends there, and its partitions are the same whenever it is read."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(base or "file://" + tempfile.mkdtemp(prefix="millrace-checkpoints-"))
+    return df.checkpoint()
+
+
 def session(name: str = "millrace", **conf: str) -> SparkSession:
     """A session with the settings that results depend on (time zone) and those that scale needs (adaptive plans)."""
     builder = SparkSession.builder.appName(name)
