@@ -126,6 +126,14 @@ def term_pattern(term: str) -> str:
     return rf"(?U)(?<!{edge}){_quoted(term)}(?!{edge})"
 
 
+def pattern_of(term: Column) -> Column:
+    """term_pattern() of a column."""
+    quoted = F.concat(F.lit("\\Q"), F.replace(term, F.lit("\\E"), F.lit("")), F.lit("\\E"))
+    edge = r"[^\s.,;:!?\-()\[\]]"
+    plain = F.concat(F.lit(r"(?iuU)\b"), quoted, F.lit(r"\b"))
+    return F.when(term.rlike("^[\\x00-\\x7F]*$"), plain).otherwise(F.concat(F.lit(rf"(?U)(?<!{edge})"), quoted, F.lit(rf"(?!{edge})")))
+
+
 def has_term(c: Column, term: Column, pattern: Column) -> Column:
     """A plain search first: it spares most of the pattern matching."""
     return F.contains(c, term) & F.regexp_like(c, pattern)
