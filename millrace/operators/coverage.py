@@ -21,27 +21,41 @@ def event_windows(events: DataFrame, late: bool = False, profile: Profile = DEFA
     return events.withColumns({"window_start": first.cast("timestamp"), "window_end": last.cast("timestamp")})
 
 
+#: Days of a bin by which windows and crawls meet.
+BIN = 32
+
+
 def coverage(events: DataFrame, crawls: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
     """(event_id, window_start, window_end, coverage_status, matching_crawls).
 
-    events: (event_id, window_start, window_end); crawls as crawl_windows gives them, at most some hundreds, so the
-    overlap is a nested loop against a broadcast. Two overlaps or one that spans the window: COVERED; one that doesn't:
-    PARTIAL; none: the earliest later crawl within the gap is NEAREST and extends the window to its end; else NO_CRAWL.
+    events: (event_id, window_start, window_end); crawls as crawl_windows gives them. A window, prolonged by the gap, and
+    a crawl meet in bins of BIN days by an equi-join, and count in the first bin that they share. Two overlaps or one
+    that spans the window: COVERED; one that doesn't: PARTIAL; none: the earliest later crawl within the gap is NEAREST
+    and extends the window to its end; else NO_CRAWL. An event without a window has no crawl.
     """
-    if crawls.count() > 10_000:
-        raise ValueError("that many rows are no listing of crawls")
-    e, c = events.select("event_id", "window_start", "window_end"), F.broadcast(crawls)
+    day = lambda c: F.floor(F.unix_timestamp(c) / (86400 * BIN))
+    e = events.select("event_id", "window_start", "window_end")
+    reach = F.col("window_end") + F.expr(f"interval {profile.nearest_gap_days + 1} days")
+    bins = e.withColumn("_first", day(F.col("window_start"))).filter("window_start <= window_end").withColumn("_bin", F.explode(F.sequence(F.col("_first"), day(reach))))
+    c = crawls.withColumn("_from", day(F.col("crawl_from"))).filter("crawl_from <= crawl_to").withColumn("_bin", F.explode(F.sequence(F.col("_from"), day(F.col("crawl_to")))))
     hit = (F.col("crawl_from") <= F.col("window_end")) & (F.col("crawl_to") >= F.col("window_start"))
     later = (F.col("crawl_from") > F.col("window_end")) & (F.floor((F.col("crawl_from").cast("long") - F.col("window_end").cast("long")) / 86400) <= profile.nearest_gap_days)
-    near = e.join(c, hit | later, "left").withColumn("hit", F.coalesce(hit, F.lit(False)))
+    near = bins.join(c, "_bin").filter(F.col("_bin") == F.greatest("_first", "_from")).filter(hit | later).withColumn("hit", hit)
     whole = F.col("hit") & (F.col("crawl_from") <= F.col("window_start")) & (F.col("crawl_to") >= F.col("window_end"))
     got = near.groupBy("event_id", "window_start", "window_end").agg(
         F.count_if("hit").alias("n"), F.bool_or(whole).alias("whole"), F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("crawl_id")))).alias("hits"),
-        F.min(F.when(~F.col("hit") & F.col("crawl_id").isNotNull(), F.struct("crawl_from", "crawl_id", "crawl_to"))).alias("next"),
+        F.min(F.when(~F.col("hit"), F.struct("crawl_from", "crawl_id", "crawl_to"))).alias("next"),
     )
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"g.{k}")) for k in ("event_id", "window_start", "window_end")]
+    got = e.alias("e").join(got.alias("g"), same[0] & same[1] & same[2], "left").select("e.*", F.coalesce("n", F.lit(0)).alias("n"), "whole", F.coalesce("hits", F.array().cast("array<string>")).alias("hits"), "next")
     status = F.when((F.col("n") >= 2) | F.col("whole"), "COVERED").when(F.col("n") == 1, "PARTIAL").when(F.col("next").isNotNull(), "NEAREST").otherwise("NO_CRAWL")
     nearest = (F.col("n") == 0) & F.col("next").isNotNull()
     return got.select(
         "event_id", "window_start", F.when(nearest, F.col("next.crawl_to")).otherwise(F.col("window_end")).alias("window_end"), status.alias("coverage_status"),
         F.when(nearest, F.array("next.crawl_id")).otherwise(F.col("hits")).alias("matching_crawls"),
     )
+
+
+def covered(rows: DataFrame) -> DataFrame:
+    """What coverage() gives of events that some crawl serves."""
+    return rows.filter(F.col("coverage_status").isin("COVERED", "PARTIAL", "NEAREST"))
