@@ -22,6 +22,11 @@ def query_codes(field: Column, profile: Profile = DEFAULT) -> Column:
     return F.array_sort(F.array_distinct(F.concat(own, back, F.array(*map(F.lit, profile.always_languages)))))
 
 
+def spec_codes(field: Column, profile: Profile = DEFAULT) -> Column:
+    """An event's codes as they are written, and those that every spec has; each once, sorted."""
+    return F.array_sort(F.array_union(codes(field), F.array(*map(F.lit, profile.spec_languages))))
+
+
 def skipped(field: Column, profile: Profile = DEFAULT) -> Column:
     """Map of a left-out code to the reason."""
     out = F.array_distinct(F.filter(codes(field), lambda x: ~x.isin(sorted(profile.tier1 | profile.tier2))))

@@ -12,6 +12,10 @@ _DIRECTION = r"(?i)^(central|northern|southern|eastern|western|northeast|northwe
 _FILLER = ["and", "in", "isl", "island", "of", "or", "the", "with"]
 
 
+#: Names with aliases that are sent to every executor.
+BROADCAST_NAMES = 100_000
+
+
 def normalise(c: Column) -> Column:
     return F.btrim(F.regexp_replace(strip(F.lower(c)), r"\s+", " "), F.lit(".,;:()"))
 
@@ -34,16 +38,16 @@ def parse(raw: Column) -> Column:
 
 def dictionary(events: DataFrame, aliases: DataFrame, countries: list[str], ambiguous: list[str]) -> DataFrame:
     """(event_id, location_normalised, aliases, level, ambiguous) for each place of events (event_id, country, location,
-    river_basin): the country, its aliases, then places and basins, each once. aliases: (name, alias), a dimension."""
+    river_basin): the country, its aliases, then places and basins, each once. aliases: (name, alias); up to
+    BROADCAST_NAMES names' are broadcast, more are joined by a shuffle."""
     known = aliases.select(normalise(F.col("name")).alias("name"), "alias").groupBy("name").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))
-    if known.count() > 100_000:
-        raise ValueError("that many rows are no alias dimension")
+    known = F.broadcast(known) if known.count() <= BROADCAST_NAMES else known
     none = F.array().cast("array<string>")
-    rows = events.withColumn("country", normalise(F.coalesce("country", F.lit("")))).join(F.broadcast(known.select(F.col("name").alias("country"), F.col("aliases").alias("_other"))), "country", "left")
+    rows = events.withColumn("country", normalise(F.coalesce("country", F.lit("")))).join(known.select(F.col("name").alias("country"), F.col("aliases").alias("_other")), "country", "left")
     other = F.transform(F.coalesce("_other", none), normalise)
     basin = F.when(~F.lower(F.coalesce("river_basin", F.lit(""))).isin("", "n/a", "nan", "none"), parse(F.col("river_basin"))).otherwise(none)
     names = F.array_distinct(F.filter(F.concat(F.array("country"), other, parse(F.col("location")), basin), lambda x: x != ""))
     rows = rows.withColumn("_national", F.array_union(other, F.array("country"))).select("event_id", "_national", F.explode(names).alias("name"))
     national = F.array_contains("_national", F.col("name")) | F.col("name").isin(countries)
-    rows = rows.join(F.broadcast(known), "name", "left")
+    rows = rows.join(known, "name", "left")
     return rows.select("event_id", F.col("name").alias("location_normalised"), F.coalesce("aliases", none).alias("aliases"), F.when(national, "country").otherwise("subnational").alias("level"), F.col("name").isin(ambiguous).alias("ambiguous"))

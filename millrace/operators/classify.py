@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, NGram, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,5 +54,39 @@ def guess_language(c, head: int = 3000, least: int = 50):
     return F.when((F.length(F.coalesce(c, F.lit(""))) < least) | (best["n"] == 0), "unknown").otherwise(best["k"])
 
 
+#: Characters that a language is told by, and texts that are too short for it.
+HEAD, LEAST = 3000, 50
+#: Labelled texts that the language model is fitted on: the first by hash.
+MAX_TEXTS = 50_000
+
+
+def _letters(c):
+    """Lower-case letters and single spaces, of the first HEAD characters."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.left(F.coalesce(c, F.lit("")), F.lit(HEAD))), r"[^\p{L}]+", " "), F.lit(" "))
+
+
+def fit_languages(rows: DataFrame, features: int = 1 << 16, n: int = 3, most: int = MAX_TEXTS) -> PipelineModel:
+    """A multinomial naive Bayes model over hashed n-grams of letters, of rows (text, lang). Texts under LEAST characters
+    and rows without a language are left out. It is fitted on `most` texts at most; it is applied to any number."""
+    rows = rows.filter(f"lang is not null and length(text) >= {LEAST}")
+    total = rows.count()
+    if total > most:
+        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int((1 << 40) * most / total))
+    labels = StringIndexer(inputCol="lang", outputCol="_y", stringOrderType="alphabetAsc").fit(rows)
+    stages = [
+        RegexTokenizer(inputCol="_letters", outputCol="_chars", pattern="", toLowercase=False, minTokenLength=0), NGram(n=n, inputCol="_chars", outputCol="_grams"),
+        HashingTF(numFeatures=features, inputCol="_grams", outputCol="_x"), NaiveBayes(featuresCol="_x", labelCol="_y", predictionCol="_p", rawPredictionCol="_r", probabilityCol="_q"),
+    ]
+    model = Pipeline(stages=stages).fit(labels.transform(rows.withColumn("_letters", _letters(F.col("text")))))
+    return PipelineModel([*model.stages, IndexToString(inputCol="_p", outputCol="language", labels=labels.labels)])
+
+
+def languages_of(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """rows (text, ...) with language; null and short texts are unknown."""
+    out = model.transform(rows.withColumn("_letters", _letters(F.col("text"))))
+    short = F.length(F.coalesce("text", F.lit(""))) < LEAST
+    return out.withColumn("language", F.when(short, "unknown").otherwise(F.col("language"))).drop("_letters", "_chars", "_grams", "_x", "_p", "_r", "_q")
+
+
 def squash(score):
     return F.round(1 / (1 + F.exp(-score / 50)), 3)

@@ -31,6 +31,11 @@ def language_mismatch() -> Column:
     return F.when(~F.col("language_match") & (F.col("language_detected") != "unknown"), "language_mismatch")
 
 
+def out_of_window() -> Column:
+    """The older hard gate: a publication date that is known to lie outside; an unknown one passes."""
+    return F.when(F.col("pub_in_window") == F.lit(False), "pub_date_out_of_window")
+
+
 def no_terms() -> Column:
     return F.coalesce(F.when((F.col("n_locations") > 0) & (F.col("location_term_hits") == 0), "no_location_match"), F.when(F.col("flood_term_hits") == 0, "no_flood_term_match"))
 

@@ -47,6 +47,10 @@ class Profile:
     tier2: frozenset[str] = frozenset("afr ber bos bul ckb hat hrv kat khm lao mya npi pus ron sna srp tgl ukr".split())
     tier3: frozenset[str] = frozenset("ayu hau ibo kon lin lua lug men mlg mnk nya que sag som swa tem tsn wol xho yor zul".split())
     tracking: frozenset[str] = frozenset("cmpid fbclid ftag hss_channel intcmp mod partner ref related share source traffic_source utm_campaign utm_content utm_medium utm_source utm_term via".split())
+    #: Where an event whose country has no list is searched for.
+    fallback_domains: tuple[str, ...] = ("disasteralert.pfh.org", "floodlist.com", "gdacs.org", "ifrc.org", "preventionweb.net", "reliefweb.int", "unocha.org")
+    #: What a broad look for the subject goes by.
+    broad_words: str = words("cheias?", "crecidas?", "enchentes?", "flash floods?", "flood(s|ed|ing)?", "inondations?", "inundaci[oó]n(es)?", "riadas?")
     # caps of index hits by domain, and domains of national scope that get the smaller one
     hit_cap: int = 3000
     national_hit_cap: int = 500

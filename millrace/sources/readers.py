@@ -31,6 +31,11 @@ def manifest(spark: SparkSession, path: str, part: str = "/subset=warc/") -> Dat
     return spark.read.text(path).filter(F.col("value").contains(part) & F.col("value").endswith(".parquet")).withColumnRenamed("value", "path")
 
 
+def scan(rows: DataFrame, columns: list[str], key: str, first, last) -> DataFrame:
+    """The columns of rows whose key lies in first..last; range and columns reach the files."""
+    return rows.filter(F.col(key).between(first, last)).select(*columns)
+
+
 def crawls(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("id string, name string, `from` string, `to` string").option("multiLine", True).json(path)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialised
 
 def overwrite(df: DataFrame, path: str, schema=None) -> None:
     (df.to(schema) if schema else df).write.mode("overwrite").parquet(path)
@@ -48,12 +49,34 @@ def csv(df: DataFrame, path: str, by: str | None = None, quote_all: bool = True)
     (w.partitionBy(by) if by else w).csv(path)
 
 
+def csv_by_group(df: DataFrame, path: str, group: str, order: tuple[str, ...]) -> DataFrame:
+    """A folder of quoted CSV for each group, its rows numbered from 1 by `order`; returns (group, n)."""
+    from ..operators import report
+
+    rows = materialised(report.numbered(df, order, within=group))
+    csv(rows, path, by=group)
+    return rows.groupBy(group).agg(F.count("*").alias("n"))
+
+
 def manifests(df: DataFrame, path: str, key: str = "event_id") -> None:
     """A line of JSON for each row, in a folder for each key."""
     df.select(key, F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").partitionBy(key).text(path)
 
 
-def summary(df: DataFrame, title: str) -> str:
-    """A few aggregate rows as text; for tables of a report's size."""
-    rows = df.limit(1000).collect()
-    return "\n".join([title, "=" * len(title), *("  ".join(f"{k}: {v}" for k, v in r.asDict().items()) for r in rows)])
+def summary(df: DataFrame, path: str, title: str, order: list[str]) -> None:
+    """All rows of df as lines of text under a title, in order, in part files that read in that order."""
+    line = F.concat_ws("  ", *(F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for c in df.columns))
+    ruled = [(0, title), (1, "=" * len(title))]
+    head = df.sparkSession.createDataFrame(ruled, "_head int, value string")
+    rows = df.select(F.lit(2).alias("_head"), line.alias("value"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(order)))
+    rows = head.unionByName(rows, allowMissingColumns=True)
+    rows.orderBy("_head", *(f"_k{i}" for i in range(len(order)))).select("value").write.mode("overwrite").text(path)
+
+
+def progress_document(progress: DataFrame, path: str, at: str) -> None:
+    """Events' progress as lines of JSON, and before them one line of the totals."""
+    from ..operators import metrics
+
+    totals = metrics.stage_counts(progress).select(F.lit(0).alias("_head"), F.lit(None).cast("long").alias("_k"), F.to_json(F.struct(F.lit(at).alias("generated_at"), (F.col("complete") + F.col("fetched") + F.col("begun") + F.col("not_begun")).alias("total_events"), "*")).alias("value"))
+    events = progress.select(F.lit(1).alias("_head"), F.col("event_id").cast("long").alias("_k"), F.to_json(F.struct(*progress.columns)).alias("value"))
+    totals.unionByName(events).orderBy("_head", "_k").select("value").write.mode("overwrite").text(path)
