@@ -37,6 +37,27 @@ SELECT concat('crawl-', substr(m, 1, 7)) AS crawl_id, CAST(concat(substr(m, 1, 8
 FROM (SELECT DISTINCT substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 8) AS m FROM {orders}) t
 WHERE substr(m, 6, 2) IN ('01', '03', '05', '07', '11')"""
 
+#: Headlines and addresses that every rule and every pattern of listings has a case of, in turn over the documents.
+TITLES = (
+    "Weather | Forecast Conditions", "Traffic | road conditions now", "Our staff personalities", "Coronavirus hoy", "Coronavirus e inundación", "Vacunación COVID-19", "Licitação aberta", "Previsão de risco geo-hidrológico",
+    "Noticias :: hoy", "Rumo aos 30 anos | OCHA", "News Archives", "Live: late news", "Watch local videos online", "Pronóstico de la semana", "Previsão do tempo", "Pronóstico: lluvias", "Cambio climático", "Climate change and flood",
+    "Wildfire near the town", "Incêndio e temporal", "Dengue", "El ébola vuelve", "Balacera en el centro", "narco detenido", "Mina de oro", "Mount Polley", "Terremoto", "Temblor y tormenta", "Floods in Bangladesh", "Vida en China", "Inundaciones en China", "Sequía",
+    "Falta de agua", "Drought and flood", "Nota", "Lluvias", "asesino", "Page 2 of news", "news - Page 2", "Halaman 3", "March 4, 2024 - all", "2023 archives", "Archive 2019", "All articles tagged rain", "Tag: rain", "Berita terbaru banjir hari ini",
+    "Berita tentang air terkini", "Informasi hujan terkini dan terbaru", "3.4 Water", "Chapter 5 of it", "Annex b", "El Sitio - Inicio", "Some paper — Home", "flooding of the river", "The floods came", "",
+)
+PATHS = ("/a/b", "/", "", "/tag/x", "/tags", "/category/y/", "/categories/z", "/page/3", "/news_page_4", "/a?page=2", "/a?q=rain", "/2024/05/", "/2024/05/a", "/opac/x", "/rubrique/y", "/staff-personalities/z", "/a;jsessionid=1F", "/BrowseThesaurus", "/buscar/1", "/topics/w", "/a?pages=2")
+HOSTS = ("e.com", "www.weather.gov", "cemaden.gov.br", "clarin.com", "sub.eltiempo.com", "e.org")
+
+
+def _in_turn(values: tuple[str, ...], step: int = 1) -> str:
+    return f"CASE {'doc_id' if step == 1 else f'CAST(floor(doc_id / {step}) AS INT)'} % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+HEADLINES = f"""
+SELECT doc_id, substr(coalesce(text, ''), 1, 400) AS raw_text, {_in_turn(TITLES)} AS page_title, {_in_turn(HOSTS, 3)} AS domain,
+  concat('https://', {_in_turn(HOSTS, 3)}, {_in_turn(PATHS)}) AS url, CAST(doc_id % 5 AS INT) AS hits
+FROM {{documents}}"""
+
 #: Index rows: an event row's user is its domain.
 INDEX = """
 SELECT event_id AS row_id, concat('CC-', event_type) AS crawl_id, concat('d', CAST(user_id % 60 AS STRING)) AS domain, ts, CASE WHEN event_id % 11 = 0 THEN 404 ELSE 200 END AS status,

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, languages, places, text, urls
 from ..functions.plan import filter_here, spread
-from ..operators import classify, coverage, dedup, gates, index, metrics, pointers, relevance, report, rules, sampling
+from ..operators import classify, coverage, dedup, enrich, gates, index, metrics, pointers, relevance, report, rules, sampling
 from ..profile import DEFAULT
-from ..session import ship
-from ..sources import archive, sinks
+from ..session import materialised, ship
+from ..sources import archive, readers, sinks
 from . import inputs
+from .refine import refine
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -121,13 +122,23 @@ def domain_extract(s, d):
     return _urls(s, d).select("id", urls.domain(u).alias("domain"), urls.domain(u, faithful=True).alias("domain_faithful"), urls.slug(u).alias("slug"))
 
 
-_LIST_URL = "/(archives?|buscar|categor(y|ies)|etiqueta|kategori|opac|pencarian|recherche|rubri(c|que)|search|sections?|suche|tags?|topics?)/|/tags?$|/page/[0-9]+|[_-]page[_-][0-9]+|[?&](page|p)=[0-9]+|[?&](keyword|query|q|s)=|/[0-9]{4}/([0-9]{2}/)?$"
-LISTING = f"(regexp_matches(url, '^https?://[^/]+/?$') OR regexp_matches(url, '{_LIST_URL}', 'i') OR regexp_matches(page_title, '\\bpage\\s+[0-9]+\\b|^(chapter|section)\\s+[0-9]+\\b|\\btag:\\s*', 'i'))"
+def _re2(pattern: str) -> str:
+    """A pattern of the profile as a DuckDB literal: word edges spelled out, as RE2's are of ASCII alone."""
+    if pattern.startswith("(?iuU)\\b("):
+        pattern = "(?i)(^|[^\\p{L}\\p{N}_])(" + pattern.removeprefix("(?iuU)\\b(").removesuffix(")\\b") + ")($|[^\\p{L}\\p{N}_])"
+    return "'" + pattern.replace("(?iu)", "(?i)").replace("'", "''") + "'"
 
 
-@query(f"WITH a AS ({A}) SELECT doc_id, {LISTING} AS listing, regexp_matches(url, '^https?://[^/]+/?(\\?.*)?$') OR regexp_matches(url, '/tags?/|/tags?$|[?&]page=[0-9]+|/page/[0-9]+', 'i') AS junk FROM a")
+LISTING = "(" + " OR ".join(f"regexp_matches(coalesce({c}, ''), {_re2(x)})" for c, x in (("url", DEFAULT.junk_host), ("url", DEFAULT.home_url), ("url", DEFAULT.listing_url), ("page_title", DEFAULT.listing_title))) + ")"
+_JUNK = " OR ".join(f"regexp_matches(url, {_re2(x)})" for x in (DEFAULT.junk_host, DEFAULT.home_url_query, DEFAULT.prefilter_url))
+HEAD = inputs.oracle(inputs.HEADLINES)
+headlines = lambda s, d: inputs.rows(s, d, inputs.HEADLINES)
+
+
+@query(f"WITH a AS ({A}), h AS ({HEAD}), x AS (SELECT doc_id, url, page_title FROM a UNION ALL SELECT -1 - doc_id, url, page_title FROM h) SELECT doc_id, {LISTING} AS listing, {_JUNK} AS junk FROM x")
 def tag_page_gate(s, d):
-    return articles(s, d).select("doc_id", urls.is_listing(F.col("url"), F.col("page_title")).alias("listing"), urls.is_prefilter_junk(F.col("url")).alias("junk"))
+    rows = articles(s, d).select("doc_id", "url", "page_title").unionByName(headlines(s, d).select((-1 - F.col("doc_id")).alias("doc_id"), "url", "page_title"))
+    return rows.select("doc_id", urls.is_listing(F.col("url"), F.col("page_title")).alias("listing"), urls.is_prefilter_junk(F.col("url")).alias("junk"))
 
 
 @query(f"""WITH a AS ({A}) SELECT doc_id, coalesce(nullif(regexp_extract(url, '/([0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}})/', 1), ''), nullif(regexp_extract(url, '/([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1), '')) AS day FROM a""")
@@ -302,14 +313,18 @@ def url_dedup_latest(s, d):
 
 # == relevance and duplicates
 
-TERMS, IMPACT = ("with", "from", "was", "dans"), ("this", "zu")
-LEXICON = {"eng": {"flood": ["With", "from", "was"], "impact": ["this"]}, "fra": {"river": ["dans"]}, "deu": {"impact": ["zu"]}}
-PLACE_LISTS = {0: [("Than", "country", []), ("shed", "subnational", ["stnd", "pour"])], 1: [("than", "country", ["über"])], 2: [("thing", "subnational", []), ("ofer", "country", ["by"])]}
+TERMS, IMPACT = ("with", "from", "was", "dans", "to the"), ("this", "zu")
+LEXICON = [("eng", "flood", "With"), ("eng", "flood", "from"), ("eng", "disaster", "was"), ("eng", "flood", "to  the".replace("  ", " ")), ("eng", "impact", "this"), ("fra", "river", "dans"), ("deu", "impact", "zu"), ("spa", "flood", "el"), ("eng", "other", "the")]
+PLACE_LISTS = [(0, "Than", [], "country"), (0, "shed", ["stnd", "pour"], "subnational"), (1, "than", ["über"], "country"), (2, "thing", [], "subnational"), (2, "ofer", ["by"], "country"), (2, "in the", ["est ou"], "country")]
 
 
 def _terms(s):
-    ids = range(40)
-    return relevance.event_terms(s, {i: ["deu", "eng", "fra"] for i in ids}, LEXICON, {i: PLACE_LISTS[i % 4] for i in ids if i % 4 in PLACE_LISTS})
+    """Terms of 40 events, of a lexicon and place lists that lie in tables."""
+    events = s.range(40).select(F.col("id").cast("int").alias("event_id"))
+    lexicon = s.createDataFrame(LEXICON, "language string, category string, term string")
+    lists = s.createDataFrame(PLACE_LISTS, "k int, location_normalised string, aliases array<string>, level string")
+    spots = events.withColumn("k", F.col("event_id") % 4).join(lists, "k").drop("k")
+    return relevance.terms_of(events.withColumn("codes", F.array(*map(F.lit, ("deu", "eng", "fra")))), lexicon, spots)
 
 
 def _scored(s, d):
@@ -322,7 +337,7 @@ _sum = lambda ts: " + ".join(f"CAST({_has(t)} AS INT)" for t in ts) or "0"  # no
 _any = lambda ts: "CAST(" + " OR ".join(map(_has, ts)) + " AS INT)"
 SCORE = f"""{CLEAN}, t AS (SELECT *, strip_accents(lower(page_title || ' ' || clean_text)) AS t FROM m),
 g AS (SELECT *, {_sum(TERMS)} AS flood_term_hits, {_sum(IMPACT)} AS impact_term_hits,
-  CASE event_id % 4 WHEN 0 THEN {_any(['than'])} WHEN 1 THEN {_any(['than', 'uber'])} WHEN 2 THEN {_any(['ofer', 'by'])} ELSE 0 END AS country_hits,
+  CASE event_id % 4 WHEN 0 THEN {_any(['than'])} WHEN 1 THEN {_any(['than', 'uber'])} WHEN 2 THEN {_any(['ofer', 'by'])} + {_any(['in the', 'est ou'])} ELSE 0 END AS country_hits,
   CASE event_id % 4 WHEN 0 THEN {_any(['shed', 'stnd', 'pour'])} WHEN 2 THEN {_any(['thing'])} ELSE 0 END AS subnational_hits FROM t),
 s AS (SELECT *, country_hits + subnational_hits AS location_term_hits FROM g),
 f AS (SELECT *, flood_term_hits >= 2 AND CASE event_id % 4 WHEN 3 THEN TRUE WHEN 1 THEN location_term_hits >= 1 ELSE subnational_hits >= 1 END AS is_relevant, flood_term_hits >= 2 AND location_term_hits >= 1 AS is_soft_relevant FROM s)"""
@@ -417,15 +432,22 @@ def nlp_input(s, d):
 
 # == rules, models, samples
 
-_EVENT = "(^|[^a-z0-9_])(flood|temporal|tormenta|avenida|riada)([^a-z0-9_]|$)"
+_LOOKS = {"title": "t", "url": "url", "head": "head", "cemaden": "CASE WHEN contains(lower(domain), 'cemaden') THEN t ELSE '' END"}
+_saved = lambda x: f"NOT regexp_matches({_LOOKS[x]}, {_re2(DEFAULT.event_words)})"
+RULES = " ".join(f"WHEN regexp_matches({_LOOKS[where]}, {_re2(p)}){f' AND {_saved(where)}' if saved else ''} THEN '{reason}'" for reason, where, p, saved in DEFAULT.title_rules)
+_STRICT = " OR ".join(f"contains(lower({c}), '{x}')" for x in DEFAULT.strict_domains for c in ("domain", "url"))
 
 
-@query(f"""WITH a AS ({A}), h AS (SELECT *, lower(page_title || ' ' || left(raw_text, 300)) AS head, lower(page_title) AS t FROM a) SELECT doc_id, CASE
-  WHEN regexp_matches(head, '(^|[^a-z0-9_])(wildfire)([^a-z0-9_]|$)') AND NOT regexp_matches(head, '{_EVENT}') THEN 'fire_not_flood' WHEN regexp_matches(head, '(^|[^a-z0-9_])(earthquake)([^a-z0-9_]|$)') AND NOT regexp_matches(head, '{_EVENT}') THEN 'earthquake_not_flood'
-  WHEN regexp_matches(t, '(^|[^a-z0-9_])(drought)([^a-z0-9_]|$)') AND NOT regexp_matches(t, '{_EVENT}') THEN 'water_scarcity_not_flood' WHEN doc_id % 5 = 0 THEN 'zero_keyword_hits' ELSE '' END AS reason FROM h""")
+@query(f"""WITH h AS (SELECT *, page_title AS t, page_title || ' ' || left(raw_text, 300) AS head FROM ({HEAD}) z) SELECT doc_id,
+  CASE {RULES} WHEN ({_STRICT}) AND {_saved("title")} THEN 'strict_domain_no_flood_title' WHEN hits = 0 THEN 'zero_keyword_hits' ELSE '' END AS reason FROM h""")
 def post_filter_reason(s, d):
-    hits = F.when(F.col("doc_id") % 5 == 0, 0).otherwise(1)
-    return articles(s, d).select("doc_id", rules.post_filter_reason(F.col("page_title"), F.col("url"), urls.domain(F.col("url")), F.col("raw_text"), hits, F.lit(0)).alias("reason"))
+    c = F.col
+    return headlines(s, d).select("doc_id", rules.post_filter_reason(c("page_title"), c("url"), c("domain"), c("raw_text"), c("hits"), F.lit(0)).alias("reason"))
+
+
+@query(f"SELECT doc_id FROM ({HEAD}) z WHERE regexp_matches(page_title || ' ' || raw_text, {_re2(DEFAULT.broad_words)})")
+def broad_keyword(s, d):
+    return headlines(s, d).filter(rules.broad_keyword(F.col("page_title"), F.col("raw_text"), DEFAULT.broad_words)).select("doc_id")
 
 
 def _labelled(s, d):
@@ -554,16 +576,15 @@ def fetch_log_summary(s, d):
     return rows.groupBy("event_id", "error_type").agg(F.count("*").alias("n"), F.round(F.avg(F.col("ok").cast("int")), 4).alias("ok_rate"))
 
 
-@query("SELECT doc_id FROM documents WHERE NOT regexp_matches(lower(left(text, 60)), '(^|[^a-z])(was|und)([^a-z]|$)') AND regexp_matches(lower(left(text, 60)), '(^|[^a-z])(the|der|que)([^a-z]|$)')")
+@query(f"SELECT doc_id FROM ({HEAD}) z WHERE NOT regexp_matches(page_title, '(?i)(^|[^a-z])(drought|news|page)([^a-z]|$)') AND regexp_matches(page_title, {_re2(DEFAULT.event_words)})")
 def title_flood_filter(s, d):
-    title = F.left("text", F.lit(60))
-    return s.read.parquet(f"{d}/documents.parquet").filter(rules.titled(title, "(?i)(^|[^a-z])(the|der|que)([^a-z]|$)", "(?i)(^|[^a-z])(was|und)([^a-z]|$)")).select("doc_id")
+    return headlines(s, d).filter(rules.titled(F.col("page_title"), DEFAULT.event_words, "(?i)(^|[^a-z])(drought|news|page)([^a-z]|$)")).select("doc_id")
 
 
-@query(f"WITH a AS ({A}) SELECT doc_id, event_id, CAST(row_number() OVER (ORDER BY event_id, doc_id % 7 DESC, doc_id) AS INT) AS doc_num FROM a WHERE event_id < 12")
+@query(f"WITH a AS ({A}) SELECT doc_id, event_id, CAST(row_number() OVER (ORDER BY event_id, doc_id % 7 DESC, doc_id) AS INT) AS doc_num FROM a")
 def merge_splits(s, d):
     rows = articles(s, d).select("doc_id", "event_id", (F.col("doc_id") % 7).alias("p"))
-    parts = rows.filter("event_id < 5").unionByName(rows.filter("event_id between 5 and 11"))
+    parts = rows.filter("event_id < 5").unionByName(rows.filter("event_id >= 5 or event_id is null"))
     return report.numbered(parts, ("event_id", "p desc", "doc_id")).select("doc_id", "event_id", "doc_num")
 
 
@@ -587,6 +608,278 @@ def length_rank_sum(s, d):
     return metrics.rank_sum(rows, "quality", "n_chars")
 
 
+# == lookups, filters and counts of the later stages
+
+_COVER = SQL["coverage_status"]
+
+
+@query(f"SELECT event_id, coverage_status FROM ({_COVER}) z WHERE coverage_status IN ('COVERED', 'PARTIAL', 'NEAREST')")
+def covered_events(s, d):
+    return coverage.covered(coverage.coverage(_windows(s, d), inputs.rows(s, d, inputs.CRAWLS))).select("event_id", "coverage_status")
+
+
+@query(f"SELECT event_id, priority FROM ({E}) e WHERE event_id IN (SELECT event_id FROM ({_COVER}) z WHERE coverage_status <> 'NO_CRAWL')")
+def covered_specs(s, d):
+    return enrich.among(inputs.rows(s, d, inputs.EVENTS), covered_events(s, d), ["event_id"]).select("event_id", "priority")
+
+
+@query(f"SELECT event_id, priority FROM ({E}) e WHERE event_id NOT IN (SELECT event_id FROM ({_COVER}) z WHERE coverage_status <> 'NO_CRAWL')")
+def events_left_over(s, d):
+    return enrich.not_among(inputs.rows(s, d, inputs.EVENTS), covered_events(s, d), ["event_id"]).select("event_id", "priority")
+
+
+@query(f"WITH {HITS} SELECT event_id, regexp_extract(query_id, '_([A-D])$', 1) AS variant, crawl_id, CAST(count(*) AS BIGINT) AS hit_count FROM h WHERE regexp_matches(query_id, '_[A-D]$') GROUP BY ALL")
+def hit_counts_by_variant(s, d):
+    return index.hit_counts_by_variant(_hits(s, d))
+
+
+@query(f"WITH s AS (SELECT *, CASE WHEN event_id % 50 = 7 THEN 'PER_' || query_id ELSE query_id END AS q FROM ({S}) z) SELECT event_id, q AS query_id FROM s WHERE regexp_matches(q, '^[A-Z]{{3}}_')")
+def odd_query_ids(s, d):
+    specs = inputs.rows(s, d, inputs.SPECS)
+    return index.odd_query_ids(specs.withColumn("query_id", F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("PER_"), "query_id")).otherwise(F.col("query_id")))).select("event_id", "query_id")
+
+
+_FALLBACK = ", ".join(f"'{x}'" for x in DEFAULT.fallback_domains)
+
+
+@query(f"""WITH e AS (SELECT n_nationkey AS event_id, r_name AS iso, n_regionkey % 2 = 0 AS listed, 'News.' || r_name AS n, r_name || '.gov' AS g FROM nation JOIN region ON r_regionkey = n_regionkey)
+SELECT event_id, CASE WHEN listed THEN 'restricted' ELSE 'open' END AS retrieval_strategy, unnest(CASE WHEN listed THEN [n, g] ELSE [{_FALLBACK}] END) AS domain FROM e""")
+def domain_resolution(s, d):
+    nation, region = (s.read.parquet(f"{d}/{t}.parquet") for t in ("nation", "region"))
+    events = nation.join(region, F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("n_nationkey").alias("event_id"), F.col("r_name").alias("iso"))
+    lists = region.filter("r_regionkey % 2 = 0").select(F.col("r_name").alias("iso"), F.array(F.concat(F.lit("News."), "r_name")).alias("news_domains"), F.array(F.concat("r_name", F.lit(".gov"))).alias("gov_domains"), F.lit(None).cast("array<string>").alias("org_domains"))
+    return index.resolve_domains(events, lists).select("event_id", "retrieval_strategy", "domain")
+
+
+@query(f"WITH l AS ({inputs.oracle(inputs.LANGUAGES)}) SELECT event_id, array_to_string(list_sort(list_distinct(list_concat(list_filter(regexp_split_to_array(lower(coalesce(languages, '')), '[,\\s]+'), lambda x: x <> ''), ['eng', 'por', 'spa']))), ',') AS codes FROM l")
+def spec_languages(s, d):
+    return inputs.rows(s, d, inputs.LANGUAGES).select("event_id", F.array_join(languages.spec_codes(F.col("languages")), ",").alias("codes"))
+
+
+@query(f"WITH {LANG} SELECT event_id, array_to_string(list_sort(list_distinct(list_filter(c, lambda x: NOT list_contains(codes, x)))), ',') AS missing FROM q")
+def language_difference(s, d):
+    c = F.col("languages")
+    missing = F.array_sort(F.array_except(languages.codes(c), languages.query_codes(c)))
+    return inputs.rows(s, d, inputs.LANGUAGES).select("event_id", F.array_join(missing, ",").alias("missing"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS digits FROM events")
+def compact_timestamps(s, d):
+    return s.read.parquet(f"{d}/events.parquet").select("event_id", dates.compact(F.col("ts")).alias("digits"))
+
+
+@query("SELECT doc_id, round(1 / (1 + exp(-(n_chars / 10 - 100) / 50)), 3) AS p FROM documents")
+def squashed_scores(s, d):
+    return s.read.parquet(f"{d}/documents.parquet").select("doc_id", classify.squash(F.col("n_chars") / 10 - 100).alias("p"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'")
+def range_scan(s, d):
+    orders = s.read.parquet(f"{d}/orders.parquet").withColumn("day", F.col("o_orderdate").cast("date"))
+    return readers.scan(orders, ["o_orderkey", "o_totalprice"], "day", F.lit("1995-01-01").cast("date"), F.lit("1996-12-31").cast("date"))
+
+
+@query("""WITH old AS (SELECT DISTINCT p_brand AS language, p_type AS category, p_name AS term FROM part WHERE p_size < 30), nw AS (SELECT DISTINCT p_brand AS language, p_type AS category, 'new ' || p_name AS term FROM part WHERE p_size >= 30 AND p_brand <> 'Brand#2' AND p_type <> 'ECONOMY')
+SELECT * FROM nw UNION SELECT * FROM old WHERE language NOT IN (SELECT language FROM nw) OR category = 'ECONOMY'""")
+def lexicon_merge(s, d):
+    part = s.read.parquet(f"{d}/part.parquet")
+    own = lambda rows, term: rows.select(F.col("p_brand").alias("language"), F.col("p_type").alias("category"), term.alias("term")).distinct()
+    new = own(part.filter("p_size >= 30 and p_brand <> 'Brand#2'"), F.concat(F.lit("new "), "p_name"))
+    return readers.merge_lexicons(own(part.filter("p_size < 30"), F.col("p_name")), new, keep=("ECONOMY",))
+
+
+# a page's rows of the pointer table come twice, so a lookup must choose
+_LOG = f"SELECT pointer_id, event_id, CASE WHEN CAST(pointer_id // 1000 AS BIGINT) % 5 = 0 THEN -pointer_id ELSE pointer_id END AS k, CAST(pointer_id // 1000 AS BIGINT) % 3 AS st FROM ({P}) z"
+_TWICE = f"SELECT pointer_id, ts, coalesce(url, 'none') AS url FROM ({P}) y UNION ALL SELECT pointer_id, '3' || ts, 'later' FROM ({P}) x"
+
+
+def _log(s, d):
+    base = F.floor(F.col("pointer_id") / 1000)
+    return _pointers(s, d).select("event_id", F.when(base % 5 == 0, -F.col("pointer_id")).otherwise(F.col("pointer_id")).alias("pointer_id"), (base % 3).alias("st"))
+
+
+def _twice(s, d):
+    p = _pointers(s, d).select("pointer_id", "ts", F.coalesce("url", F.lit("none")).alias("url"))
+    return p.unionByName(p.select("pointer_id", F.concat(F.lit("3"), "ts").alias("ts"), F.lit("later").alias("url")))
+
+
+@query(f"WITH l AS ({_LOG}), t AS (SELECT pointer_id, min(ts) AS ts, min_by(url, ts) AS url FROM ({_TWICE}) z GROUP BY 1) SELECT l.k AS pointer_id, t.ts, t.url FROM l LEFT JOIN t ON l.k = t.pointer_id")
+def extracted_with_pointer(s, d):
+    return enrich.lookup(_log(s, d), _twice(s, d), ["pointer_id"], ["ts", "url"], order=["ts"]).select("pointer_id", "ts", "url")
+
+
+@query(f"WITH l AS ({_LOG}), t AS (SELECT pointer_id, min_by(url, ts) AS url FROM ({_TWICE}) z GROUP BY 1) SELECT l.k AS pointer_id, coalesce(t.url, '') AS url FROM l LEFT JOIN t ON l.k = t.pointer_id WHERE st = 0")
+def fetched_with_url(s, d):
+    log = pointers.fetched(_log(s, d).withColumn("download_success", F.when(F.col("st") == 0, True).when(F.col("st") == 1, False)))
+    return enrich.lookup(log, _twice(s, d), ["pointer_id"], ["url"], fill="", order=["ts"]).select("pointer_id", "url")
+
+
+# a model's rows by event and address, of every other document; an address of an event may have several
+_NLP = "SELECT event_id, url, doc_id AS nlp_id, CASE doc_id % 4 WHEN 0 THEN 'impact' WHEN 1 THEN 'response' WHEN 2 THEN 'other' END AS dominant_frame, CAST(doc_id % 3 = 0 AS INT) AS srl_complete FROM a WHERE doc_id % 2 = 0 OR doc_id % 5 = 0"
+
+
+def _nlp(s, d):
+    k = F.col("doc_id")
+    frame = F.when(k % 4 == 0, "impact").when(k % 4 == 1, "response").when(k % 4 == 2, "other")
+    return articles(s, d).filter("doc_id % 2 = 0 or doc_id % 5 = 0").select("event_id", "url", k.alias("nlp_id"), frame.alias("dominant_frame"), (k % 3 == 0).cast("int").alias("srl_complete"))
+
+
+@query(f"WITH a AS ({A}), n AS ({_NLP}), u AS (SELECT event_id, url, min_by(dominant_frame, nlp_id) FILTER (TRUE) AS f, min(nlp_id) AS k FROM n GROUP BY 1, 2), v AS (SELECT u.event_id, u.url, n.dominant_frame FROM u JOIN n ON n.nlp_id = u.k) SELECT doc_id, dominant_frame FROM a LEFT JOIN v USING (event_id, url)")
+def report_with_frames(s, d):
+    return enrich.lookup(articles(s, d), _nlp(s, d), ["event_id", "url"], ["dominant_frame"], order=["nlp_id"]).select("doc_id", "dominant_frame")
+
+
+@query(f"WITH a AS ({A}), n AS ({_NLP}), v AS (SELECT n.* FROM n JOIN (SELECT min(nlp_id) AS k FROM n GROUP BY url) u ON n.nlp_id = u.k) SELECT doc_id, doc_id % 3 <> 0 AND (v.nlp_id IS NULL OR v.srl_complete = 1 OR coalesce(v.dominant_frame, '') IN ('impact', 'response')) AS accepted FROM a LEFT JOIN v USING (url)")
+def nlp_gate_by_url(s, d):
+    rows = enrich.lookup(articles(s, d), _nlp(s, d), ["url"], ["nlp_id", "srl_complete", "dominant_frame"], order=["nlp_id"])
+    return rows.select("doc_id", rules.combined_gate(F.col("doc_id") % 3 != 0, F.col("nlp_id").isNotNull(), F.col("srl_complete"), F.col("dominant_frame")).alias("accepted"))
+
+
+@query(f"WITH a AS ({A}), m AS (SELECT n_nationkey AS event_id, n_name AS country FROM nation WHERE n_nationkey % 3 <> 1) SELECT doc_id, coalesce(country, '') AS country FROM a LEFT JOIN m USING (event_id)")
+def event_meta(s, d):
+    meta = s.read.parquet(f"{d}/nation.parquet").filter("n_nationkey % 3 <> 1").select(F.col("n_nationkey").alias("event_id"), F.col("n_name").alias("country"))
+    return enrich.lookup(articles(s, d), meta, ["event_id"], ["country"], fill="").select("doc_id", "country")
+
+
+FLAGS = f"""{SCORE}, x AS (SELECT *, is_relevant AND impact_term_hits >= 1 AS is_event_article, CASE doc_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS pub_in_window, CASE doc_id % 4 WHEN 0 THEN 'impact' WHEN 1 THEN 'response' WHEN 2 THEN 'other' END AS dominant_frame FROM f),
+y AS (SELECT event_id, unnest(list_filter([CASE WHEN is_event_article THEN 'event' END, CASE WHEN is_relevant OR (is_soft_relevant AND coalesce(pub_in_window, FALSE)) THEN 'relevant' END, CASE WHEN dominant_frame IN ('impact', 'response') THEN 'frames' END,
+  CASE WHEN pub_in_window THEN 'window' END, CASE WHEN is_event_article THEN 'nlp_event' END, CASE WHEN is_relevant OR is_soft_relevant THEN 'nlp_soft' END, CASE WHEN is_relevant THEN 'nlp_strict' END, CASE WHEN length(clean_text) > 50 THEN 'text' END], lambda z: z IS NOT NULL)) AS kind FROM x)"""
+
+
+@query(f"WITH {FLAGS} SELECT kind, event_id, count(*) AS n FROM y GROUP BY ALL")
+def report_filters(s, d):
+    """How many articles of an event each filter of the reports leaves."""
+    k = F.col("doc_id")
+    frame = F.when(k % 4 == 0, "impact").when(k % 4 == 1, "response").when(k % 4 == 2, "other")
+    rows = _scored(s, d).withColumns({"pub_in_window": F.when(k % 3 == 0, True).when(k % 3 == 1, False), "dominant_frame": frame})
+    rows = materialised(rows.select("event_id", "is_relevant", "is_soft_relevant", "is_event_article", "pub_in_window", "dominant_frame", "clean_text"))
+    kinds = {
+        "event": report.event_only, "relevant": report.relevant, "frames": report.in_frames, "window": report.in_pub_window, "text": report.with_text,
+        "nlp_event": lambda r: report.nlp_rows(r, "event"), "nlp_soft": lambda r: report.nlp_rows(r, "soft"), "nlp_strict": lambda r: report.nlp_rows(r),
+    }
+    out = None
+    for name, f in kinds.items():
+        one = f(rows).select(F.lit(name).alias("kind"), "event_id")
+        out = one if out is None else out.unionByName(one)
+    return metrics.counts_by(out, "kind", "event_id")
+
+
+@query(f"WITH {SCORE} SELECT doc_id, event_id FROM f WHERE is_relevant")
+def sorted_report(s, d):
+    return report.sorted_rows(filter_here(_scored(s, d), "is_relevant")).select("doc_id", "event_id")
+
+
+_old = lambda ts: " + ".join(f"CAST({_hasx(t)} AS INT)" for t in ts)
+_hasx = lambda t: _has(t).replace("(t,", "(x,", 1)
+_oneof = lambda ts: "CAST(" + " OR ".join(map(_hasx, ts)) + " AS INT)"
+
+
+@query(f"""WITH {CLEAN}, t AS (SELECT *, strip_accents(lower(clean_text)) AS x FROM m), g AS (SELECT doc_id, event_id, {_old(TERMS)} AS flood_term_hits,
+  CASE event_id % 4 WHEN 0 THEN {_old(['than', 'shed', 'stnd', 'pour'])} WHEN 1 THEN {_old(['than', 'uber'])} WHEN 2 THEN {_old(['thing', 'ofer', 'by', 'in the', 'est ou'])} ELSE 0 END AS location_term_hits,
+  CASE event_id % 4 WHEN 0 THEN {_oneof(['shed', 'stnd', 'pour'])} WHEN 2 THEN {_oneof(['thing'])} ELSE 0 END AS subnational_hits FROM t)
+SELECT doc_id, flood_term_hits, location_term_hits, subnational_hits, flood_term_hits >= 2 AND (event_id % 4 = 3 OR location_term_hits >= 1) AS is_relevant, location_term_hits > 0 AND subnational_hits = 0 AS low_specificity FROM g""")
+def relevance_legacy(s, d):
+    return relevance.score(_cleaned(s, d), _terms(s), legacy=True).select("doc_id", "flood_term_hits", "location_term_hits", "subnational_hits", "is_relevant", "low_specificity")
+
+
+@query(f"""WITH a AS ({A}), t AS (SELECT doc_id, CAST(strptime(ts, '%Y%m%d%H%M%S') AS DATE) AS day, DATE '2024-03-01' + CAST(event_id AS INT) AS w0, DATE '2024-06-30' + CAST(event_id AS INT) AS w1 FROM a)
+SELECT CASE WHEN doc_id % 10 <> 0 AND day NOT BETWEEN w0 AND w1 THEN 'pub_date_out_of_window' ELSE '' END AS reject_reason, count(*) AS n FROM t GROUP BY 1""")
+def pubdate_hard_gate(s, d):
+    day = F.when(F.col("doc_id") % 10 != 0, F.date_format(dates.expand(F.col("ts")), "yyyy-MM-dd"))
+    first, last = (F.date_add(F.lit(x).cast("date"), F.col("event_id")) for x in ("2024-03-01", "2024-06-30"))
+    rows = articles(s, d).withColumn("pub_in_window", dates.in_window(day, first, last))
+    return metrics.counts_by(rows.withColumn("reject_reason", gates.first_reason(gates.out_of_window())), "reject_reason")
+
+
+_PREFIXES = ("null offset", "non-numeric", "malformed", "missing", "no such reason")
+
+
+@query(f"WITH {VALID}, x AS (SELECT unnest([{', '.join(repr(p) for p in _PREFIXES)}]) AS prefix) SELECT prefix, count(j.pointer_id) AS n FROM x LEFT JOIN j ON starts_with(j.reject_reason, x.prefix) GROUP BY 1")
+def reject_prefixes(s, d):
+    return metrics.prefix_counts(pointers.validate(_pointers(s, d)), "reject_reason", list(_PREFIXES))
+
+
+@query(f"WITH p AS ({P}) SELECT 'crawl_id' AS field, crawl_id AS value, count(*) AS n FROM p GROUP BY 2 UNION ALL SELECT 'digest', digest, count(*) FROM p GROUP BY 2 UNION ALL SELECT 'offset_kind', CASE WHEN \"offset\" = 'abc' THEN 'text' WHEN \"offset\" IS NOT NULL THEN 'number' END AS v, count(*) FROM p WHERE \"offset\" IS NOT NULL GROUP BY 2")
+def value_counts(s, d):
+    kind = F.when(F.col("offset") == "abc", "text").when(F.col("offset").isNotNull(), "number")
+    return metrics.value_counts(_pointers(s, d).withColumn("offset_kind", kind), ["crawl_id", "digest", "offset_kind"])
+
+
+@query(f"WITH p AS ({P}) SELECT count(DISTINCT event_id) AS n_event_id, count(DISTINCT url) AS n_url, count(DISTINCT filename) AS n_filename FROM p")
+def distinct_counts(s, d):
+    return metrics.distinct_counts(_pointers(s, d), ["event_id", "url", "filename"])
+
+
+@query(f"WITH {LAB} SELECT toxic, count(*) AS n, count(*) FILTER (model_positive = 1) AS n_true FROM b GROUP BY 1")
+def positives_by_event(s, d):
+    return metrics.flag_sums(_labelled(s, d), "toxic", "model_positive")
+
+
+@query(f"WITH a AS ({A}) SELECT event_id, lang, count(*) AS n FROM a GROUP BY 1, 2")
+def counts_by_event_and_language(s, d):
+    return metrics.counts_by(articles(s, d), "event_id", "lang")
+
+
+@query(f"WITH p AS ({P}), y AS (SELECT event_id, coalesce(url, '') <> '' AND row_number() OVER (PARTITION BY event_id, url ORDER BY ts DESC, pointer_id) > 1 AS dup FROM p), r AS (SELECT event_id, count(*) AS n, round(avg(CAST(dup AS INT)), 4) AS is_url_duplicate_rate FROM y GROUP BY 1) SELECT event_id, is_url_duplicate_rate > 0.2 AS alarm_is_url_duplicate_rate, n < 200 AS alarm_n FROM r")
+def url_duplicate_alarms(s, d):
+    rows = metrics.rates(pointers.latest_by_url(_pointers(s, d)), "event_id", ["is_url_duplicate"])
+    return metrics.alarms(rows, {"is_url_duplicate_rate": ("above", 0.2), "n": ("below", 200)}).select("event_id", "alarm_is_url_duplicate_rate", "alarm_n")
+
+
+BYEV = f"{LAB}, v AS (SELECT b.*, CAST(substr(d.source, 4) AS INT) AS event_id FROM b JOIN documents d USING (doc_id))"
+
+
+def _labelled_events(s, d):
+    docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.substring("source", 4, 9).cast("int").alias("event_id"))
+    return _labelled(s, d).join(docs, "doc_id")
+
+
+@query(f"""WITH {BYEV}, c AS (SELECT event_id, count(*) AS n, count(*) FILTER (quality = 1 AND model_positive = 1) AS tp, count(*) FILTER (quality = 0 AND model_positive = 1) AS fp, count(*) FILTER (quality = 1 AND model_positive = 0) AS fn FROM v GROUP BY 1 HAVING count(*) >= 3)
+SELECT *, round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 6) AS f1 FROM c""")
+def classifier_by_event(s, d):
+    return metrics.classification_by(_labelled_events(s, d), "event_id", "quality", "model_positive")
+
+
+@query(f"""WITH {LAB} SELECT quality AS label, CAST(doc_id % 3 = 0 AS INT) AS "first", model_positive AS "second", count(*) AS n,
+  CASE WHEN quality = CAST(doc_id % 3 = 0 AS INT) THEN CASE WHEN quality = model_positive THEN 'both' ELSE 'first' END WHEN quality = model_positive THEN 'second' ELSE 'none' END AS "right" FROM b GROUP BY ALL""")
+def rule_against_model(s, d):
+    return metrics.compared(_labelled(s, d).withColumn("rule", (F.col("doc_id") % 3 == 0).cast("int")), "quality", "rule", "model_positive")
+
+
+@query(f"""WITH {LAB}, w AS (SELECT doc_id, CASE WHEN quality = 0 AND model_positive = 1 THEN 'false_positive' WHEN quality = 1 AND model_positive = 0 THEN 'false_negative' END AS kind, model_prob FROM b),
+k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY round(abs(model_prob - 0.5), 6) DESC, doc_id) AS r FROM w WHERE kind IS NOT NULL) SELECT doc_id, kind FROM k WHERE r <= 10""")
+def error_samples(s, d):
+    return metrics.errors(_labelled(s, d), "quality", "model_positive", "model_prob", "doc_id").select("doc_id", "kind")
+
+
+@query(f"SELECT label, count(*) AS n FROM (SELECT CASE WHEN doc_id % 11 = 0 THEN 'x' ELSE CAST(quality AS VARCHAR) END AS label FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL) z WHERE label IN ('0', '1') GROUP BY 1")
+def training_rows(s, d):
+    rows = s.read.parquet(f"{d}/labels.parquet").join(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), "doc_id")
+    rows = classify.training_rows(rows.withColumn("label", F.when(F.col("doc_id") % 11 == 0, "x").otherwise(F.col("quality").cast("string"))), 3, 1)
+    return metrics.counts_by(rows.select(F.col("label").cast("int").cast("string").alias("label")), "label")
+
+
+@query("""WITH c AS (SELECT quality, toxic, count(*) AS o FROM labels GROUP BY 1, 2), a AS (SELECT quality, sum(o) AS na FROM c GROUP BY 1), b AS (SELECT toxic, sum(o) AS nb FROM c GROUP BY 1), t AS (SELECT sum(o) AS n FROM c)
+SELECT round(2 * sum(o * ln(o * n / (na * nb))), 3) AS statistic, 1 AS dof FROM c JOIN a USING (quality) JOIN b USING (toxic), t""")
+def label_likelihood_ratio(s, d):
+    """Of one flag, a logistic regression's likelihood ratio is the G statistic of the table of both."""
+    out = metrics.likelihood_ratio(s.read.parquet(f"{d}/labels.parquet"), "quality", ["toxic"])
+    return out.select(F.round("statistic", 3).alias("statistic"), F.col("dof").cast("int").alias("dof"))
+
+
+REFINE = f"""{SCORE}, z AS (SELECT *, {{guess}} AS language_detected, {LISTING} AS listing, {USABLE} AS unusable FROM f),
+r AS (SELECT *, CASE WHEN listing THEN 'tag_or_index_page' WHEN unusable <> '' THEN unusable WHEN language_detected NOT IN ('deu', 'eng', 'fra', 'unknown') THEN 'language_mismatch'
+  WHEN event_id % 4 <> 3 AND location_term_hits = 0 THEN 'no_location_match' WHEN flood_term_hits = 0 THEN 'no_flood_term_match' ELSE '' END AS reject_reason FROM z)"""
+
+
+def _refined(s, d):
+    rows = articles(s, d).withColumns({"timestamp": F.col("ts"), "pub_date": F.date_format(dates.expand(F.col("ts")), "yyyy-MM-dd")})
+    events = s.range(40).select(F.col("id").cast("int").alias("event_id"))
+    wanted = events.select("event_id", F.array(*map(F.lit, ("deu", "eng", "fra"))).alias("query_codes"), F.create_map().cast("map<string,string>").alias("skipped"))
+    windows = events.select("event_id", *(F.date_add(F.lit(x).cast("date"), F.col("event_id")).alias(k) for k, x in (("window_start", "2024-03-01"), ("window_end", "2024-06-30"))))
+    return refine(rows, _terms(s), wanted, windows)
+
+
 # == beyond SQL
 
 
@@ -598,15 +891,61 @@ def html_title_text(s, d):
     return rows.select("page_id", "p.page_title", "p.raw_text", "p.extraction_method", "p.pub_date", dates.url_date(F.col("url")).alias("url_day"))
 
 
-@query()
+_counts = lambda text: "[" + ", ".join(_count(k, text) for k in sorted(classify.STOP_WORDS)) + "]"
+_GUESS = lambda text: f"CASE WHEN length({text}) < 50 OR list_max({_counts(text)}) = 0 THEN 'unknown' ELSE [{', '.join(repr(k) for k in sorted(classify.STOP_WORDS))}][list_position({_counts(text)}, list_max({_counts(text)}))] END"
+_count = lambda k, text: f"len(list_filter(regexp_split_to_array(lower(left({text}, 3000)), '[^\\p{{L}}]+'), lambda w: list_contains([{_T(set(classify.STOP_WORDS[k]))}], w)))"
+
+
+@query(f"WITH a AS ({A}) SELECT doc_id, {_GUESS('raw_text')} AS language FROM a")
 def language_guess(s, d):
     return articles(s, d).select("doc_id", classify.guess_language(F.col("raw_text")).alias("language"))
 
 
+@query()
+def language_model(s, d):
+    """The language of every document by n-grams of letters, of a model fitted on documents whose hash is not 2 of 4."""
+    docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 2
+    model = classify.fit_languages(docs.filter(~held_out))
+    return classify.languages_of(model, docs).select("doc_id", held_out.alias("held_out"), "language")
+
+
+_LINES = "list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'), lambda x: trim(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), chr(10) || ' ')), lambda x: x <> '')"
+
+
+@query(f"""WITH p AS (SELECT page_id, url, array_to_string({_LINES}, chr(10)) AS body, trim(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;', '&')) AS page_title FROM pages)
+SELECT page_id, page_title, length(body) >= 200 AS by_article, CASE WHEN length(body) >= 200 THEN sha256(body) ELSE '' END AS text_hash,
+  coalesce(nullif(regexp_extract(url, '/([0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}})/', 1), ''), '2024-07-01') AS day, CASE WHEN regexp_matches(url, '/[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}/') THEN 'url' ELSE 'capture' END AS day_from FROM p""")
+def html_articles(s, d):
+    """Titles, bodies of <article> elements, and days: a page's own, else its address's, else the capture's."""
+    ship(s)
+    rows = spread(s.read.parquet(f"{d}/pages.parquet")).withColumn("p", archive.extract_html("html")).select("page_id", "url", "p.*")
+    by = F.col("extraction_method") == "article"
+    own, there = F.col("pub_date"), dates.url_date(F.col("url"))
+    day = archive.dated(own, there, F.lit("2024-07-01").cast("timestamp"))
+    return rows.select("page_id", "page_title", by.alias("by_article"), F.when(by, text.text_hash(F.col("raw_text"))).otherwise("").alias("text_hash"), day.alias("day"), archive.dated_source(own, there).alias("day_from"))
+
+
 @query()
 def ml_probability(s, d):
     """A quality model of words, fitted on four fifths of the labels and applied to all documents."""
     docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.col("text"))
     train = sampling.split(s.read.parquet(f"{d}/labels.parquet"), "quality", "doc_id").filter("is_train").select("doc_id", F.col("quality").alias("label"))
-    model = classify.fit(classify.training_rows(docs.join(train, "doc_id")), 1 << 14)
+    model = classify.fit(classify.training_rows(docs.join(train, "doc_id")))
     return classify.predict(model, docs).select("doc_id", "model_prob", "model_positive")
+
+
+# == the refinery from articles to what is kept
+
+REFINE = REFINE.replace("{guess}", _GUESS("clean_text"))
+KEPT = DEDUP.replace(GATES, REFINE)
+
+
+@query(f"WITH {REFINE} SELECT reject_reason, count(*) AS n FROM r WHERE reject_reason <> '' GROUP BY 1")
+def refine_rejected(s, d):
+    return metrics.counts_by(_refined(s, d)[1], "reject_reason")
+
+
+@query(f"WITH {KEPT} SELECT k2.doc_id, by_url OR by_text AS is_content_duplicate, NOT (by_url OR by_text) AND k2.event_id > owner AS cross_event_shared, CAST(strptime(r.ts, '%Y%m%d%H%M%S') AS DATE) BETWEEN DATE '2024-03-01' + CAST(r.event_id AS INT) AND DATE '2024-06-30' + CAST(r.event_id AS INT) AS pub_in_window FROM k2 JOIN r USING (doc_id)")
+def refine_kept(s, d):
+    return _refined(s, d)[0].select("doc_id", "is_content_duplicate", "cross_event_shared", "pub_in_window")

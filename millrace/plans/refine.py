@@ -20,7 +20,7 @@ def refine(articles: DataFrame, terms: DataFrame, wanted: DataFrame, windows: Da
     rows = gates.with_clean_text(articles, profile)
     rows = rows.withColumn("_early", gates.first_reason(gates.listing(profile), gates.usability(F.col("page_title"), profile)))
     rows = rows.withColumn("language_detected", classify.guess_language(F.col("clean_text")))
-    rows = rows.join(F.broadcast(wanted), "event_id", "left").join(F.broadcast(windows), "event_id", "left")
+    rows = rows.join(wanted, "event_id", "left").join(windows, "event_id", "left")  # dimensions: broadcast if they are small
     rows = rows.withColumn("language_match", languages.matches(F.col("language_detected"), F.col("query_codes"), F.col("skipped"), profile))
     rows = relevance.score(rows, terms, profile)
     rows = rows.withColumn("pub_in_window", dates.in_window(F.col("pub_date"), F.col("window_start"), F.col("window_end")))
