@@ -5,8 +5,8 @@ the least hash of the GRAM-byte strings in its window, with the anchor's place i
 so suffixes are dealt out by anchor, and anchors that occur once end there. The suffixes of one anchor and place form a
 run; runs of equal bytes around one anchor (by a 128-bit digest of them) are one class, of which the passes order one
 member with the class's size as its weight. The windows of an anchor's classes are ordered by their bytes, eight at a
-time, through `width` bytes and no deeper; groups of weight one leave after every pass, and the groups that are left are
-exactly the repeated windows.
+time, through `width` bytes and no deeper. A group of one leaves after every pass, repeated if it stands for several
+suffixes; the groups that are left are repeated windows too.
 
 Texts are put into shard files once. Only anchors, one run of a class, and verdicts are shuffled: verdicts go to the
 shards' texts, not texts to verdicts. An anchor with more than HOT_CLASSES classes isn't compared in
@@ -200,13 +200,15 @@ def _contexts(folder: str, width: int):
 
 
 def repeated(group: np.ndarray, start: np.ndarray, weight: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
-    """Which windows (first digit, start in data) occur twice: passes over eight bytes each, in lexicographic order."""
+    """Which windows (first digit, start in data) occur twice: passes over eight bytes each, in lexicographic order. A
+    group of one leaves: it is repeated if its weight is two or more, as no later digit can part what is one class."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     words = np.zeros(len(data) + 1, np.uint64)
     for k in range(8):
         words |= padded[k : k + len(words)].astype(np.uint64) << np.uint64(56 - 8 * k)
     live = np.arange(len(group))
     key = group
+    out = np.zeros(len(group), bool)
     for depth in range(-1, -(-width // 8)):
         if not len(live):
             break
@@ -220,10 +222,10 @@ def repeated(group: np.ndarray, start: np.ndarray, weight: np.ndarray, data: np.
         k, d = key[order], digit[order]
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])])
         ident = np.cumsum(new) - 1
-        total = np.bincount(ident, weights=weight[live[order]])
-        keep = total[ident] >= 2
-        live, key = live[order][keep], ident[keep]
-    out = np.zeros(len(group), bool)
+        live = live[order]
+        keep = np.bincount(ident)[ident] >= 2
+        out[live[~keep & (weight[live] >= 2)]] = True
+        live, key = live[keep], ident[keep]
     out[live] = True
     return out
 
@@ -328,14 +330,16 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, h
     shared = common.written(real.join(twice, "anchor"), "shared-runs")
     classes = shared.groupBy("anchor", "run", "more").agg(F.count("*").alias("n"), F.min("ref").alias("ref"), F.min("low").alias("low"), F.min("high").alias("high"))
     classes = common.written(classes.withColumn("shard", F.shiftright("ref", 32)), "run-classes")
-    many = common.written(classes.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > hot), "hot-anchors")
-    crowded = not many.isEmpty()
-    cold = classes if not crowded else classes.join(many, "anchor", "left_anti")
-    cold = cold.repartition(parts, "shard").sortWithinPartitions("shard")
-    spans = cold.select("anchor", "run", "more", "n", "ref", "low", "high", "shard").mapInArrow(_contexts(folder, width), "anchor long, run long, more long, n long, low short, high short, span binary")
-    verdicts = spans.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare(width), "anchor long, run long, more long, low short, high short")
+    # the first digit: an anchor with one class parts from all others, and its group has more than one suffix
+    several = common.written(classes.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1"), "anchors")
+    alone = classes.join(several, "anchor", "left_anti").select("anchor", "run", "more", "low", "high")
+    compared = classes.join(several, "anchor").select("anchor", "run", "more", "n", "ref", "low", "high", "m", "shard")
+    cold = compared.filter(F.col("m") <= hot).drop("m").repartition(parts, "shard").sortWithinPartitions("shard")
+    spans = cold.mapInArrow(_contexts(folder, width), "anchor long, run long, more long, n long, low short, high short, span binary")
+    verdicts = spans.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare(width), "anchor long, run long, more long, low short, high short").unionByName(alone)
+    crowded = not several.filter(F.col("m") > hot).isEmpty()
     if crowded:
-        rows = classes.join(many, "anchor", "left_semi").select("anchor", "run", "more", "n", "ref", "low", "high", "shard").repartition(parts, "shard").sortWithinPartitions("shard")
+        rows = compared.filter(F.col("m") > hot).drop("m").repartition(parts, "shard").sortWithinPartitions("shard")
         rows = common.written(rows.mapInArrow(_windows(folder, width), "window binary, anchor long, run long, more long, n long, offset short"), "hot-windows")
         often = rows.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
         verdicts = verdicts.unionByName(rows.join(often, "window").select("anchor", "run", "more", F.col("offset").alias("low"), F.col("offset").alias("high")))
