@@ -1,9 +1,10 @@
 """Media columns: baseline JPEG. Markers are parsed, scans are Huffman-decoded in numpy with one lane a restart interval
 (of many images at once), and luminance thumbnails come from the DC coefficients alone.
 
-A payload is stored losslessly in the unit that a JPEG keeps exactly, the quantised coefficient: byte b is b itself as a
-number of 8 bits if b > 127, else b - 255, which is what JPEG's size-8 numbers spell with the bits of b. 192 bytes
-are an MCU of three blocks (4:4:4), each MCU its own restart interval, so DC differences are the numbers themselves.
+A payload is stored losslessly in the unit that a JPEG keeps exactly, the quantised coefficient. Bytes are ranked by how
+usual they are in text (ORDER, fixed), and a rank is one of the numbers 1, -1, 2, -2, ... in JPEG's order of sizes, so a
+usual byte takes few bits. 192 bytes are an MCU of three blocks (4:4:4), each MCU its own restart interval, so DC
+differences are the numbers themselves.
 """
 
 from __future__ import annotations
@@ -39,27 +40,76 @@ def _segment(marker: int, body: bytes) -> bytes:
     return struct.pack(">BBH", 0xFF, marker, len(body) + 2) + body
 
 
-def _table(kind: int, ident: int, second: int) -> bytes:
-    """Two codes: 0 for a number of 8 bits (0x08), 10 for `second`."""
-    return bytes([kind << 4 | ident, 1, 1, *[0] * 14, 0x08, second])
-
-
-def pack_units(payload: np.ndarray) -> np.ndarray:
-    """(n, 192) bytes as (n, 216): every byte after a 0 bit."""
-    g = payload.reshape(len(payload), UNIT // 8, 8)
-    out = np.empty((len(payload), UNIT // 8, 9), np.uint8)
-    out[:, :, 0] = g[:, :, 0] >> 1
-    for k in range(1, 8):
-        out[:, :, k] = (g[:, :, k - 1] << (8 - k)) | (g[:, :, k] >> (k + 1))
-    out[:, :, 8] = g[:, :, 7]
-    return out.reshape(len(payload), UNIT // 8 * 9)
-
-
-def encode(text: bytes) -> bytes:
-    """The JPEG of text and the spaces that fill it up to a positive multiple of 192 bytes."""
-    fill = -len(text) % UNIT or (0 if text else UNIT)
-    payload = np.frombuffer(text + b" " * fill, np.uint8).reshape(-1, UNIT)
-    n = len(payload)
+def _order() -> bytes:
+    usual = b" etaonirshdlucm.,\nfpgbwyvkqxjz\xc3\xa9\xa8\xaa\xa7\xbc\xb6\xa4\xb3\xad\xa1\xb1\xa0\xba'-0123456789ETAONIRSHDLUCMFPGBWYVKQXJZ\"!?:;()<>/=&#*$%|\t_@+[]{}\r"
+    return usual + bytes(i for i in range(256) if i not in usual)
+
+
+#: Bytes by rank.
+ORDER = _order()
+#: Code lengths of the sizes 1 to 8 and of 0 (no number; the end of a block). Code words are those that the format gives.
+_LENGTHS = (2, 2, 2, 3, 4, 5, 6, 7, 8)
+_SYMBOLS = bytes([1, 2, 3, 4, 5, 6, 7, 8, 0])
+
+
+def _table(kind: int, ident: int) -> bytes:
+    return bytes([kind << 4 | ident, *(_LENGTHS.count(k) for k in range(1, 17))]) + _SYMBOLS
+
+
+def _codes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By byte, the bits of its code and number and how many they are; by number + 512, its byte or -1."""
+    words, code, before = [], 0, _LENGTHS[0]
+    for n in _LENGTHS:
+        code <<= n - before
+        words.append(code)
+        code, before = code + 1, n
+    bits, length, back = np.zeros(256, np.int64), np.zeros(256, np.int64), np.full(1024, -1)
+    for rank, b in enumerate(ORDER):
+        size = (rank + 2).bit_length() - 1
+        spelled = rank + 2 - (1 << size)  # as the format spells numbers of that size, the negative ones first
+        bits[b], length[b] = words[size - 1] << size | spelled, _LENGTHS[size - 1] + size
+        back[512 + (spelled if spelled >> (size - 1) else spelled - (1 << size) + 1)] = b
+    return bits, length, back
+
+
+_BITS, _LENGTH, _BYTE = _codes()
+#: An MCU without numbers: three times no DC difference and the end of the block.
+_BLANK = b"\xfe" * 6
+
+
+def encode_all(texts: list[bytes]) -> list[bytes]:
+    """The JPEG of each text and the spaces that fill it up to a positive multiple of 192 bytes."""
+    fills = [-len(x) % UNIT or (0 if x else UNIT) for x in texts]
+    payload = np.frombuffer(b"".join(y for x, f in zip(texts, fills) for y in (x, b" " * f)), np.uint8).reshape(-1, UNIT)
+    counts = np.array([(len(x) + f) // UNIT for x, f in zip(texts, fills)], np.int64)
+    size = _LENGTH[payload]
+    ends = np.cumsum(size, axis=1)
+    total = ends[:, -1]
+    width = (total + 7) >> 3
+    start = np.cumsum(width) - width
+    at = (ends - size + 8 * start[:, None]).ravel()
+    value = _BITS[payload].ravel() << (24 - (at & 7) - size.ravel())
+    n = int(width.sum())
+    raw = np.zeros(n + 3, np.int64)
+    for k in range(3):  # codes share bytes, but no bits
+        raw += np.bincount((at >> 3) + k, weights=value >> (16 - 8 * k) & 255, minlength=n + 3).astype(np.int64)
+    raw = raw[:n].astype(np.uint8)
+    raw[start + width - 1] |= ((1 << (8 * width - total)) - 1).astype(np.uint8)
+    # a 0 after every FF, and a restart marker after every MCU
+    row = np.repeat(np.arange(len(width)), width)
+    full = raw == 0xFF
+    place = np.arange(n) + np.cumsum(full) - full + 2 * row
+    end = place[start + width - 1] + 1 + full[start + width - 1]
+    out = np.zeros(n + int(full.sum()) + 2 * len(width), np.uint8)
+    out[place] = raw
+    first = np.cumsum(counts) - counts
+    out[end], out[end + 1] = 0xFF, 0xD0 + (np.arange(len(width)) - np.repeat(first, counts)) % 8
+    cuts = np.concatenate([[0], (end + 2)[np.cumsum(counts) - 1]]) if len(texts) else []
+    return [_framed(x, int(c), out[a:b].tobytes()) for x, c, a, b in zip(texts, counts, cuts, cuts[1:])]
+
+
+def _framed(text: bytes, n: int, body: bytes) -> bytes:
+    """An image of n MCUs, with blank ones that make it a rectangle. body: their restart intervals, each with its marker."""
     cols = max(int(np.ceil(np.sqrt(n))), -(-n // MAX_SIDE))
     rows = -(-n // cols)
     if cols > MAX_SIDE:
@@ -68,29 +118,22 @@ def encode(text: bytes) -> bytes:
         [
             b"\xff\xd8",
             _segment(0xE0, b"JFIF\0\x01\x01\0\0\x01\0\x01\0\0"),
-            _segment(0xFE, TAG + struct.pack(">QQ", len(text), payload.size)),
+            _segment(0xFE, TAG + struct.pack(">QQ", len(text), n * UNIT)),
             _segment(0xDB, b"\0" + b"\x01" * 64),
             _segment(0xC0, struct.pack(">BHHB", 8, rows * 8, cols * 8, 3) + bytes([1, 0x11, 0, 2, 0x11, 0, 3, 0x11, 0])),
-            _segment(0xC4, _table(0, 0, 0x00) + _table(1, 0, 0x00)),
+            _segment(0xC4, _table(0, 0) + _table(1, 0)),
             _segment(0xDD, struct.pack(">H", 1)),
             _segment(0xDA, bytes([3, 1, 0, 2, 0, 3, 0, 0, 63, 0])),
         ]
     )
-    packed = pack_units(payload)
-    total = rows * cols
-    marks = 0xD0 + np.arange(total) % 8
-    # an empty MCU: three times "10" for a DC difference of no bits and "10" for the end of the block, then ones
-    blank = np.frombuffer(bytes([0b10101010, 0b10101111]), np.uint8)
-    if not (packed == 0xFF).any():
-        own = np.empty((n, packed.shape[1] + 2), np.uint8)
-        own[:, :-2], own[:, -2], own[:, -1] = packed, 0xFF, marks[:n]
-        body = own.tobytes()
-    else:  # a 0 is stuffed after every FF
-        body = b"".join(r.tobytes().replace(b"\xff", b"\xff\0") + bytes([0xFF, m]) for r, m in zip(packed, marks[:n].tolist()))
-    body += b"".join(blank.tobytes() + bytes([0xFF, m]) for m in marks[n:].tolist())
+    body += b"".join(_BLANK + bytes([0xFF, 0xD0 + k % 8]) for k in range(n, rows * cols))
     return head + body[:-2] + b"\xff\xd9"
 
 
+def encode(text: bytes) -> bytes:
+    return encode_all([text])[0]
+
+
 # == reading
 
 
@@ -279,10 +322,10 @@ def payload_of(image: Image, coefficients: np.ndarray) -> tuple[bytes, int]:
     if not image.comment or not image.comment.startswith(TAG):
         raise JpegError("no image of a payload")
     n_bytes, size = struct.unpack_from(">QQ", image.comment, len(TAG))
-    values = coefficients[: size // UNIT].reshape(-1)
-    if ((values > -128) & (values < 128)).any() or len(values) != size:
+    values = coefficients[: size // UNIT].reshape(-1).astype(np.int64)
+    if len(values) != size or (np.abs(values) > 511).any() or ((found := _BYTE[values + 512]) < 0).any():
         raise JpegError("coefficients that are no payload")
-    return np.where(values < 0, values + 255, values).astype(np.uint8).tobytes(), n_bytes
+    return found.astype(np.uint8).tobytes(), n_bytes
 
 
 # == columns
@@ -295,8 +338,8 @@ DECODE_AT_ONCE = 1 << 20
 def _encode(batches):
     for batch in common.small(batches):
         texts = common.texts_of(batch.column(1))
-        for a, b in common.pieces(texts, 4 << 20):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([encode(x) for x in texts[a:b]], pa.binary())], ["doc_id", "media"])
+        for a, b in common.pieces(texts, 1 << 20):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(encode_all(texts[a:b]), pa.binary())], ["doc_id", "media"])
 
 
 def media_column(docs: DataFrame) -> DataFrame:
@@ -349,4 +392,5 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def op2_media(spark, sf_dir):
-    return media_features(media_column(common.table(spark, sf_dir, "documents")))
+    stored = common.written(media_column(common.table(spark, sf_dir, "documents")), "media")
+    return media_features(stored)
