@@ -135,7 +135,7 @@ class Posterior:
 def fit_posterior(sample: DataFrame) -> tuple[dict, Posterior | None]:
     """Word weights and the regression; None without labelled rows of two domains, when every document is the first's."""
     weight = word_weights(sample)
-    rows = sample.select("quality", "toxic", "text").mapInArrow(_vectors(weight), "y long, x array<double>").collect()
+    rows = sample.select("quality", "toxic", "text").mapInArrow(_vectors(weight), "y long, x array<double>").collect()  # a bounded sample
     y = np.array([r.y for r in rows], np.int64)
     if len(np.unique(y)) < 2:
         return weight, None
@@ -251,7 +251,8 @@ def fit_rates(rows: DataFrame, targets: dict[str, float]) -> np.ndarray:
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rows: int = MAX_LABELLED, carry: tuple[str, ...] = ()) -> DataFrame:
     """posteriors of docs with the rate of each. Posteriors are written once; the steps read their columns alone."""
     common.prepare(docs.sparkSession)
-    weight, model = fit_posterior(labelled(docs, labels, max_rows))
+    with common.scratch():
+        weight, model = fit_posterior(labelled(docs, labels, max_rows))
     rows = common.written(posteriors(docs, weight, model, carry), "posteriors")
     return rows.withColumn("rate", _rate(fit_rates(rows, targets or TARGETS)))
 
@@ -277,7 +278,8 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     """(doc_id, n_tokens, p_<domain>..., rate, copies) for every row of docs (doc_id, text).
 
     Null and empty texts have no tokens: they take a rate but move no total. Repeated rows count each. A null doc_id is
-    kept as null. Repeated rows are rounded one by one. Labels need doc_id, quality and toxic; a null toxic is 0, rows with a null quality are left out.
+    kept as null. Repeated rows are rounded one by one. Labels need doc_id, quality and toxic; a null toxic is 0, rows with a null quality are left out, and of
+    a document's labels the worst counts.
     Without labels of two domains every document is of the first one. An empty table gives no rows.
     """
     return mixed(docs, labels, targets, max_rows).withColumn("copies", copies(F.col("rate"))).drop("uniform")

@@ -109,7 +109,7 @@ def fit(x: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, shrink: f
     Then scores are shifted so that `threshold` lies where the training rows' classes part best, by a histogram of their
     margins (BINS bins a class reach the driver).
     """
-    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").dropDuplicates(["doc_id"])
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y"))
     known = x.join(y, "doc_id").select("y", "x")
     rows = known.mapInArrow(_sums, "y long, k long, v double").groupBy("y", "k").agg(F.sum("v").alias("v")).collect()
     sums = np.zeros((2, 1 + D + D * D))
@@ -142,7 +142,7 @@ def quality_scores(docs: DataFrame, train: DataFrame, threshold: float = THRESHO
     """(doc_id, score, predicted) for every row of docs (doc_id, text), learned from train (doc_id, quality).
 
     A null or empty text has zero statistics and is scored by them. Repeated rows get equal scores; a repeated label
-    counts once; labels other than 0 and 1 and labels without a document are left out. Very long texts count whole.
+    counts once, of several the worst; labels other than 0 and 1 and labels without a document are left out. Very long texts count whole.
     Without rows of both classes every score is 0.5. An empty table gives no rows.
     """
     common.prepare(docs.sparkSession)

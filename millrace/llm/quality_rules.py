@@ -138,9 +138,16 @@ def threshold(low: np.ndarray, high: np.ndarray, good: np.ndarray, bad: np.ndarr
     return float((low[best[k]] + below[k]) / 2)
 
 
+def marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality, toxic), a row for each doc_id: of several labels the worst counts, a null toxic being 0. Labels
+    without a doc_id or a quality are left out."""
+    rows = labels.selectExpr("cast(doc_id as long) doc_id", "quality", "coalesce(toxic, 0) toxic").filter("doc_id is not null and quality is not null")
+    return rows.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+
+
 def known(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(quality, toxic, text) of all labelled documents."""
-    rows = labels.selectExpr("cast(doc_id as long) doc_id", "quality", "toxic").filter("doc_id is not null and quality is not null").dropDuplicates(["doc_id"])
+    rows = marks(labels)
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter("doc_id is not null")
     return common.join_lookup(docs, rows, "doc_id", "labels").filter("quality is not null").select("quality", "toxic", "text")
 
@@ -148,8 +155,7 @@ def known(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
     """(quality, toxic, text) of at most max_rows labelled documents, the same ones on every run. That bound makes the
     label side fit for a broadcast, so texts aren't shuffled."""
-    rows = labels.select("doc_id", "quality", "toxic").filter("doc_id is not null and quality is not null").dropDuplicates(["doc_id"])
-    rows = common.first_by_hash(rows, max_rows, "doc_id")
+    rows = common.first_by_hash(marks(labels), max_rows, "doc_id")
     return common.written(docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("quality", "toxic", "text"), "labelled")
 
 
@@ -157,7 +163,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, counts, score, base_failed and kept for each row of docs (doc_id, text).
 
     Null and empty texts have no words, so base_failed. Repeated rows and ids are judged one by one, each giving a row;
-    a null doc_id stays null. An empty table gives no rows. Without usable labels the method's verdict is to keep.
+    a null doc_id stays null. An empty table gives no rows. Of a document's labels the worst counts. Without usable labels the method's verdict is to keep.
     """
     weight, least = fit(docs, labels)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_rows(weight), SCHEMA)
@@ -187,20 +193,21 @@ def kept_documents(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...]) -
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """The weights of 4-grams and the least score to keep."""
     common.prepare(docs.sparkSession)
-    judged = known(docs, labels)
-    trusted = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    weight = weights(counts(judged.filter(trusted)), counts(docs))
-
-    def score_of(batches):
-        for batch in common.small(batches):
-            texts = common.texts_of(batch.column(1))
-            score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["quality", "score"])
-
-    rows = judged.selectExpr("cast(quality as long) quality", "text").mapInArrow(score_of, "quality long, score double")
-    ones = [F.sum((F.col("quality") == q).cast("long")).alias(name) for name, q in (("good", 1), ("bad", 0))]
-    steps = rows.filter("quality in (0, 1)").groupBy(F.floor(F.col("score") * STEPS).alias("step")).agg(F.min("score").alias("low"), F.max("score").alias("high"), *ones)
-    steps = steps.toPandas().sort_values("step")  # STEPS a unit of the score at most
+    with common.scratch():
+        judged = known(docs, labels)
+        trusted = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+        weight = weights(counts(judged.filter(trusted)), counts(docs))
+
+        def score_of(batches):
+            for batch in common.small(batches):
+                texts = common.texts_of(batch.column(1))
+                score = np.concatenate([scores(texts[a:b], weight) for a, b in common.pieces(texts)] or [np.zeros(0)])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["quality", "score"])
+
+        rows = judged.selectExpr("cast(quality as long) quality", "text").mapInArrow(score_of, "quality long, score double")
+        ones = [F.sum((F.col("quality") == q).cast("long")).alias(name) for name, q in (("good", 1), ("bad", 0))]
+        steps = rows.filter("quality in (0, 1)").groupBy(F.floor(F.col("score") * STEPS).alias("step")).agg(F.min("score").alias("low"), F.max("score").alias("high"), *ones)
+        steps = steps.toPandas().sort_values("step")  # STEPS a unit of the score at most
     return weight, threshold(*(steps[c].to_numpy() for c in ("low", "high", "good", "bad")))
 
 
