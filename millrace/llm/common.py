@@ -83,17 +83,27 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
+def made() -> set[str]:
+    """The folders that there are now."""
+    return set(_made)
+
+
+def drop_made(before: set[str], kept: set[str] = frozenset()) -> None:
+    """Deletes the folders made since, but for those kept."""
+    for folder in [x for x in _made if x not in before and x not in kept]:
+        drop_folder(folder)
+        _made.remove(folder)
+
+
 @contextmanager
 def scratch():
     """Deletes the folders that were made within it, but for those that `keep` is called with: for steps whose tables
     nothing lazy reads afterwards."""
-    before, kept = len(_made), set()
+    before, kept = made(), set()
     try:
         yield kept.add
     finally:
-        for folder in [x for x in _made[before:] if x not in kept]:
-            drop_folder(folder)
-            _made.remove(folder)
+        drop_made(before, kept)
 
 
 def drop_folder(folder: str) -> None:

@@ -220,12 +220,14 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     spark = docs.sparkSession
     common.prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    before = common.made()
     found = suspects(docs, min_chars, shards, flush)
     held = found.groupBy("key", "doc_id").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("holder"))
     drops, folder = common.written_at(held.filter(F.col("n") >= min_docs).select("key", "holder"), "repeated-lines")
     schema = f"doc_id long, text string, n_lines long, n_dropped long{''.join(f', `{c}` {docs.schema[c].dataType.simpleString()}' for c in carry)}"
     if common.folder_bytes(folder) <= limit // 4:
         holders = spark.sparkContext.broadcast({bytes(r.key): r.holder for r in drops.collect()})
+        common.drop_made(before)
         return docs.mapInArrow(_apply(holders, min_chars, list(carry)), schema)
     # by id and text: a list is no longer than its text, though many rows may have one id
     mine = found.join(drops, "key").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))

@@ -272,26 +272,28 @@ def with_fingerprints(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame
 def link_classes(rows: DataFrame, which: int | None = None, bucket_homes: int = BUCKET_HOMES) -> DataFrame:
     """(fp, n, n_near, component_id, root) for each fingerprint of rows (doc_id, fp); n is its number of rows. which: the
     layout, else the cheapest."""
-    classes = common.written(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "classes")
-    k = cheapest(classes.count()) if which is None else which
-    placed = classes.select("fp", "n").mapInArrow(_replicate(k), "bucket long, fp long, n long, is_home boolean")
-    # the buckets with too many homes for one task are cut: of n fingerprints, no more than 4 * n / bucket_homes buckets
-    large = classes.select("fp").mapInArrow(_homes(k), "bucket long").groupBy("bucket").count().filter(F.col("count") > bucket_homes)
-    cut = common.written(large.select("bucket", F.ceil(F.col("count") / bucket_homes).cast("int").alias("cuts")), "cuts")
-    if cut.isEmpty():
-        placed = placed.withColumn("cut", F.lit(0))
-    else:
-        placed = placed.join(F.broadcast(cut), "bucket", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
-        own = F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")
-        placed = placed.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-        placed = placed.select("bucket", "fp", "n", (F.col("is_home") & (F.col("cut") == own)).alias("is_home"), "cut")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = placed.repartition(parts, "bucket", "cut").sortWithinPartitions("bucket", "cut", F.desc("is_home")).mapInArrow(_compare(k), "fp long, root long, near long")
-    met = common.written(met, "links")
-    near = met.groupBy("fp").agg(F.sum("near").alias("near"))
-    roots = graph.components(met.select(F.col("fp").alias("u"), F.col("root").alias("v"))).withColumnRenamed("u", "fp")
-    out = classes.join(near, "fp", "left").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    out = common.written(out.select("fp", "n", "first", "root", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_near")), "linked")
+    with common.scratch() as keep:
+        classes = common.written(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "classes")
+        k = cheapest(classes.count()) if which is None else which
+        placed = classes.select("fp", "n").mapInArrow(_replicate(k), "bucket long, fp long, n long, is_home boolean")
+        # the buckets with too many homes for one task are cut: of n fingerprints, no more than 4 * n / bucket_homes buckets
+        large = classes.select("fp").mapInArrow(_homes(k), "bucket long").groupBy("bucket").count().filter(F.col("count") > bucket_homes)
+        cut = common.written(large.select("bucket", F.ceil(F.col("count") / bucket_homes).cast("int").alias("cuts")), "cuts")
+        if cut.isEmpty():
+            placed = placed.withColumn("cut", F.lit(0))
+        else:
+            placed = placed.join(F.broadcast(cut), "bucket", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+            own = F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")
+            placed = placed.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+            placed = placed.select("bucket", "fp", "n", (F.col("is_home") & (F.col("cut") == own)).alias("is_home"), "cut")
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        met = placed.repartition(parts, "bucket", "cut").sortWithinPartitions("bucket", "cut", F.desc("is_home")).mapInArrow(_compare(k), "fp long, root long, near long")
+        met = common.written(met, "links")
+        near = met.groupBy("fp").agg(F.sum("near").alias("near"))
+        roots = graph.components(met.select(F.col("fp").alias("u"), F.col("root").alias("v"))).withColumnRenamed("u", "fp")
+        out = classes.join(near, "fp", "left").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        out, folder = common.written_at(out.select("fp", "n", "first", "root", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_near")), "linked")
+        keep(folder)
     least = out.groupBy("root").agg(F.min("first").alias("component_id"))
     return out.join(least, "root").select("fp", "n", "n_near", "component_id", "root")
 

@@ -329,9 +329,9 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, h
     twice = real.groupBy("anchor").count().filter("count > 1").select("anchor")
     shared = common.written(real.join(twice, "anchor"), "shared-runs")
     classes = shared.groupBy("anchor", "run", "more").agg(F.count("*").alias("n"), F.min("ref").alias("ref"), F.min("low").alias("low"), F.min("high").alias("high"))
-    classes = common.written(classes.withColumn("shard", F.shiftright("ref", 32)), "run-classes")
+    classes, at_classes = common.written_at(classes.withColumn("shard", F.shiftright("ref", 32)), "run-classes")
     # the first digit: an anchor with one class parts from all others, and its group has more than one suffix
-    several = common.written(classes.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1"), "anchors")
+    several, at_several = common.written_at(classes.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1"), "anchors")
     alone = classes.join(several, "anchor", "left_anti").select("anchor", "run", "more", "low", "high")
     compared = classes.join(several, "anchor").select("anchor", "run", "more", "n", "ref", "low", "high", "m", "shard")
     cold = compared.filter(F.col("m") <= hot).drop("m").repartition(parts, "shard").sortWithinPartitions("shard")
@@ -344,6 +344,8 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, h
         often = rows.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
         verdicts = verdicts.unionByName(rows.join(often, "window").select("anchor", "run", "more", F.col("offset").alias("low"), F.col("offset").alias("high")))
     verdicts = common.written(verdicts, "verdicts")
+    for folder_ in (at_classes, at_several):
+        common.drop_folder(folder_)
     gone = shared.select("anchor", "run", "more", "ref").join(verdicts, ["anchor", "run", "more"]).select("ref", "low", "high")
     every = runs.filter("anchor is null").select("ref", "low", F.lit(-1).cast("short").alias("high"))
     gone = gone.unionByName(every).withColumn("shard", F.shiftright("ref", 32)).repartition(parts, "shard").sortWithinPartitions("shard")
