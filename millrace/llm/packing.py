@@ -331,6 +331,17 @@ def _pieces(folder: str, dtype):
     return run
 
 
+def _dealt(docs: DataFrame, shards: int) -> DataFrame:
+    """docs over shards by hash; rows that repeat one are dealt out too, by their place in what was read."""
+    return docs.repartition(shards, F.xxhash64("doc_id", "text", F.pmod(F.monotonically_increasing_id(), F.lit(997))))
+
+
+def shard_order(docs: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """(shard, doc_id): the shard that each document goes to."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _dealt(docs, max(1, -(-docs.count() // shard_docs))).select(F.spark_partition_id().cast("long").alias("shard"), "doc_id")
+
+
 def retrieval_packing(docs: DataFrame, path: str, end_id: int = END_ID, length: int = LENGTH, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """SCHEMA's row for each piece of docs (doc_id, text); only the last sequence is not full.
 
@@ -342,7 +353,7 @@ def retrieval_packing(docs: DataFrame, path: str, end_id: int = END_ID, length:
     folder = common.shared_folder(spark, "shards")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shards = max(1, -(-docs.count() // shard_docs))
-    rows = docs.repartition(shards, F.xxhash64("doc_id", "text")).mapInArrow(_tokenise(folder, path, end_id), "shard long, token long, n long")
+    rows = _dealt(docs, shards).mapInArrow(_tokenise(folder, path, end_id), "shard long, token long, n long")
     rows = common.written(rows, "frequencies")
     encoder = tokens.encoder(path)
     df = np.zeros(max(encoder.library.get_vocab_size(), end_id + 1), np.float64)
