@@ -267,8 +267,8 @@ def test_rules_on_labelled_documents(spark, sf):
 
 
 def test_rules_count_all_labels(spark, docs, rows, labels, monkeypatch):
-    labels = labels.filter("doc_id <> 6")  # two labels that differ
-    marks = {r.doc_id: r for r in labels.collect() if r.doc_id is not None and r.quality is not None}
+    marks = {r.doc_id: r for r in quality_rules.marks(labels).collect()}
+    assert (marks[6].quality, marks[6].toxic) == (0, 0)  # of two labels that differ
     want = quality_rules.weights(target_of(rows, marks), quality_rules.counts(docs))
     monkeypatch.setattr(quality_rules, "MAX_LABELLED", 3)
     monkeypatch.setattr(quality_rules.common, "first_by_hash", lambda df, n, *keys: df.limit(3))
@@ -320,6 +320,32 @@ def test_mixing(spark, sf, docs, labels):
     assert [x.natural for x in mixing.totals(mixing.document_rates(no_docs(spark), labels)).collect()] == [0, 0, 0]
 
 
+def test_posteriors_by_brute_force(spark, docs, rows, labels):
+    marks = {r.doc_id: r for r in quality_rules.marks(labels).collect()}
+    sample = quality_rules.labelled(docs, labels)
+    known = [(2 if marks[i].toxic == 1 else 0 if marks[i].quality == 1 else 1, (t or "").encode()) for i, t in rows if i in marks]
+    first = [(d, t) for d, t in known if zlib.crc32(t) % 2 == 1]
+    words = lambda t: set(re.sub(rb"[!-/:-@\[-`{-~]", b" ", t.translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))).split())
+    held, per = Counter((w, d) for d, t in first for w in words(t)), Counter(d for d, _ in first)
+    want = {}
+    for w in {w for w, _ in held}:
+        n = [held[w, d] for d in range(3)]
+        if sum(n) >= 5:
+            want[w] = tuple(np.log((n[d] + 1) / (sum(n) * per[d] / len(first) + 1)) for d in (1, 2))
+    weight, model = mixing.fit_posterior(sample)
+    assert weight.keys() == want.keys() and all(np.allclose(weight[w], want[w]) for w in want)
+    # the regression is where its penalised likelihood is flat, and that is its only maximum
+    second = [(d, t) for d, t in known if zlib.crc32(t) % 2 == 0]
+    x, y = np.array([mixing.vector(t, weight) for _, t in second]), np.array([d for d, _ in second])
+    z = np.clip((x - model.mean) / model.scale, -10, 10)
+    p = np.exp(z @ model.w.T)
+    p /= p.sum(1, keepdims=True)
+    reg = np.r_[1e-3, np.ones(x.shape[1] - 1)]
+    assert np.abs((p - np.eye(3)[y]).T @ z + reg * model.w).max() < 1e-3
+    got = Counter((r.doc_id, *(round(r[f"p_{k}"], 6) for k in mixing.DOMAINS)) for r in mixing.document_rates(docs, labels).collect())
+    assert got == Counter((i, *(round(float(v), 6) for v in model(np.array([mixing.vector((t or "").encode(), weight)]))[0])) for i, t in rows)
+
+
 def test_repeated_rows_are_rounded_one_by_one(spark, labels):
     text = "some words that all of these rows have"
     df = spark.createDataFrame([(None, text)] * 500 + [(1, text)] * 500, "doc_id long, text string").coalesce(1)
@@ -588,6 +614,53 @@ def test_quality_model(spark, sf, docs, labels):
     assert quality_model.quality_scores(no_docs(spark), labels).count() == 0
 
 
+def statistics_of(text):
+    """The statistics, counted character by character."""
+    x = text or ""
+    b = x.encode()
+    if not b:
+        return [0.0] * quality_model.D
+    n = len(b)
+    count = lambda chars: sum(c in chars.encode() for c in b)
+    upper, lower, digits = count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), count("abcdefghijklmnopqrstuvwxyz"), count("0123456789")
+    space, points, symbols, bang, pipe, high = count(" \t\n\r\x0b\x0c"), count(".,;:'-"), count("#*$%&<>"), count("!"), count("|"), sum(c >= 128 for c in b)
+    other = n - upper - lower - digits - space - points - symbols - bang - pipe - high
+    words, lines = WORD.findall(x), [y for y in x.split("\n") if y]
+    freq = Counter(b)
+    same = sum(a == c for a, c in zip(words, words[1:])) / len(words) if words else 0.0
+    entropy = -sum(v / n * np.log2(v / n) for v in freq.values())
+    shares = [upper / max(1, upper + lower + high), digits / n, space / n, points / n, symbols / n, other / n, high / n, bang / n, pipe / n, same]
+    return [np.log1p(len(words)), min(50.0, (n - space) / max(1, len(words))), *np.sqrt(shares), len(set(words)) / (len(words) + 8), np.sqrt(1 - len(set(lines)) / len(lines)) if lines else 0.0, entropy]
+
+
+def test_scores_by_brute_force(spark, docs, rows, labels):
+    names = quality_model.STATISTICS
+    order = [names.index(k) for k in names]
+    x = np.array([statistics_of(t) for _, t in rows])[:, order]
+    marks = {r.doc_id: r.quality for r in quality_rules.marks(labels).collect()}
+    y = np.array([marks.get(i, -1) for i, _ in rows])
+    params, total = [], (y >= 0).sum()
+    pooled = x[y >= 0].var(0)
+    for c in (0, 1):
+        own = x[y == c]
+        cov = 0.8 * np.cov(own.T, bias=True) + np.diag(0.2 * pooled + 1e-4)
+        params.append((own.mean(0), np.linalg.inv(cov), np.linalg.slogdet(cov)[1]))
+    log = [-0.5 * np.einsum("ij,jk,ik->i", x - m, inv, x - m) - 0.5 * det for m, inv, det in params]
+    margin = np.clip((log[1] - log[0] + np.log(((y == 1).sum() + 1) / ((y == 0).sum() + 1))) / x.shape[1], -30, 30)
+    at = np.minimum(((margin + 30) * 4096 / 60).astype(int), 4095)
+    wrong = [(at[y == 1] <= k).mean() + (at[y == 0] > k).mean() for k in range(4096)]
+    best = [k for k in range(4096) if wrong[k] <= min(wrong) + 1e-12]
+    runs = [[best[0]]]
+    for k in best[1:]:
+        runs[-1].append(k) if k == runs[-1][-1] + 1 else runs.append([k])
+    widest = max(runs, key=len)
+    cut = (widest[0] + widest[-1] + 2) / 2 * 60 / 4096 - 30
+    want = 1 / (1 + np.exp(-(margin + np.log(0.7 / 0.3) - cut)))
+    got = quality_model.quality_scores(docs, labels).collect()
+    assert total > 20 and Counter((r.doc_id, round(r.score, 7)) for r in got) == Counter((i, round(float(v), 7)) for (i, _), v in zip(rows, want))
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+
+
 def test_discriminant_is_the_formula():
     rng = np.random.default_rng(1)
     d = quality_model.D
@@ -679,6 +752,75 @@ def test_nearest_is_the_sort(monkeypatch):
         assert np.allclose(got, np.sort(scores)[::-1][:16], atol=1e-3) and np.allclose(got, scores[found], atol=1e-3)
 
 
+def packed_by_brute_force(docs, length, neighbours=None):
+    """Pieces (document, start, length, sequence, offset) of docs, arrays of ids in their order: scores by the formula, one
+    pair at a time, and the rounds of the module's docstring."""
+    neighbours = neighbours or packing.NEIGHBOURS
+    n, df = len(docs), Counter(t for x in docs for t in set(x.tolist()))
+    mean, tf = sum(map(len, docs)) / n, [Counter(x.tolist()) for x in docs]
+    idf = {t: np.log1p((n - v + 0.5) / (v + 0.5)) for t, v in df.items()}
+    bm25 = lambda q, d: sum(np.float32(idf[t] * tf[d][t] * 2.2 / (tf[d][t] + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean))) for t in tf[q] if t in tf[d])
+    left, out, filled, open_, cut = [len(x) for x in docs], [], [], [], []
+
+    def put(d, s):
+        take = min(left[d], length - filled[s])
+        out.append((d, len(docs[d]) - left[d], take, s, filled[s]))
+        left[d] -= take
+        filled[s] += take
+        if left[d]:
+            cut.append(d)
+
+    def unused():
+        while cut:
+            d = cut.pop(0)
+            if left[d]:
+                return d
+        return next(d for d in range(n) if left[d])
+
+    while sum(left):
+        while sum(left) and len(open_) < max(1, sum(left) // (length * packing.SHARE)):
+            filled.append(0)
+            put(d := unused(), len(filled) - 1)
+            if filled[-1] < length:
+                open_.append((len(filled) - 1, d))
+        live = [d for d in range(n) if left[d]]
+        lists = [sorted((d for d in live if bm25(q, d) > 0), key=lambda d, q=q: (-round(float(bm25(q, d)), 4), d))[:neighbours] for _, q in open_]
+        still = []
+        for (s, q), best in zip(open_, lists):
+            for d in best:
+                if left[d] and filled[s] < length:
+                    put(d, s)
+            while len(best) < neighbours and filled[s] < length and sum(left):
+                put(unused(), s)
+            if filled[s] < length:
+                still.append((s, q))
+        open_ = still
+    return out
+
+
+@pytest.mark.parametrize("length, shard_docs", [(64, 1000), (300, 1000), (64, 9)])
+def test_packing_by_brute_force(spark, length, shard_docs):
+    rng = random.Random(11)
+    words = ["rain", "river", "town", "bridge", "house", "road", "night", "field", "storm", "water", "people", "street", "school", "market", "church", "valley"]
+    rows = [(i, " ".join(rng.choice(words[: 4 + i % 13]) + str(rng.randrange(30)) for _ in range(rng.randrange(1, 40)))) for i in range(70)] + [(70, None), (71, ""), (72, "rain " * 200)]
+    path = tokens.public(packing.TOKENIZER)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = packing.retrieval_packing(df, path, length=length, shard_docs=shard_docs).toPandas()
+    encoder = tokens.Encoder(path)
+    ids = {i: np.append(np.frombuffer(encoder._library(x or ""), "<u2"), 1) for i, x in rows}
+    where = {i: p for p, i in packing.shard_order(df, shard_docs).collect()}
+    order = sorted(ids, key=lambda i: (where[i], i))
+    want = packed_by_brute_force([ids[i] for i in order], length)
+    pieces = sorted((order[d], a, k, s, o) for d, a, k, s, o in want)
+    assert sorted((r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in got.itertuples()) == pieces
+
+
+def test_hot_rows_are_dealt_out(spark):
+    df = spark.createDataFrame([(5, "the same row again and again")] * 4000 + [(i, f"another row {i}") for i in range(1000)], "doc_id long, text string").repartition(4)
+    sizes = packing.shard_order(df, 500).groupBy("shard").count().toPandas()["count"]
+    assert len(sizes) == 10 and sizes.max() < 900
+
+
 def test_neighbours_come_from_other_shards(spark):
     # pairs that share words no other document has: each must lie together, wherever the hash put the two
     rng = random.Random(8)
@@ -731,7 +873,20 @@ def test_pipeline(spark, docs, rows, tmp_path, labels):
             want = {c[3] for c in links([i for i, _ in was], [fingerprint_of(x) for _, x in was])}
             assert Counter(r.doc_id for r in left.collect()) == Counter(want)
         elif k == 3:
-            assert {r.doc_id for r in left.collect()} <= {i for i, _ in was}
+            rates = mixing.document_rates(before, labels)  # themselves held against brute force
+            want = Counter()
+            for r in rates.collect():
+                want[r.doc_id] += r.copies
+            assert Counter(r.doc_id for r in left.collect()) == +want
         else:
-            assert left.agg(F.sum("length")).first()[0] == sum(len(tokens.encoder(tokens.public(packing.TOKENIZER)).encode(x or "")) // 2 + 1 for _, x in was)
+            path = tokens.public(packing.TOKENIZER)
+            ids = [np.append(np.frombuffer(tokens.encoder(path).encode(x or ""), "<u2"), 1) for _, x in was]
+            assert left.agg(F.sum("length")).first()[0] == sum(map(len, ids))
+            order = sorted(range(len(was)), key=lambda i: (was[i][0] is not None, was[i][0] or 0, ids[i].tobytes()))
+            want = packed_by_brute_force([ids[i] for i in order], packing.LENGTH)
+            got = sorted((r.doc_id or -1, r.start, r.length, r.sequence_id, r.offset) for r in left.collect())
+            assert got == sorted((was[order[d]][0] or -1, *rest) for d, *rest in want)
+    none = no_docs(spark).select(*corpus_pipeline.DOCUMENT)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, sf_dir).count() == 0, name
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near-duplicates", "mixing", "packing"]
