@@ -244,17 +244,25 @@ def _terms_of(folder: str, dtype, made: list[int], first: np.ndarray, ranges: li
     return np.frombuffer(b"".join(out), dtype), np.cumsum([len(x) // dtype.itemsize for x in out])
 
 
-def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mean_length: float, length: int, group: int) -> None:
-    """Writes the pieces of each shard's documents, rows of (document, start, length, sequence, offset), beside them."""
+def _round_file(folder: str, k: int) -> str:
+    return f"{folder}/round-{k:06d}.pieces"
+
+
+def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mean_length: float, length: int, group: int) -> list[np.ndarray]:
+    """Writes the pieces of each round, rows of (document in its shard, start, length, sequence, offset) by shard, and
+    returns where the rows of each shard begin and end in each round's file. The driver holds some numbers for each
+    document, and the pieces of a round."""
     sizes = [np.frombuffer(common.get(f"{folder}/shard-{s:06d}.sizes"), "<i8").reshape(2, -1) for s in made]
     first = np.concatenate([[0], np.cumsum([x.shape[1] for x in sizes])])
     ranges = [np.concatenate([[0], np.cumsum(x[1])]) for x in sizes]
     total = np.concatenate([x[0] for x in sizes])
+    del sizes
     left = total.copy()
+    places: list[np.ndarray] = []
     groups = [(a, min(a + group, len(made))) for a in range(0, len(made), group)]
     tasks = spark.createDataFrame(groups, "a long, b long").repartitionByRange(len(groups), "a")
     pieces = array("q")  # five numbers each
-    filled: list[int] = []  # tokens of each sequence
+    filled = array("q")  # tokens of each sequence
     most = max(1, ROUND_BYTES // (len(groups) * NEIGHBOURS * 12))
     open_: list[tuple[int, int]] = []  # sequence, seed
     cut: deque[int] = deque()
@@ -270,6 +278,16 @@ def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mea
         if left[doc]:
             cut.append(doc)
 
+    def flush() -> None:
+        nonlocal pieces
+        rows = np.frombuffer(pieces, np.int64).reshape(-1, 5)
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        ends = np.searchsorted(rows[:, 0], first)
+        rows[:, 0] -= np.repeat(first[:-1], np.diff(ends))
+        common.put(_round_file(folder, len(places)), rows.astype("<i8").tobytes())
+        places.append(ends)
+        pieces = array("q")
+
     def unused() -> int:
         nonlocal following
         while cut:
@@ -308,22 +326,27 @@ def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mea
             if filled[sequence] < length:
                 still.append((sequence, seed))
         open_ = still
-    rows = np.frombuffer(pieces, np.int64).reshape(-1, 5)
-    rows = rows[np.argsort(rows[:, 0], kind="stable")]
-    ends = np.searchsorted(rows[:, 0], first)
-    for k, s in enumerate(made):
-        own = rows[ends[k] : ends[k + 1]].copy()
-        own[:, 0] -= first[k]
-        common.put(f"{folder}/shard-{s:06d}.pieces", own.astype("<i8").tobytes())
+        flush()
+    if len(pieces):
+        flush()
+    return places
 
 
-def _pieces(folder: str, dtype):
+def _pieces(folder: str, dtype, made: list[int], shared):
     def run(batches):
         for batch in batches:
             for shard in batch.column(0).to_pylist():
+                own = made.index(shard)
+                files, path = common.pafs.FileSystem.from_uri(folder)
+                parts = []
+                for k, ends in enumerate(shared.value):
+                    a, b = int(ends[own]), int(ends[own + 1])
+                    if a < b:
+                        with files.open_input_file(_round_file(path, k)) as data:
+                            parts.append(data.read_at((b - a) * 40, a * 40))
                 doc_ids, lengths, ids = read_shard(common.get(f"{folder}/shard-{shard:06d}.ids"), dtype)
                 first = np.concatenate([[0], np.cumsum(lengths)])
-                doc, start, size, sequence, offset = np.frombuffer(common.get(f"{folder}/shard-{shard:06d}.pieces"), "<i8").reshape(-1, 5).T
+                doc, start, size, sequence, offset = np.frombuffer(b"".join(parts), "<i8").reshape(-1, 5).T
                 crc = [zlib.crc32(ids[a : a + k].astype("<u4")) for a, k in zip((first[doc] + start).tolist(), size.tolist())]
                 columns = [pa.array([doc_ids[d] for d in doc.tolist()], pa.int64()), pa.array(start), pa.array(size), pa.array(crc, pa.int64()), pa.array(lengths[doc]), pa.array(sequence), pa.array(offset)]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCHEMA.split(", ")])
@@ -366,9 +389,9 @@ def retrieval_packing(docs: DataFrame, path: str, end_id: int = END_ID, length:
     n = total.get(-1, 0)
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
     made = sorted(r.shard for r in rows.filter("token = -1").select("shard").collect())
-    if made:
-        pack_corpus(spark, folder, encoder.dtype, made, idf, total[-2] / n, length, max(1, GROUP_DOCS // shard_docs))
-    return rows.filter("token = -1").select("shard").repartitionByRange(shards, "shard").mapInArrow(_pieces(folder, encoder.dtype), SCHEMA)
+    places = pack_corpus(spark, folder, encoder.dtype, made, idf, total[-2] / n, length, max(1, GROUP_DOCS // shard_docs)) if made else []
+    shared = spark.sparkContext.broadcast(places)
+    return rows.filter("token = -1").select("shard").repartitionByRange(shards, "shard").mapInArrow(_pieces(folder, encoder.dtype, made, shared), SCHEMA)
 
 
 def op10_packing(spark, sf_dir):
