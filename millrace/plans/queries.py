@@ -8,8 +8,9 @@ from ..functions import dates, languages, places, text, urls
 from ..functions.plan import filter_here, spread
 from ..operators import classify, coverage, dedup, enrich, gates, index, metrics, pointers, relevance, report, rules, sampling
 from ..profile import DEFAULT
-from ..session import materialised, ship
+from ..session import materialised, shared_folder, ship
 from ..sources import archive, readers, sinks
+from ..streaming import pointers as stream
 from . import inputs
 from .refine import refine
 
@@ -935,6 +936,20 @@ def ml_probability(s, d):
     return classify.predict(model, docs).select("doc_id", "model_prob", "model_positive")
 
 
+# == pointers as they arrive
+
+
+@query(f"WITH p AS ({P}) SELECT DISTINCT event_id, crawl_id, filename, \"offset\", \"length\" FROM p")
+def pointer_stream(s, d):
+    """The keys of pointers that come in as files, in several batches; a run takes in all that is there."""
+    at = shared_folder(s, "stream")
+    rows = _pointers(s, d).select(*index.HIT_KEY, F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    rows.repartition(6).write.parquet(f"{at}/in")
+    came = stream.arriving(s, f"{at}/in", rows._jdf.schema().toDDL(), files_per_batch=4)
+    stream.drain(stream.without_duplicates(came, list(index.HIT_KEY)), f"{at}/out", f"{at}/progress")
+    return s.read.schema(rows.schema).parquet(f"{at}/out").select(*index.HIT_KEY)
+
+
 # == the refinery from articles to what is kept
 
 REFINE = REFINE.replace("{guess}", _GUESS("clean_text"))

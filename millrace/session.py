@@ -6,6 +6,7 @@ import io
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -30,15 +31,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """df as files in the checkpoint folder that the cluster names (spark.checkpoint.dir); a local session without one
-    gets its own. Lineage ends there, and its partitions are the same whenever it is read."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A name for a new folder under the checkpoint folder that the cluster names (spark.checkpoint.dir); a local session
+    without one gets its own."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        base = spark.conf.get("spark.checkpoint.dir", None)
         if not base and not re.match(r"local(\[|$)", context.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(base or "file://" + tempfile.mkdtemp(prefix="millrace-checkpoints-"))
+    return f"{context.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """df as files in the shared folder. Lineage ends there, and its partitions are the same whenever it is read."""
+    shared_folder(df.sparkSession, "")
     return df.checkpoint()
 
 
