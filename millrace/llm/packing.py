@@ -5,9 +5,9 @@ frequencies and the mean length are counted over all documents. A seed opens a s
 shard, and the unused neighbours of the whole corpus follow in the order of their scores (after them, unused documents
 in order) until the sequence is full. What a cut leaves over seeds another one.
 
-Sequences are filled in rounds. Those open in a round query the documents left, indexed anew in groups of shards; the
-driver merges each seed's NEIGHBOURS best of all groups and hands them out in order. A seed whose list is used up before
-its sequence is full stays open and queries again in the next round, so a list's length is no limit.
+Sequences are filled in rounds. Those open in a round query the documents left, indexed anew in groups of shards; each
+seed's NEIGHBOURS best of all groups are merged by seed, and the driver hands them out in order. A seed whose list is used
+up before its sequence is full stays open and queries again in the next round, so a list's length is no limit.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ GROUP_DOCS = 20_000
 NEIGHBOURS = 16
 #: In a round, the sequences that one part in SHARE of the tokens left would fill are open.
 SHARE = 4
-#: Bytes of neighbours that a round brings to the driver: fewer sequences are open over many groups.
-ROUND_BYTES = 128 << 20
+#: Sequences that are open in a round at most: their neighbours come to the driver, and their terms go to all executors.
+ROUND_SEEDS = 200_000
 #: Terms that more than one document in DENSE of an index has are multiplied as a matrix, for ROWS seeds at a time.
 DENSE, ROWS = 16, 256
 K1, B = 1.2, 0.75
@@ -131,14 +131,20 @@ class Index:
             i, j = self.start[t], self.start[t + 1]
             dense[c, self.doc[i:j]] = self.impact[i:j]
         starts = np.concatenate([[0], ends[:-1]])
+        sizes = ends - starts
+        known = column[terms.astype(np.int64)]
+        queries = np.zeros((len(ends), len(common_terms)), bool)
+        queries[np.repeat(np.arange(len(ends)), sizes)[known >= 0], known[known >= 0]] = True
+        order = alike(queries)
         for a in range(0, len(ends), ROWS):
-            b = min(len(ends), a + ROWS)
-            of = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
-            own = terms[starts[a] : ends[b - 1]].astype(np.int64)
+            pick = order[a : a + ROWS]
+            b = a + len(pick)
+            of = np.repeat(np.arange(b - a), sizes[pick])
+            own = terms[np.arange(len(of)) + np.repeat(starts[pick] - np.cumsum(sizes[pick]) + sizes[pick], sizes[pick])].astype(np.int64)
             at = column[own]
-            query = np.zeros((b - a, len(common_terms)), np.float32)
-            query[of[at >= 0], at[at >= 0]] = 1
-            scores = query @ dense
+            query = queries[pick]
+            used = np.flatnonzero(query.any(0))  # few, as these queries are alike
+            scores = query[:, used].astype(np.float32) @ dense[used] if len(used) else np.zeros((b - a, width), np.float32)
             rest = (at < 0) & (size[own] > 0)
             of, own = of[rest], own[rest]
             cut = np.searchsorted(of, np.arange(b - a + 1))
@@ -155,7 +161,21 @@ class Index:
             for q in range(b - a):
                 found = np.flatnonzero(scores[q] >= least[q]) if least[q] > 0 else np.flatnonzero(scores[q])
                 found = found[np.argsort(-scores[q, found], kind="stable")[:k]]
-                yield a + q, found, scores[q, found]
+                yield int(pick[q]), found, scores[q, found]
+
+
+def alike(queries: np.ndarray, kinds: int = 8) -> np.ndarray:
+    """The rows in an order that has those that share columns side by side: by the nearest of some rows that differ."""
+    if len(queries) <= ROWS or not queries.shape[1]:
+        return np.arange(len(queries))
+    x = queries.astype(np.float32)
+    x /= np.sqrt(x.sum(1, keepdims=True)).clip(1)
+    some = x[:: max(1, len(x) // 1000)]
+    chosen, near = [some[0]], some @ some[0]
+    while len(chosen) < kinds:
+        chosen.append(some[int(near.argmin())])
+        near = np.maximum(near, some @ chosen[-1])
+    return np.argsort((x @ np.array(chosen).T).argmax(1), kind="stable")
 
 
 def pack(lengths: np.ndarray, scores_of, length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
@@ -231,6 +251,31 @@ def _nearest(folder: str, dtype, shared, made: list[int], idf: np.ndarray, mean_
     return run
 
 
+def _merge(batches):
+    """Each seed's best documents of those that its groups gave. Rows come sorted by seed."""
+    kinds, names = (pa.int64(), pa.binary(), pa.binary()), ["seed", "docs", "scores"]
+    at, held, out = None, [], []
+
+    def best():
+        docs = np.concatenate([np.frombuffer(d, "<i8") for d, _ in held])
+        scores = np.concatenate([np.frombuffer(x, np.float32) for _, x in held])
+        order = np.lexsort((docs, -scores))[:NEIGHBOURS]
+        return at, docs[order].tobytes(), scores[order].tobytes()
+
+    for batch in batches:
+        for seed, docs, scores in zip(*(c.to_pylist() for c in batch.columns)):
+            if seed != at:
+                if held:
+                    out.append(best())
+                at, held = seed, []
+            held.append((docs, scores))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+            out = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[best()]), kinds)], names)
+
+
 def _terms_of(folder: str, dtype, made: list[int], first: np.ndarray, ranges: list[np.ndarray], docs: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """The terms of docs in a row, and where those of each end."""
     out: list[bytes] = [b""] * len(docs)
@@ -263,7 +308,7 @@ def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mea
     tasks = spark.createDataFrame(groups, "a long, b long").repartitionByRange(len(groups), "a")
     pieces = array("q")  # five numbers each
     filled = array("q")  # tokens of each sequence
-    most = max(1, ROUND_BYTES // (len(groups) * NEIGHBOURS * 12))
+    most = ROUND_SEEDS
     open_: list[tuple[int, int]] = []  # sequence, seed
     cut: deque[int] = deque()
     following, rest = 0, int(total.sum())
@@ -307,15 +352,19 @@ def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mea
             continue
         terms, ends = _terms_of(folder, dtype, made, first, ranges, [d for _, d in open_])
         shared = spark.sparkContext.broadcast((left > 0, first, terms, ends))
-        found: list[list] = [[] for _ in open_]
-        for r in tasks.mapInArrow(_nearest(folder, dtype, shared, made, idf, mean_length), "seed long, docs binary, scores binary").toArrow().to_batches():
-            for q, d, x in zip(*(c.to_pylist() for c in r.columns)):
-                found[q].append((d, x))
+        none = np.zeros(0, np.int64)
+        found = [none] * len(open_)
+        schema = "seed long, docs binary, scores binary"
+        near = tasks.mapInArrow(_nearest(folder, dtype, shared, made, idf, mean_length), schema)
+        if len(groups) > 1:
+            near = near.repartition("seed").sortWithinPartitions("seed").mapInArrow(_merge, schema)
+        for r in near.select("seed", "docs").toArrow().to_batches():
+            for q, d in zip(*(c.to_pylist() for c in r.columns)):
+                found[q] = np.frombuffer(d, "<i8")
         shared.destroy()
         still = []
         for (sequence, seed), own in zip(open_, found):
-            docs, score = np.frombuffer(b"".join(d for d, _ in own), "<i8"), np.frombuffer(b"".join(x for _, x in own), np.float32)
-            best = docs[np.lexsort((docs, -score))][:NEIGHBOURS].tolist()
+            best = own.tolist()
             for doc in best:
                 if left[doc]:
                     put(doc, sequence)
