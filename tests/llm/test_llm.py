@@ -821,6 +821,15 @@ def test_hot_rows_are_dealt_out(spark):
     assert len(sizes) == 10 and sizes.max() < 900
 
 
+def test_alike_queries_lie_together():
+    rng = np.random.default_rng(5)
+    kind = rng.integers(0, 4, 3000)
+    rows = (rng.random((3000, 200)) < 0.5) & (np.arange(200)[None, :] // 50 == kind[:, None])
+    order = packing.alike(rows)
+    assert sorted(order.tolist()) == list(range(3000)) and (np.diff(kind[order]) != 0).sum() < 12
+    assert packing.alike(rows[:5]).tolist() == list(range(5))
+
+
 def test_neighbours_come_from_other_shards(spark):
     # pairs that share words no other document has: each must lie together, wherever the hash put the two
     rng = random.Random(8)
