@@ -16,7 +16,7 @@ CARRY = ("lang", "source", "n_chars")
 
 
 def keep_good(spark, docs, sf_dir):
-    """Quality rules: documents that a base rule or the likelihood ratio rejects go."""
+    """Quality rules: documents that a base rule or the likelihood ratio rejects go, null and empty texts among them."""
     labels = common.table(spark, sf_dir, "labels")
     return quality_rules.kept_documents(docs, labels, CARRY).select(*DOCUMENT)
 
@@ -28,17 +28,20 @@ def drop_repeated_lines(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """SimHash: of each component of near-duplicates the document with the smallest id stays."""
+    """SimHash: of each component of near-duplicates the document with the smallest id stays (null only where all are);
+    of rows that repeat it one, and empty texts are near-duplicates of each other."""
     return simhash.one_of_each(docs, CARRY).select(*DOCUMENT)
 
 
 def mix(spark, docs, sf_dir):
-    """Mixing: every document as many times as its rate says."""
+    """Mixing: every document as many times as its rate says. Empty texts have a rate too; repeated rows are rounded one by
+    one."""
     return mixing.remix(docs, common.table(spark, sf_dir, "labels"), CARRY).select(*DOCUMENT)
 
 
 def pack(spark, docs, sf_dir):
-    """Packing: the pieces of all documents in their sequences."""
+    """Packing: the pieces of all documents in their sequences. An empty text is its end id; repeated rows and ids are
+    documents of their own; a text longer than a sequence runs on through others."""
     return packing.retrieval_packing(docs, tokens.public(packing.TOKENIZER))
 
 

@@ -246,6 +246,7 @@ def _with_hash(batches):
 
 
 def op5_line_dedup(spark, sf_dir):
+    """Every document without repeated lines, by digest. Null, empty, repeated, long and missing rows: see line_dedup."""
     rows = line_dedup(common.table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 

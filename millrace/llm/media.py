@@ -392,5 +392,6 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def op2_media(spark, sf_dir):
+    """Documents as stored images, read back. Null, empty, repeated, long and missing rows: see media_features."""
     stored = common.written(media_column(common.table(spark, sf_dir, "documents")), "media")
     return media_features(stored)

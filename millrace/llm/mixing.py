@@ -297,4 +297,5 @@ def remix(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...], targets: d
 
 
 def op4_mixing(spark, sf_dir):
+    """Every document's posterior, rate and copies. Null, empty, repeated, long and missing rows: see document_rates."""
     return document_rates(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))

@@ -444,4 +444,5 @@ def retrieval_packing(docs: DataFrame, path: str, end_id: int = END_ID, length:
 
 
 def op10_packing(spark, sf_dir):
+    """Every document's pieces in their sequences. Null, empty, repeated, long and missing rows: see retrieval_packing."""
     return retrieval_packing(common.table(spark, sf_dir, "documents"), tokens.public(TOKENIZER))

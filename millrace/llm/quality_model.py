@@ -158,6 +158,8 @@ def quality_scores(docs: DataFrame, train: DataFrame, threshold: float = THRESHO
 
 
 def op9_quality_model(spark, sf_dir):
+    """Every document's score, learned from labels of three quarters of the ids. Null, empty, repeated, long and missing
+    rows: see quality_scores. A null doc_id isn't held out."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     labels = common.table(spark, sf_dir, "labels").filter(~held_out)
     rows = quality_scores(common.table(spark, sf_dir, "documents"), labels)

@@ -212,4 +212,5 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def op3_quality_rules(spark, sf_dir):
+    """Every document's counts, score and verdict. Null, empty, repeated, long and missing rows: see quality_rules."""
     return quality_rules(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))

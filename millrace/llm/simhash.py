@@ -331,4 +331,5 @@ def one_of_each(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
 
 
 def op8_simhash(spark, sf_dir):
+    """Every document's links and component. Null, empty, repeated, long and missing rows: see near_duplicates."""
     return near_duplicates(common.table(spark, sf_dir, "documents"))

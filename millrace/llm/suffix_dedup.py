@@ -353,4 +353,5 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, texts: bool = False, h
 
 
 def op7_suffix_dedup(spark, sf_dir):
+    """Every document without repeated windows, by digest. Null, empty, repeated, long and missing rows: see repeated_windows."""
     return repeated_windows(common.table(spark, sf_dir, "documents"))

@@ -234,4 +234,5 @@ def token_codes(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -
 
 
 def op1_token_codes(spark, sf_dir):
+    """Documents as codes on files, read back. Null, empty, repeated, long and missing rows: see token_codes."""
     return token_codes(common.table(spark, sf_dir, "documents"), common.shared_folder(spark, "codes"), tokens.public(TOKENIZER))

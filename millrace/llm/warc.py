@@ -253,6 +253,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def op6_warc(spark, sf_dir):
+    """Every page's record, read back from archives. Null, empty, repeated, long and missing rows: see write_archives."""
     folder = common.shared_folder(spark, "warc")
     rows = read_archives(write_archives(common.table(spark, sf_dir, "pages"), folder), folder)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
