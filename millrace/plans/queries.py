@@ -911,7 +911,7 @@ def language_model(s, d):
     return classify.languages_of(model, docs).select("doc_id", held_out.alias("held_out"), "language")
 
 
-_LINES = "list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'), lambda x: trim(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), chr(10) || ' ')), lambda x: x <> '')"
+_LINES = "list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'), lambda x: trim(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&'), chr(10) || ' ')), lambda x: x <> '')"
 
 
 @query(f"""WITH p AS (SELECT page_id, url, array_to_string({_LINES}, chr(10)) AS body, trim(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;', '&')) AS page_title FROM pages)
