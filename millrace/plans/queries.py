@@ -911,10 +911,10 @@ def language_model(s, d):
     return classify.languages_of(model, docs).select("doc_id", held_out.alias("held_out"), "language")
 
 
-_LINES = "list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'), lambda x: trim(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&'), chr(10) || ' ')), lambda x: x <> '')"
+_LINES = "list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;?', '&', 'g'), chr(10) || ' ')), lambda x: x <> '')"
 
 
-@query(f"""WITH p AS (SELECT page_id, url, array_to_string({_LINES}, chr(10)) AS body, trim(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;', '&')) AS page_title FROM pages)
+@query(f"""WITH p AS (SELECT page_id, url, array_to_string({_LINES}, chr(10)) AS body, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;?', '&', 'g')) AS page_title FROM pages)
 SELECT page_id, page_title, length(body) >= 200 AS by_article, CASE WHEN length(body) >= 200 THEN sha256(body) ELSE '' END AS text_hash,
   coalesce(nullif(regexp_extract(url, '/([0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}})/', 1), ''), '2024-07-01') AS day, CASE WHEN regexp_matches(url, '/[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}/') THEN 'url' ELSE 'capture' END AS day_from FROM p""")
 def html_articles(s, d):
