@@ -168,14 +168,15 @@ def alike(queries: np.ndarray, kinds: int = 8) -> np.ndarray:
     """The rows in an order that has those that share columns side by side: by the nearest of some rows that differ."""
     if len(queries) <= ROWS or not queries.shape[1]:
         return np.arange(len(queries))
-    x = queries.astype(np.float32)
-    x /= np.sqrt(x.sum(1, keepdims=True)).clip(1)
-    some = x[:: max(1, len(x) // 1000)]
+    unit = lambda rows: rows / np.sqrt(rows.sum(1, keepdims=True)).clip(1)
+    some = unit(queries[:: max(1, len(queries) // 1000)].astype(np.float32))
     chosen, near = [some[0]], some @ some[0]
     while len(chosen) < kinds:
         chosen.append(some[int(near.argmin())])
         near = np.maximum(near, some @ chosen[-1])
-    return np.argsort((x @ np.array(chosen).T).argmax(1), kind="stable")
+    other = np.array(chosen).T
+    kind = [(queries[i : i + 4096].astype(np.float32) @ other).argmax(1) for i in range(0, len(queries), 4096)]
+    return np.argsort(np.concatenate(kind), kind="stable")
 
 
 def pack(lengths: np.ndarray, scores_of, length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
