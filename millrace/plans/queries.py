@@ -321,11 +321,11 @@ PLACE_LISTS = [(0, "Than", [], "country"), (0, "shed", ["stnd", "pour"], "subnat
 
 def _terms(s):
     """Terms of 40 events, of a lexicon and place lists that lie in tables."""
-    events = s.range(40).select(F.col("id").cast("int").alias("event_id"))
+    events = s.range(0, 40, 1, 1).select(F.col("id").cast("int").alias("event_id"))
     lexicon = s.createDataFrame(LEXICON, "language string, category string, term string")
     lists = s.createDataFrame(PLACE_LISTS, "k int, location_normalised string, aliases array<string>, level string")
     spots = events.withColumn("k", F.col("event_id") % 4).join(lists, "k").drop("k")
-    return relevance.terms_of(events.withColumn("codes", F.array(*map(F.lit, ("deu", "eng", "fra")))), lexicon, spots)
+    return materialised(relevance.terms_of(events.withColumn("codes", F.array(*map(F.lit, ("deu", "eng", "fra")))), lexicon, spots).coalesce(1))  # counted, then joined
 
 
 def _scored(s, d):
