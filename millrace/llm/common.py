@@ -91,8 +91,12 @@ def made() -> set[str]:
 def drop_made(before: set[str], kept: set[str] = frozenset()) -> None:
     """Deletes the folders made since, but for those kept."""
     for folder in [x for x in _made if x not in before and x not in kept]:
-        drop_folder(folder)
-        _made.remove(folder)
+        drop_now(folder)
+
+
+def drop_now(folder: str) -> None:
+    drop_folder(folder)
+    _made.remove(folder)
 
 
 @contextmanager

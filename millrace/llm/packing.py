@@ -16,6 +16,7 @@ import struct
 import zlib
 from array import array
 from collections import deque
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,10 @@ GROUP_DOCS = 20_000
 NEIGHBOURS = 16
 #: In a round, the sequences that one part in SHARE of the tokens left would fill are open.
 SHARE = 4
-#: Sequences that are open in a round at most: their neighbours come to the driver, and their terms go to all executors.
+#: Sequences that are open in a round at most: their neighbours and terms come to the driver.
 ROUND_SEEDS = 200_000
+#: Seeds whose terms a task holds at once; all of a round's are in files.
+SLICE = 8192
 #: Terms that more than one document in DENSE of an index has are multiplied as a matrix, for ROWS seeds at a time.
 DENSE, ROWS = 16, 256
 K1, B = 1.2, 0.75
@@ -103,17 +106,24 @@ class Index:
         doc, token, tf = pairs or postings(lengths, ids)
         norm = K1 * (1 - B + B * lengths / mean_length)
         self.n, self.doc = len(lengths), doc
-        self.impact = (idf[token] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
-        self.start = np.searchsorted(token, np.arange(len(idf) + 1))
-        # the query of each document: all of its terms that another document here has
-        shared = np.flatnonzero(self.start[token + 1] - self.start[token] > 1)
-        order = shared[np.argsort(doc[shared], kind="stable")]
-        self.query_token = token[order]
-        self.query_start = np.searchsorted(doc[order], np.arange(self.n + 1))
+        self.impact = np.empty(len(doc), np.float32)
+        for a in range(0, len(doc), 1 << 19):  # so that no more than these are held in double precision
+            b = slice(a, a + (1 << 19))
+            self.impact[b] = idf[token[b]] * tf[b] * (K1 + 1) / (tf[b] + norm[doc[b]])
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=len(idf)))])
+
+    @cached_property
+    def queries(self) -> tuple[np.ndarray, np.ndarray]:
+        """The query of each document, all of its terms that another document here has, and where those of each begin."""
+        size = np.diff(self.start)
+        shared = np.flatnonzero(np.repeat(size > 1, size))
+        order = shared[np.argsort(self.doc[shared], kind="stable")]
+        return np.repeat(np.arange(len(size)), size)[order], np.searchsorted(self.doc[order], np.arange(self.n + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         out = np.zeros(self.n, np.float32)
-        for t in self.query_token[self.query_start[seed] : self.query_start[seed + 1]].tolist():
+        token, start = self.queries
+        for t in token[start[seed] : start[seed + 1]].tolist():
             i, j = self.start[t], self.start[t + 1]
             out[self.doc[i:j]] += self.impact[i:j]
         return out
@@ -221,37 +231,58 @@ def pack(lengths: np.ndarray, scores_of, length: int = LENGTH) -> list[tuple[int
                 scores[used] = 0
 
 
-def _nearest(folder: str, dtype, shared, made: list[int], idf: np.ndarray, mean_length: float):
+def _group_index(folder: str, dtype, files: list[int], left: list[np.ndarray], idf: np.ndarray, mean_length: float) -> Index:
+    """The index of the documents left in some shards, numbered in a row."""
+    lengths, token, tf, doc, n = [], [], [], [], 0
+    for k, here in zip(files, left):
+        name = f"{folder}/shard-{k:06d}"
+        size = np.frombuffer(common.get(f"{name}.sizes"), "<i8").reshape(2, -1)
+        kept = np.repeat(here, size[1])
+        lengths.append(size[0][here])
+        token.append(np.frombuffer(common.get(f"{name}.terms"), dtype)[kept])
+        tf.append(np.frombuffer(zlib.decompress(common.get(f"{name}.tf")), "<u4")[kept])
+        doc.append(np.repeat(np.arange(n, n + len(lengths[-1]), dtype=np.int32), size[1][here]))
+        n += len(lengths[-1])
+    token, tf, doc = np.concatenate(token), np.concatenate(tf), np.concatenate(doc)
+    order = np.argsort(token, kind="stable")
+    return Index(np.concatenate(lengths), None, idf, mean_length, (doc[order], token[order], tf[order]))
+
+
+def _nearest(folder: str, asked: str, dtype, shared, made: list[int], idf: np.ndarray, mean_length: float):
     """Rows of a group of shards to its best documents for each seed: the seed's number, and arrays of documents by
-    their numbers in the corpus and of scores."""
+    their numbers in the corpus and of scores. asked: the folder of the seeds' terms."""
 
     def run(batches):
-        left, first, terms, ends = shared.value
+        tokens.forget()  # what encoding remembers would stand beside the index
+        left, first, seeds = shared.value
         for batch in batches:
             for a, b in zip(*(c.to_pylist() for c in batch.columns)):
                 here = np.flatnonzero(left[first[a] : first[b]])
                 if not len(here):
                     continue
-                lengths, token, tf, doc = [], [], [], []
-                for k in range(a, b):
-                    name = f"{folder}/shard-{made[k]:06d}"
-                    size = np.frombuffer(common.get(f"{name}.sizes"), "<i8").reshape(2, -1)
-                    lengths.append(size[0])
-                    token.append(np.frombuffer(common.get(f"{name}.terms"), dtype))
-                    tf.append(np.frombuffer(zlib.decompress(common.get(f"{name}.tf")), "<u4"))
-                    doc.append(np.repeat(np.arange(size.shape[1]) + first[k] - first[a], size[1]))
-                number = np.full(first[b] - first[a], -1)
-                number[here] = np.arange(len(here))
-                token, tf, doc = np.concatenate(token), np.concatenate(tf), number[np.concatenate(doc)]
-                order = np.flatnonzero(doc >= 0)
-                order = order[np.argsort(token[order], kind="stable")]
-                index = Index(np.concatenate(lengths)[here], None, idf, mean_length, (doc[order], token[order].astype(np.int64), tf[order]))
-                best = [(q, (here[d] + first[a]).astype("<i8").tobytes(), x.tobytes()) for q, d, x in index.nearest(terms, ends, NEIGHBOURS) if len(d)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*best), (pa.int64(), pa.binary(), pa.binary()))] if best else [pa.array([], t) for t in (pa.int64(), pa.binary(), pa.binary())], ["seed", "docs", "scores"])
+                index = _group_index(folder, dtype, made[a:b], [left[first[k] : first[k + 1]] for k in range(a, b)], idf, mean_length)
+                for j in range(0, seeds, SLICE):
+                    terms, ends = _asked(asked, dtype, j, min(SLICE, seeds - j))
+                    best = [(j + q, (here[d] + first[a]).astype("<i8").tobytes(), x.tobytes()) for q, d, x in index.nearest(terms, ends, NEIGHBOURS) if len(d)]
+                    if best:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*best), (pa.int64(), pa.binary(), pa.binary()))], ["seed", "docs", "scores"])
 
     return run
 
 
+def _ask(asked: str, terms: np.ndarray, ends: np.ndarray) -> None:
+    """Writes the terms of a round's seeds, SLICE of them in a file."""
+    for j in range(0, len(ends), SLICE):
+        before, own = int(ends[j - 1]) if j else 0, ends[j : j + SLICE]
+        common.put(f"{asked}/{j:09d}", (own - before).astype("<i8").tobytes() + terms[before : own[-1]].tobytes())
+
+
+def _asked(asked: str, dtype, j: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of n seeds from j on, and where those of each end."""
+    data = common.get(f"{asked}/{j:09d}")
+    return np.frombuffer(data, dtype, offset=8 * n), np.frombuffer(data, "<i8", n)
+
+
 def _merge(batches):
     """Each seed's best documents of those that its groups gave. Rows come sorted by seed."""
     kinds, names = (pa.int64(), pa.binary(), pa.binary()), ["seed", "docs", "scores"]
@@ -352,17 +383,21 @@ def pack_corpus(spark, folder: str, dtype, made: list[int], idf: np.ndarray, mea
         if not open_ or not rest:
             continue
         terms, ends = _terms_of(folder, dtype, made, first, ranges, [d for _, d in open_])
-        shared = spark.sparkContext.broadcast((left > 0, first, terms, ends))
+        asked = common.shared_folder(spark, "seeds")
+        _ask(asked, terms, ends)
+        del terms, ends
+        shared = spark.sparkContext.broadcast((left > 0, first, len(open_)))
         none = np.zeros(0, np.int64)
         found = [none] * len(open_)
         schema = "seed long, docs binary, scores binary"
-        near = tasks.mapInArrow(_nearest(folder, dtype, shared, made, idf, mean_length), schema)
+        near = tasks.mapInArrow(_nearest(folder, asked, dtype, shared, made, idf, mean_length), schema)
         if len(groups) > 1:
             near = near.repartition("seed").sortWithinPartitions("seed").mapInArrow(_merge, schema)
         for r in near.select("seed", "docs").toArrow().to_batches():
             for q, d in zip(*(c.to_pylist() for c in r.columns)):
                 found[q] = np.frombuffer(d, "<i8")
         shared.destroy()
+        common.drop_now(asked)
         still = []
         for (sequence, seed), own in zip(open_, found):
             best = own.tolist()

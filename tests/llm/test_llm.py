@@ -830,6 +830,40 @@ def test_alike_queries_lie_together():
     assert packing.alike(rows[:5]).tolist() == list(range(5))
 
 
+def test_a_search_holds_a_slice_of_the_seeds(tmp_path, monkeypatch):
+    # what a worker holds beside the index must not grow with the seeds of a round, nor include the encoder
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    ids = [rng.permutation(3000)[:90].astype("<u2") for _ in range(400)]
+    folder, end = f"file://{tmp_path}", [np.sort(x) for x in ids]
+    common.put(f"{folder}/shard-000000.sizes", np.array([[90] * 400] * 2, "<i8").tobytes())
+    common.put(f"{folder}/shard-000000.terms", np.concatenate(end).tobytes())
+    common.put(f"{folder}/shard-000000.tf", zlib.compress(np.ones(400 * 90, "<u4").tobytes()))
+    monkeypatch.setattr(packing, "SLICE", 200)
+    got, peak = {}, {}
+    for n in (200, 12_000):
+        tokens.encoder(tokens.public(packing.TOKENIZER))
+        asked = f"{folder}/asked-{n}"
+        (tmp_path / f"asked-{n}").mkdir()
+        packing._ask(asked, np.concatenate([end[i % 400] for i in range(n)]), np.arange(1, n + 1) * 90)
+        shared = SimpleNamespace(value=(np.ones(400, bool), np.array([0, 400]), n))
+        run = packing._nearest(folder, asked, np.dtype("<u2"), shared, [0], np.ones(3000), 90.0)
+        tracemalloc.start()
+        got[n] = []
+        for batch in run([pa.RecordBatch.from_pydict({"a": [0], "b": [1]})]):
+            rows = batch.to_pydict()
+            got[n] += [(q, np.frombuffer(d, "<i8")[0]) for q, d in zip(rows["seed"], rows["docs"])]
+        peak[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert not tokens._encoders
+        assert sorted(got[n]) == [(q, q % 400) for q in range(n)]  # each finds itself
+    assert peak[12_000] < 2 * peak[200] + 3e6
+
+
 def test_neighbours_come_from_other_shards(spark):
     # pairs that share words no other document has: each must lie together, wherever the hash put the two
     rng = random.Random(8)
