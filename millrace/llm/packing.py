@@ -40,8 +40,11 @@ SHARE = 4
 ROUND_SEEDS = 200_000
 #: Seeds whose terms a task holds at once; all of a round's are in files.
 SLICE = 8192
-#: Terms that more than one document in DENSE of an index has are multiplied as a matrix, for ROWS seeds at a time.
-DENSE, ROWS = 16, 256
+#: Documents of a block and seeds that are multiplied at a time; below ROWS rows, nothing is gained by their order.
+BLOCK, SEEDS, ROWS = 1024, 512, 256
+#: A block holds a term that more than one of its documents in DENSE has as a row of a matrix; it is multiplied if more
+#: than WORTH of the pairs of seed and document share it. PIECE: documents of whose scores one bounds the k-th best.
+DENSE, WORTH, PIECE = 32, 0.002, 16
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -105,7 +108,7 @@ class Index:
     def __init__(self, lengths: np.ndarray, ids: np.ndarray | None, idf: np.ndarray, mean_length: float, pairs: tuple | None = None):
         doc, token, tf = pairs or postings(lengths, ids)
         norm = K1 * (1 - B + B * lengths / mean_length)
-        self.n, self.doc = len(lengths), doc
+        self.n, self.doc, self.idf = len(lengths), doc, idf
         self.impact = np.empty(len(doc), np.float32)
         for a in range(0, len(doc), 1 << 19):  # so that no more than these are held in double precision
             b = slice(a, a + (1 << 19))
@@ -131,62 +134,159 @@ class Index:
     def nearest(self, terms: np.ndarray, ends: np.ndarray, k: int):
         """(query, documents, scores) of each query's k best documents above 0, the best first; query q has the terms up
         to ends[q]."""
-        size = np.diff(self.start)
-        common_terms = np.flatnonzero(size * DENSE > self.n)
-        column = np.full(len(size), -1)
-        column[common_terms] = np.arange(len(common_terms))
-        width = -(-self.n // 64) * 64
-        dense = np.zeros((len(common_terms), width), np.float32)
-        for c, t in enumerate(common_terms.tolist()):
-            i, j = self.start[t], self.start[t + 1]
-            dense[c, self.doc[i:j]] = self.impact[i:j]
-        starts = np.concatenate([[0], ends[:-1]])
+        own, starts = terms.astype(np.int64), np.concatenate([[0], ends[:-1]])
         sizes = ends - starts
-        known = column[terms.astype(np.int64)]
-        queries = np.zeros((len(ends), len(common_terms)), bool)
-        queries[np.repeat(np.arange(len(ends)), sizes)[known >= 0], known[known >= 0]] = True
-        order = alike(queries)
-        for a in range(0, len(ends), ROWS):
-            pick = order[a : a + ROWS]
-            b = a + len(pick)
-            of = np.repeat(np.arange(b - a), sizes[pick])
-            own = terms[np.arange(len(of)) + np.repeat(starts[pick] - np.cumsum(sizes[pick]) + sizes[pick], sizes[pick])].astype(np.int64)
-            at = column[own]
-            query = queries[pick]
-            used = np.flatnonzero(query.any(0))  # few, as these queries are alike
-            scores = query[:, used].astype(np.float32) @ dense[used] if len(used) else np.zeros((b - a, width), np.float32)
-            rest = (at < 0) & (size[own] > 0)
-            of, own = of[rest], own[rest]
-            cut = np.searchsorted(of, np.arange(b - a + 1))
-            for q in range(b - a):
-                if cut[q] < cut[q + 1]:
-                    t = own[cut[q] : cut[q + 1]]
-                    n = size[t]
-                    found = np.arange(n.sum()) + np.repeat(self.start[t] - np.cumsum(n) + n, n)
-                    np.add.at(scores[q], self.doc[found], self.impact[found])
-            # the k-th largest of the maxima of pieces is no more than the k-th largest of all
-            least = np.zeros(b - a, np.float32)
-            if width // 64 > k:
-                least = np.partition(scores.reshape(b - a, -1, 64).max(2), -k, axis=1)[:, -k]
-            for q in range(b - a):
-                found = np.flatnonzero(scores[q] >= least[q]) if least[q] > 0 else np.flatnonzero(scores[q])
-                found = found[np.argsort(-scores[q, found], kind="stable")[:k]]
-                yield int(pick[q]), found, scores[q, found]
-
-
-def alike(queries: np.ndarray, kinds: int = 8) -> np.ndarray:
+        of = np.repeat(np.arange(len(ends)), sizes)
+        column = self.columns[own]
+        queries = np.zeros((len(ends), self.columns.max(initial=-1) + 1), bool)
+        queries[of[column >= 0], column[column >= 0]] = True
+        kind, weight = kinds(queries), np.bincount(of, self.idf[own], len(ends))
+        order = np.lexsort((weight, kind))  # seeds that share terms and reach about the same scores lie together
+        for a, b in zip(*(x.tolist() for x in (np.searchsorted(kind[order], np.arange(kind.max(initial=0) + 1), side) for side in ("left", "right")))):
+            for pick in np.array_split(order[a:b], -(-(b - a) // SEEDS) or 1):
+                at = np.arange(sizes[pick].sum()) + np.repeat(starts[pick] - np.cumsum(sizes[pick]) + sizes[pick], sizes[pick])
+                query, docs, scores = self._best(own[at], np.repeat(np.arange(len(pick)), sizes[pick]), len(pick), k)
+                cut = np.searchsorted(query, np.arange(len(pick) + 1)).tolist()
+                for q, i, j in zip(pick.tolist(), cut, cut[1:]):
+                    j = min(j, i + k)
+                    yield q, docs[i:j], scores[i:j]
+
+    @cached_property
+    def columns(self) -> np.ndarray:
+        """A number for each term that tells kinds of documents apart, -1 for the others."""
+        frequent = np.diff(self.start) * 16 > self.n
+        return np.where(frequent, np.cumsum(frequent) - 1, -1)
+
+    @cached_property
+    def blocks(self) -> list[Block]:
+        """All documents, those of a kind and with high sums of impacts together."""
+        size = np.diff(self.start)
+        token = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        column = self.columns[token]
+        has = np.zeros((self.n, column.max(initial=-1) + 1), bool)
+        has[self.doc[column >= 0], column[column >= 0]] = True
+        del column
+        order = np.argsort(-np.bincount(self.doc, self.impact, self.n), kind="stable")
+        order = order[alike(has[order])]
+        place = np.empty(self.n, np.int32)
+        place[order] = np.arange(self.n)
+        where = place[self.doc]
+        by = np.argsort((where // BLOCK).astype(np.uint16) if self.n < BLOCK << 16 else where // BLOCK, kind="stable")
+        cut = np.searchsorted(where[by] // BLOCK, np.arange(-(-self.n // BLOCK) + 1)).tolist()
+        return [Block(order[k * BLOCK : (k + 1) * BLOCK], token[by[i:j]], where[by[i:j]] - k * BLOCK, self.impact[by[i:j]], len(size)) for k, (i, j) in enumerate(zip(cut, cut[1:]))]
+
+    def _best(self, token: np.ndarray, query: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, document, score), by query and the best first, of n queries' k best documents above 0 and perhaps some
+        more; each query has some tokens. A block is left out for queries whose k best so far are all above what any of
+        its documents can reach: the sum of its impacts of all tokens that a query here has."""
+        order = np.argsort(token, kind="stable")
+        token, query = token[order], query[order]
+        used, first, count = np.unique(token, return_index=True, return_counts=True)
+        asked, row = np.zeros(len(self.idf), np.int32), np.zeros(len(self.idf), np.int32)
+        asked[used], row[used] = count, np.arange(len(used))
+        has = np.zeros((len(used), n), np.float32)
+        has[row[token], query] = 1
+        reach = [x.reach(asked > 0) for x in self.blocks]
+        most = [float(x.max()) * 1.0001 for x in reach]
+        best, least = np.zeros((n, k), np.float32), np.zeros(n, np.float32)
+        active, hot, found = np.arange(n), 1.0, []
+        for i in np.argsort([-x for x in most], kind="stable").tolist():
+            block = self.blocks[i]
+            active = active[least[active] <= most[i]]
+            if not len(active):
+                break
+            dense = np.flatnonzero(asked[block.terms] * block.size[block.terms] > WORTH * n * len(block.docs))
+            matrix = block.matrix[dense]
+            queries = has[row[block.terms[dense]]]
+            if len(active) < n:
+                queries = queries.take(active, 1)
+            rest = np.maximum(reach[i] - matrix.sum(0), 0) + np.float32(1e-3)  # what other terms can add
+            rows = active
+            if hot < 0.5:
+                scores = np.concatenate([queries, np.ones((1, len(rows)), np.float32)]).T @ np.concatenate([matrix, rest[None]])
+                near = np.flatnonzero(scores.max(1) * np.float32(1.0001) >= least[rows])
+                hot = len(near) / len(rows)
+                if not len(near):
+                    continue
+                rows, queries = rows[near], queries.take(near, 1)
+            scores = queries.T @ matrix
+            if rows is active:
+                hot = float((scores.max(1) + rest.max() >= least[rows]).mean())
+            others = np.flatnonzero(block.size[used] > 0)
+            others = np.setdiff1d(others, row[block.terms[dense]], assume_unique=True)
+            block.add(scores, used[others], first[others], count[others], query, rows, n)
+            better = np.flatnonzero(scores.max(1) >= least[rows])
+            if len(better):
+                of = rows[better]
+                own = scores[better].reshape(len(of), -1, PIECE)
+                top = own.max(2)  # each is another document's
+                best[of] = np.partition(np.concatenate([best[of], top], 1), -k, 1)[:, -k:]
+                least[of] = best[of].min(1)
+                r, p = np.nonzero((top >= least[of][:, None]) & (top > 0))
+                own = own[r, p]
+                x, y = np.nonzero((own >= least[of[r]][:, None]) & (own > 0))
+                found.append((of[r[x]], block.docs[p[x] * PIECE + y], own[x, y]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+        of, docs, scores = map(np.concatenate, zip(*found))
+        keep = scores >= least[of]
+        of, docs, scores = of[keep], docs[keep], scores[keep]
+        order = np.lexsort((docs, -scores, of))
+        return of[order], docs[order], scores[order]
+
+
+class Block:
+    """Some documents of an index: the impacts of frequent terms as a matrix, those of all terms as postings by term."""
+
+    def __init__(self, docs: np.ndarray, token: np.ndarray, doc: np.ndarray, impact: np.ndarray, vocabulary: int):
+        self.docs, self.doc, self.impact = docs, doc.astype(np.int32), impact
+        self.size = np.bincount(token, minlength=vocabulary).astype(np.int32)
+        self.start = (np.cumsum(self.size) - self.size).astype(np.int32)
+        self.terms = np.flatnonzero(self.size * DENSE > len(docs))
+        column = np.full(vocabulary, -1, np.int32)
+        column[self.terms] = np.arange(len(self.terms))
+        column = column[token]
+        dense = column >= 0
+        self.matrix = np.zeros((len(self.terms), -(-len(docs) // 64) * 64), np.float32)
+        self.matrix[column[dense], doc[dense]] = impact[dense]
+        self.rare = token[~dense], doc[~dense], impact[~dense]
+
+    def reach(self, used: np.ndarray) -> np.ndarray:
+        """The sum of impacts of the terms used, by document."""
+        token, doc, impact = self.rare
+        own = used[token]
+        return used[self.terms].astype(np.float32) @ self.matrix + np.bincount(doc[own], impact[own], self.matrix.shape[1]).astype(np.float32)
+
+    def add(self, scores: np.ndarray, terms: np.ndarray, first: np.ndarray, count: np.ndarray, query: np.ndarray, rows: np.ndarray, n: int) -> None:
+        """Adds the impacts of terms to the rows of scores; the queries of a term are `count` from `first` on."""
+        place = np.full(n, -1)
+        place[rows] = np.arange(len(rows))
+        of = place[query[np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)]]
+        term = np.repeat(terms, count)[of >= 0]
+        of, size = of[of >= 0], self.size[term].astype(np.int64)
+        posting = np.arange(size.sum()) + np.repeat(self.start[term] - np.cumsum(size) + size, size)
+        np.add.at(scores.reshape(-1), np.repeat(of * scores.shape[1], size) + self.doc[posting], self.impact[posting])
+
+
+def alike(queries: np.ndarray) -> np.ndarray:
     """The rows in an order that has those that share columns side by side: by the nearest of some rows that differ."""
-    if len(queries) <= ROWS or not queries.shape[1]:
+    if len(queries) <= ROWS:
         return np.arange(len(queries))
+    return np.argsort(kinds(queries), kind="stable")
+
+
+def kinds(queries: np.ndarray, n: int = 8) -> np.ndarray:
+    """For each row the number of the nearest of some n rows that differ."""
+    if not len(queries) or not queries.shape[1]:
+        return np.zeros(len(queries), np.int64)
     unit = lambda rows: rows / np.sqrt(rows.sum(1, keepdims=True)).clip(1)
     some = unit(queries[:: max(1, len(queries) // 1000)].astype(np.float32))
     chosen, near = [some[0]], some @ some[0]
-    while len(chosen) < kinds:
+    while len(chosen) < n:
         chosen.append(some[int(near.argmin())])
         near = np.maximum(near, some @ chosen[-1])
     other = np.array(chosen).T
-    kind = [(queries[i : i + 4096].astype(np.float32) @ other).argmax(1) for i in range(0, len(queries), 4096)]
-    return np.argsort(np.concatenate(kind), kind="stable")
+    return np.concatenate([(queries[i : i + 4096].astype(np.float32) @ other).argmax(1) for i in range(0, len(queries), 4096)])
 
 
 def pack(lengths: np.ndarray, scores_of, length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:

@@ -830,6 +830,30 @@ def test_alike_queries_lie_together():
     assert packing.alike(rows[:5]).tolist() == list(range(5))
 
 
+def test_a_search_leaves_out_what_cannot_be_near(monkeypatch):
+    # two languages and lengths from 5 to 160 words: the neighbours are those of the whole sort, from fewer scores
+    rng = np.random.default_rng(3)
+    docs = [(rng.zipf(1.2, rng.integers(5, 160)) % 300 + 300 * (i % 2)).astype(np.uint16) for i in range(3000)]
+    docs += [np.array([599], np.uint16)] * 3 + docs[:5]  # very short ones, and ties
+    lengths, ids = np.array([len(x) for x in docs]), np.concatenate(docs)
+    df = np.bincount(packing.postings(lengths, ids)[1], minlength=600).astype(float)
+    index = packing.Index(lengths, ids, np.log1p((len(docs) - df + 0.5) / (df + 0.5)), lengths.mean())
+    scored, add = [], packing.Block.add
+    monkeypatch.setattr(packing, "BLOCK", 128)
+    monkeypatch.setattr(packing.Block, "add", lambda self, scores, *rest: (scored.append(scores.size), add(self, scores, *rest)))
+    picked = [*range(0, 1000), 3000, 3001, 3004]
+    queries_ = [np.unique(docs[i]) for i in picked]
+    got = {q: (d, x) for q, d, x in index.nearest(np.concatenate(queries_), np.cumsum([len(x) for x in queries_]), 16)}
+    assert sum(scored) < 0.5 * len(picked) * len(docs)
+    assert sorted(got) == list(range(len(picked)))
+    for q, (found, x) in got.items():
+        scores = np.zeros(len(docs))
+        for t in queries_[q]:
+            a, b = index.start[t], index.start[t + 1]
+            scores[index.doc[a:b]] += index.impact[a:b]
+        assert len(set(found)) == 16 and np.allclose(x, np.sort(scores)[::-1][:16], atol=1e-3) and np.allclose(x, scores[found], atol=1e-3)
+
+
 def test_a_search_holds_a_slice_of_the_seeds(tmp_path, monkeypatch):
     # what a worker holds beside the index must not grow with the seeds of a round, nor include the encoder
     import tracemalloc
