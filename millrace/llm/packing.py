@@ -45,6 +45,10 @@ BLOCK, SEEDS, ROWS = 1024, 512, 256
 #: A block holds a term that more than one of its documents in DENSE has as a row of a matrix; it is multiplied if more
 #: than WORTH of the pairs of seed and document share it. PIECE: documents of whose scores one bounds the k-th best.
 DENSE, WORTH, PIECE = 32, 0.002, 16
+#: Rounds of k-means among a sample that tell kinds of documents apart.
+MEANS = 5
+#: Only the pairs of a block that can be near are multiplied if they are less than this share of all.
+FEW = 0.7
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -177,55 +181,47 @@ class Index:
 
     def _best(self, token: np.ndarray, query: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, document, score), by query and the best first, of n queries' k best documents above 0 and perhaps some
-        more; each query has some tokens. A block is left out for queries whose k best so far are all above what any of
-        its documents can reach: the sum of its impacts of all tokens that a query here has."""
-        order = np.argsort(token, kind="stable")
+        more; each query has some tokens. The terms that a query has add at most what the document has of those in
+        `wide`, whether the query has them or not, and the block's highest impact of each of its others. Queries and
+        documents of a block are left out if that is below the query's k best so far."""
+        order = np.argsort(token.astype(np.uint16) if len(self.idf) <= 1 << 16 else token, kind="stable")
         token, query = token[order], query[order]
         used, first, count = np.unique(token, return_index=True, return_counts=True)
-        asked, row = np.zeros(len(self.idf), np.int32), np.zeros(len(self.idf), np.int32)
-        asked[used], row[used] = count, np.arange(len(used))
-        has = np.zeros((len(used), n), np.float32)
+        row, starts, asks = np.zeros((3, len(self.idf)), np.int32)
+        row[:] = len(used)
+        row[used], starts[used], asks[used] = np.arange(len(used)), first, count
+        has = np.zeros((len(used) + 1, n), np.float32)
         has[row[token], query] = 1
-        reach = [x.reach(asked > 0) for x in self.blocks]
-        most = [float(x.max()) * 1.0001 for x in reach]
-        best, least = np.zeros((n, k), np.float32), np.zeros(n, np.float32)
-        active, hot, found = np.arange(n), 1.0, []
-        for i in np.argsort([-x for x in most], kind="stable").tolist():
+        share = (count / n).astype(np.float32)
+        most, mean = (np.stack([x[used] for x in xs]) for xs in zip(*((x.most, x.mean) for x in self.blocks)))
+        wide = mean < share * most  # so the bound is the closest for the mean pair
+        others = np.where(wide, 0, most) @ has[:-1]
+        asked = np.zeros(len(self.idf), bool)
+        best, least, found = np.zeros((n, k), np.float32), np.zeros(n, np.float32), []
+        for i in np.argsort(-(mean @ share), kind="stable").tolist():  # by the mean score of its pairs
             block = self.blocks[i]
-            active = active[least[active] <= most[i]]
-            if not len(active):
-                break
-            dense = np.flatnonzero(asked[block.terms] * block.size[block.terms] > WORTH * n * len(block.docs))
-            matrix = block.matrix[dense]
-            queries = has[row[block.terms[dense]]]
-            if len(active) < n:
-                queries = queries.take(active, 1)
-            rest = np.maximum(reach[i] - matrix.sum(0), 0) + np.float32(1e-3)  # what other terms can add
-            rows = active
-            if hot < 0.5:
-                scores = np.concatenate([queries, np.ones((1, len(rows)), np.float32)]).T @ np.concatenate([matrix, rest[None]])
-                near = np.flatnonzero(scores.max(1) * np.float32(1.0001) >= least[rows])
-                hot = len(near) / len(rows)
-                if not len(near):
-                    continue
-                rows, queries = rows[near], queries.take(near, 1)
-            scores = queries.T @ matrix
-            if rows is active:
-                hot = float((scores.max(1) + rest.max() >= least[rows]).mean())
-            others = np.flatnonzero(block.size[used] > 0)
-            others = np.setdiff1d(others, row[block.terms[dense]], assume_unique=True)
-            block.add(scores, used[others], first[others], count[others], query, rows, n)
-            better = np.flatnonzero(scores.max(1) >= least[rows])
-            if len(better):
-                of = rows[better]
-                own = scores[better].reshape(len(of), -1, PIECE)
-                top = own.max(2)  # each is another document's
-                best[of] = np.partition(np.concatenate([best[of], top], 1), -k, 1)[:, -k:]
-                least[of] = best[of].min(1)
-                r, p = np.nonzero((top >= least[of][:, None]) & (top > 0))
-                own = own[r, p]
-                x, y = np.nonzero((own >= least[of[r]][:, None]) & (own > 0))
-                found.append((of[r[x]], block.docs[p[x] * PIECE + y], own[x, y]))
+            asked[used] = wide[i]
+            reach = block.reach(asked)[: len(block.docs)]
+            needed = least * np.float32(0.9999) - others[i] * np.float32(1.0001) - np.float32(1e-3)
+            rows, docs, steps = stairs(needed, reach)
+            if docs is None and len(rows):
+                size = block.size[used]
+                dense = (size * count > WORTH * n * len(block.docs)) & (block.column[used] >= 0)
+                queries = has[:-1][dense]
+                scores = (queries if len(rows) == n else queries.take(rows, 1)).T @ block.matrix[block.column[used[dense]]]
+                rare = np.flatnonzero((size > 0) & ~dense)
+                block.add(scores, used[rare], first[rare], count[rare], query, rows, n)
+                found += better(scores, rows, block.docs, best, least)
+            elif len(rows):
+                term, matrix, (token, doc, impact) = block.part(docs, asks, n)
+                queries = has[row[term]].take(rows, 1)
+                own = asks[token].astype(np.int64)
+                of, doc, impact = place_of(rows, n)[query[spans(starts[token], own)]], np.repeat(doc, own), np.repeat(impact, own)
+                for x, y, width in steps:
+                    scores = queries[:, x:y].T @ matrix[:, :width]
+                    kept = np.flatnonzero((of >= x) & (of < y) & (doc < width))
+                    np.add.at(scores.reshape(-1), (of[kept] - x) * width + doc[kept], impact[kept])
+                    found += better(scores, rows[x:y], block.docs[docs], best, least)
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
         of, docs, scores = map(np.concatenate, zip(*found))
@@ -242,13 +238,18 @@ class Block:
         self.docs, self.doc, self.impact = docs, doc.astype(np.int32), impact
         self.size = np.bincount(token, minlength=vocabulary).astype(np.int32)
         self.start = (np.cumsum(self.size) - self.size).astype(np.int32)
+        self.mean = (np.bincount(token, impact, vocabulary) / max(1, len(docs))).astype(np.float32)
+        self.most = np.zeros(vocabulary, np.float32)
+        own = np.flatnonzero(self.size)
+        self.most[own] = np.maximum.reduceat(impact, self.start[own]) if len(own) else 0
         self.terms = np.flatnonzero(self.size * DENSE > len(docs))
-        column = np.full(vocabulary, -1, np.int32)
-        column[self.terms] = np.arange(len(self.terms))
-        column = column[token]
+        self.column = np.full(vocabulary, -1, np.int32)
+        self.column[self.terms] = np.arange(len(self.terms))
+        column = self.column[token]
         dense = column >= 0
         self.matrix = np.zeros((len(self.terms), -(-len(docs) // 64) * 64), np.float32)
         self.matrix[column[dense], doc[dense]] = impact[dense]
+        self.by_doc = np.ascontiguousarray(self.matrix[:, : len(docs)].T)
         self.rare = token[~dense], doc[~dense], impact[~dense]
 
     def reach(self, used: np.ndarray) -> np.ndarray:
@@ -257,17 +258,78 @@ class Block:
         own = used[token]
         return used[self.terms].astype(np.float32) @ self.matrix + np.bincount(doc[own], impact[own], self.matrix.shape[1]).astype(np.float32)
 
+    def part(self, docs: np.ndarray, asks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """Terms and their matrix, with a multiple of 64 columns, for some documents, and the postings of other terms.
+        A term is asked by `asks` of n queries; of those of none, no postings are given."""
+        column = place_of(docs, len(self.docs))
+        token, doc, impact = self.rare
+        kept = np.flatnonzero((column[doc] >= 0) & (asks[token] > 0))
+        token, doc, impact = token[kept], column[doc[kept]], impact[kept]
+        begin = np.flatnonzero(np.diff(token, prepend=-1))
+        term, size = token[begin], np.diff(begin, append=len(token))
+        worth = size * asks[term] > WORTH * n * len(docs)
+        own = np.repeat(np.where(worth, np.cumsum(worth) - 1, -1), size)
+        term = np.concatenate([self.terms, term[worth]])
+        out = np.zeros((-(-len(docs) // 64) * 64, len(term)), np.float32)
+        out[: len(docs), : len(self.terms)] = self.by_doc[docs]
+        out[doc[own >= 0], len(self.terms) + own[own >= 0]] = impact[own >= 0]
+        return term, out.T, (token[own < 0], doc[own < 0], impact[own < 0])
+
     def add(self, scores: np.ndarray, terms: np.ndarray, first: np.ndarray, count: np.ndarray, query: np.ndarray, rows: np.ndarray, n: int) -> None:
         """Adds the impacts of terms to the rows of scores; the queries of a term are `count` from `first` on."""
-        place = np.full(n, -1)
-        place[rows] = np.arange(len(rows))
-        of = place[query[np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)]]
+        of = place_of(rows, n)[query[spans(first, count)]]
         term = np.repeat(terms, count)[of >= 0]
         of, size = of[of >= 0], self.size[term].astype(np.int64)
-        posting = np.arange(size.sum()) + np.repeat(self.start[term] - np.cumsum(size) + size, size)
+        posting = spans(self.start[term], size)
         np.add.at(scores.reshape(-1), np.repeat(of * scores.shape[1], size) + self.doc[posting], self.impact[posting])
 
 
+def place_of(rows: np.ndarray, n: int) -> np.ndarray:
+    """For each of n numbers its place in rows, or -1."""
+    out = np.full(n, -1)
+    out[rows] = np.arange(len(rows))
+    return out
+
+
+def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The `count` numbers from each of first on, in a row."""
+    return np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+
+
+def better(scores: np.ndarray, rows: np.ndarray, docs: np.ndarray, best: np.ndarray, least: np.ndarray) -> list[tuple]:
+    """(query, document, score) of those scores of rows by docs that may be among the best, which they raise."""
+    pieces = scores.reshape(len(rows), PIECE, -1)
+    top = pieces.max(1)  # each is another document's
+    own = np.flatnonzero(top.max(1) >= least[rows])
+    if not len(own):
+        return []
+    of, top = rows[own], top[own]
+    best[of] = np.partition(np.concatenate([best[of], top], 1), -best.shape[1], 1)[:, -best.shape[1] :]
+    least[of] = best[of].min(1)
+    r, p = np.nonzero((top >= least[of][:, None]) & (top > 0))
+    own = pieces[own[r], :, p]
+    x, y = np.nonzero((own >= least[of[r]][:, None]) & (own > 0))
+    return [(of[r[x]], docs[y * top.shape[1] + p[x]], own[x, y])]
+
+
+def stairs(needed: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray | None, list[tuple[int, int, int]]]:
+    """Queries and documents of which (from query, to query, up to document) together hold each pair whose document
+    reaches what its query needs; documents None: all, for these queries."""
+    order = np.argsort(-reach, kind="stable")
+    many = np.searchsorted(-reach[order], -needed, "right")
+    rows = np.flatnonzero(many)
+    if many.sum() > FEW * len(rows) * len(reach):
+        return rows, None, []
+    rows = rows[np.argsort(-many[rows], kind="stable")]
+    fewer, at, out = -many[rows], 0, []
+    while at < len(rows):
+        width = -int(fewer[at])
+        to = len(rows) if width <= 64 else int(np.searchsorted(fewer, -width // 2, "right"))
+        out.append((at, to, -(-width // 64) * 64))
+        at = to
+    return rows, order[: out[0][2]] if out else None, out
+
+
 def alike(queries: np.ndarray) -> np.ndarray:
     """The rows in an order that has those that share columns side by side: by the nearest of some rows that differ."""
     if len(queries) <= ROWS:
@@ -279,13 +341,16 @@ def kinds(queries: np.ndarray, n: int = 8) -> np.ndarray:
     """For each row the number of the nearest of some n rows that differ."""
     if not len(queries) or not queries.shape[1]:
         return np.zeros(len(queries), np.int64)
-    unit = lambda rows: rows / np.sqrt(rows.sum(1, keepdims=True)).clip(1)
+    unit = lambda rows: rows / np.sqrt((rows * rows).sum(1, keepdims=True)).clip(1e-9)
     some = unit(queries[:: max(1, len(queries) // 1000)].astype(np.float32))
     chosen, near = [some[0]], some @ some[0]
     while len(chosen) < n:
         chosen.append(some[int(near.argmin())])
         near = np.maximum(near, some @ chosen[-1])
     other = np.array(chosen).T
+    for _ in range(MEANS):  # from rows on the rim to the middle of those nearest
+        of = (some @ other).argmax(1)
+        other = unit(np.array([some[of == i].mean(0) if (of == i).any() else other[:, i] for i in range(n)])).T
     return np.concatenate([(queries[i : i + 4096].astype(np.float32) @ other).argmax(1) for i in range(0, len(queries), 4096)])
 
 

@@ -854,6 +854,45 @@ def test_a_search_leaves_out_what_cannot_be_near(monkeypatch):
         assert len(set(found)) == 16 and np.allclose(x, np.sort(scores)[::-1][:16], atol=1e-3) and np.allclose(x, scores[found], atol=1e-3)
 
 
+def test_a_search_multiplies_only_pairs_that_can_be_near(monkeypatch):
+    # three languages that share words, each query with a few words of the others: a bound from what any query of the
+    # product has leaves nothing out here, one from what most have does; neighbours are those of the whole sort
+    rng = np.random.default_rng(14)
+    word = lambda i, n: np.where(rng.random(n) < 0.05, rng.integers(0, 900, n), rng.zipf(1.2, n) % 300 + 300 * (i % 3))
+    docs = [word(i, n).astype(np.uint16) for i, n in enumerate(rng.integers(20, 300, 3000))] + [np.array([899], np.uint16)] * 2
+    lengths, ids = np.array([len(x) for x in docs]), np.concatenate(docs)
+    df = np.bincount(packing.postings(lengths, ids)[1], minlength=900).astype(float)
+    index = packing.Index(lengths, ids, np.log1p((len(docs) - df + 0.5) / (df + 0.5)), lengths.mean())
+    scored, better = [], packing.better
+    monkeypatch.setattr(packing, "BLOCK", 256)
+    monkeypatch.setattr(packing, "better", lambda scores, *rest: (scored.append(scores.size), better(scores, *rest))[1])
+    picked = [*range(1000, 2000), 3001]
+    queries_ = [np.unique(docs[i]) for i in picked]
+    got = {q: (d, x) for q, d, x in index.nearest(np.concatenate(queries_), np.cumsum([len(x) for x in queries_]), 16)}
+    assert sum(scored) < 0.5 * len(picked) * len(docs)
+    assert sorted(got) == list(range(len(picked)))
+    for q, (found, x) in got.items():
+        scores = np.zeros(len(docs))
+        for t in queries_[q]:
+            a, b = index.start[t], index.start[t + 1]
+            scores[index.doc[a:b]] += index.impact[a:b]
+        assert len(set(found)) == len(found) == min(16, (scores > 0).sum()) and np.allclose(x, np.sort(scores)[::-1][: len(x)], atol=1e-3) and np.allclose(x, scores[found], atol=1e-3)
+
+
+def test_stairs_hold_every_pair_that_reaches():
+    rng = np.random.default_rng(2)
+    for n, m, shift in [(1, 1, 0), (50, 200, 0), (300, 1024, -1.5), (300, 1000, 2), (20, 64, 9), (20, 64, -9)]:
+        needed, reach = rng.normal(size=n), rng.normal(size=m) + shift
+        rows, docs, steps = packing.stairs(needed, reach)
+        held = np.zeros((n, m), bool)
+        if docs is None:
+            held[rows] = True
+        for a, b, width in steps:
+            assert not held[rows[a:b]].any()
+            held[np.ix_(rows[a:b], docs[:width])] = True
+        assert (held | (reach[None] < needed[:, None])).all() and len(set(rows)) == len(rows)
+
+
 def test_a_search_holds_a_slice_of_the_seeds(tmp_path, monkeypatch):
     # what a worker holds beside the index must not grow with the seeds of a round, nor include the encoder
     import tracemalloc
