@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..functions.plan import lookup
 from ..profile import DEFAULT, Profile
 
 
@@ -31,23 +32,27 @@ def coverage(events: DataFrame, crawls: DataFrame, profile: Profile = DEFAULT) -
     events: (event_id, window_start, window_end); crawls as crawl_windows gives them. A window, prolonged by the gap, and
     a crawl meet in bins of BIN days by an equi-join, and count in the first bin that they share. Two overlaps or one
     that spans the window: COVERED; one that doesn't: PARTIAL; none: the earliest later crawl within the gap is NEAREST
-    and extends the window to its end; else NO_CRAWL. An event without a window has no crawl.
+    and extends the window to its end; else NO_CRAWL. An event without a window has no crawl. Rows that repeat an event
+    are rows of their own. Events are never the side that is sent to every executor.
     """
     day = lambda c: F.floor(F.unix_timestamp(c) / (86400 * BIN))
-    e = events.select("event_id", "window_start", "window_end")
+    key = ("event_id", "window_start", "window_end")
+    e = events.select(*key)
     reach = F.col("window_end") + F.expr(f"interval {profile.nearest_gap_days + 1} days")
     bins = e.withColumn("_first", day(F.col("window_start"))).filter("window_start <= window_end").withColumn("_bin", F.explode(F.sequence(F.col("_first"), day(reach))))
     c = crawls.withColumn("_from", day(F.col("crawl_from"))).filter("crawl_from <= crawl_to").withColumn("_bin", F.explode(F.sequence(F.col("_from"), day(F.col("crawl_to")))))
     hit = (F.col("crawl_from") <= F.col("window_end")) & (F.col("crawl_to") >= F.col("window_start"))
     later = (F.col("crawl_from") > F.col("window_end")) & (F.floor((F.col("crawl_from").cast("long") - F.col("window_end").cast("long")) / 86400) <= profile.nearest_gap_days)
-    near = bins.join(c, "_bin").filter(F.col("_bin") == F.greatest("_first", "_from")).filter(hit | later).withColumn("hit", hit)
+    near = bins.join(lookup(c), "_bin").filter(F.col("_bin") == F.greatest("_first", "_from")).filter(hit | later).withColumn("hit", hit)
+    near = near.select(*key, "hit", "crawl_id", "crawl_from", "crawl_to")
+    # each event once more, without a crawl: so those that have none stay, and copies of one are known
+    none = e.select(*key, *(F.lit(None).cast(t).alias(k) for k, t in near.dtypes[len(key) :]))
     whole = F.col("hit") & (F.col("crawl_from") <= F.col("window_start")) & (F.col("crawl_to") >= F.col("window_end"))
-    got = near.groupBy("event_id", "window_start", "window_end").agg(
-        F.count_if("hit").alias("n"), F.bool_or(whole).alias("whole"), F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("crawl_id")))).alias("hits"),
+    got = near.unionByName(none).groupBy(*key).agg(
+        F.count_if(F.col("hit").isNull()).alias("_copies"), F.count_if("hit").alias("_hits"), F.bool_or(whole).alias("whole"), F.array_sort(F.collect_set(F.when(F.col("hit"), F.col("crawl_id")))).alias("hits"),
         F.min(F.when(~F.col("hit"), F.struct("crawl_from", "crawl_id", "crawl_to"))).alias("next"),
     )
-    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"g.{k}")) for k in ("event_id", "window_start", "window_end")]
-    got = e.alias("e").join(got.alias("g"), same[0] & same[1] & same[2], "left").select("e.*", F.coalesce("n", F.lit(0)).alias("n"), "whole", F.coalesce("hits", F.array().cast("array<string>")).alias("hits"), "next")
+    got = got.withColumn("n", F.expr("_hits div _copies")).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     status = F.when((F.col("n") >= 2) | F.col("whole"), "COVERED").when(F.col("n") == 1, "PARTIAL").when(F.col("next").isNotNull(), "NEAREST").otherwise("NO_CRAWL")
     nearest = (F.col("n") == 0) & F.col("next").isNotNull()
     return got.select(

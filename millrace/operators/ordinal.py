@@ -1,7 +1,7 @@
 """Order without a task that sees every row: range partitions that are written once, and prefix sums over their totals.
 
-What is written has fixed partitions, so a row's partition and its place there are the same wherever the plan reads them.
-Partitions that a plan makes anew each time have no such numbers: adaptive plans cut them in other ways.
+A row's partition and its place there are written with it, so they are the same wherever the plan reads them. Partitions
+that a plan makes anew each time have no such numbers: adaptive plans cut them in other ways.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ _BITS = 33  # of the place within a partition
 
 def with_row(df: DataFrame) -> DataFrame:
     """df, written, with a number for each row (_row)."""
-    return materialised(df).withColumn("_row", F.monotonically_increasing_id())
+    return materialised(df.withColumn("_row", F.monotonically_increasing_id()))
 
 
 def _ordered(df: DataFrame, order) -> DataFrame:

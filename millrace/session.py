@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
 import re
@@ -10,9 +11,11 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_made: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -44,9 +47,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """df as files in the shared folder. Lineage ends there, and its partitions are the same whenever it is read."""
-    shared_folder(df.sparkSession, "")
-    return df.checkpoint()
+    """df as files in the shared folder. Lineage ends there; columns that nothing asks for aren't read again. The files go
+    when the driver exits."""
+    if len({c.lower() for c in df.columns}) < len(df.columns) or "void" in df.schema.simpleString():  # no table has such columns
+        shared_folder(df.sparkSession, "")
+        return df.checkpoint()
+    at = shared_folder(df.sparkSession, "rows")
+    _made.append(at)
+    df.write.option("compression", "zstd").parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+@atexit.register
+def _clean() -> None:
+    while _made:
+        try:
+            files, path = pafs.FileSystem.from_uri(_made.pop())
+            files.delete_dir(path)
+        except (OSError, ValueError):
+            pass
 
 
 def session(name: str = "millrace", **conf: str) -> SparkSession:

@@ -5,9 +5,12 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from conftest import plain
 from pyspark.sql import functions as F
 
+from millrace.functions import plan
 from millrace.operators import coverage, dedup, enrich, metrics, ordinal, pointers, relevance, report, sampling
+from millrace.plans import queries
 from millrace.sources import readers
 
 
@@ -107,6 +110,28 @@ def test_coverage_of_many_crawls(spark):
     assert {r.event_id for r in coverage.covered(spark.createDataFrame(list(got.values()))).collect()} == {i for i, r in got.items() if r.coverage_status != "NO_CRAWL"}
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows", [0, 100_000])
+def test_events_do_not_go_through_the_driver(spark, sf, duck, monkeypatch, rows):
+    # small as they are in bytes, the optimizer would broadcast events, and all the bins of their windows
+    monkeypatch.setattr(plan, "BROADCAST_ROWS", rows)
+    for name in ("covered_events", "covered_specs", "events_left_over"):
+        got = queries.QUERIES[name](spark, sf)
+        assert "BuildLeft" not in executed(got) and executed(got).count("BroadcastExchange") <= (2 if rows else 0), name
+        assert plain(got.toPandas()) == plain(duck.execute(queries.SQL[name]).df())
+
+
+def test_coverage_of_repeated_events(spark):
+    at = lambda d: datetime(2024, 1, d)
+    events = spark.createDataFrame([(1, at(5), at(9))] * 3 + [(2, None, None)] * 2, "event_id int, window_start timestamp, window_end timestamp")
+    crawls = spark.createDataFrame([("a", at(7), at(20))], "crawl_id string, crawl_from timestamp, crawl_to timestamp")
+    got = sorted((r.event_id, r.coverage_status, r.matching_crawls) for r in coverage.coverage(events, crawls).collect())
+    assert got == [(1, "PARTIAL", ["a"])] * 3 + [(2, "NO_CRAWL", [])] * 2
+
+
 def test_lookup(spark):
     left = spark.createDataFrame([(1, "a", "old"), (2, "a", "x"), (2, "a", "x"), (None, "a", "y")], "k int, v string, url string")
     right = spark.createDataFrame([(1, "u2", 2), (1, "u1", 1), (3, "u3", 1), (None, "u0", 1)], "k int, url string, at int")
