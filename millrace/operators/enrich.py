@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.plan import lookup as lookup_rows
+
 
 def unique(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """The first row of each key by `order` (else by all other columns); rows with a null in the key go."""
@@ -23,9 +25,9 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str
 
 def among(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose key others has."""
-    return rows.join(others.select(*keys).distinct(), keys, "left_semi")
+    return rows.join(lookup_rows(others.select(*keys).distinct()), keys, "left_semi")
 
 
 def not_among(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose key others lacks: what is still to be done."""
-    return rows.join(others.select(*keys).distinct(), keys, "left_anti")
+    return rows.join(lookup_rows(others.select(*keys).distinct()), keys, "left_anti")
