@@ -1,6 +1,8 @@
 """What only shows over several partitions: numbers, ranks, sums, hot keys, many crawls."""
 
 import random
+from collections import Counter
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -9,8 +11,9 @@ from conftest import plain
 from pyspark.sql import functions as F
 
 from millrace.functions import plan
-from millrace.operators import coverage, dedup, enrich, metrics, ordinal, pointers, relevance, report, sampling
+from millrace.operators import coverage, dedup, enrich, index, metrics, ordinal, pointers, relevance, report, sampling
 from millrace.plans import queries
+from millrace.profile import DEFAULT
 from millrace.sources import readers
 
 
@@ -132,6 +135,45 @@ def test_coverage_of_repeated_events(spark):
     assert got == [(1, "PARTIAL", ["a"])] * 3 + [(2, "NO_CRAWL", [])] * 2
 
 
+def captures_and_specs(spark):
+    rng = random.Random(5)
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    pages = [(i, rng.choice("ab"), rng.choice(["d1", "d2", None]), at(rng.randrange(200)), f"u{rng.randrange(9)}", i) for i in range(1500)] + [(9999, "a", "d1", None, "u", 9999)]
+    specs = [(e, f"{e}_{rng.choice('AACDz')}", rng.choice("ab"), rng.choice(["d1", "d2"]), at(a := rng.randrange(200)), at(a + rng.choice([0, 1, 5, 90, -3])), rng.choice(["restricted", "restricted", "open", None])) for e in [*range(40), *range(10), 7]]
+    specs += [(50, "50_A", "a", "d9", at(0), at(200), "open"), (51, "51_A", "a", "d1", None, at(200), "open"), (52, "52_A", None, "d1", at(0), at(200), "open")]
+    got = (spark.createDataFrame(pages, "row_id long, crawl_id string, domain string, ts timestamp, url string, offset long").repartition(5), spark.createDataFrame(specs, "event_id int, query_id string, crawl_id string, domain string, window_start timestamp, window_end timestamp, retrieval_strategy string"))
+    pairs = [(s, p) for s in specs for p in pages if p[1] == s[2] and p[2] == s[3] and None not in (p[3], s[4], s[5]) and s[4] <= p[3] <= s[5]]
+    return (*got, specs, pairs)
+
+
+@pytest.mark.parametrize("rows", [0, 100_000])
+def test_hits_counts_and_caps(spark, monkeypatch, rows):
+    monkeypatch.setattr(plan, "BROADCAST_ROWS", rows)
+    pages, own, specs, pairs = captures_and_specs(spark)
+    assert sorted((r.event_id, r.query_id, r.row_id) for r in index.match(pages, own).collect()) == sorted((s[0], s[1], p[0]) for s, p in pairs)
+    counts = index.hit_counts(pages, own)
+    want = Counter((s[0], s[1], s[1][-1], s[2]) for s, _ in pairs if s[1][-1] in "ACD")
+    assert {(r.event_id, r.query_id, r.variant, r.crawl_id): r.hit_count for r in counts.collect()} == want
+    assert "SortMergeJoin" not in executed(counts)  # captures and specs aren't paired
+    assert sum(r.hit_count for r in index.hit_counts_by_variant(pages, own).collect()) == sum(want.values())
+    assert {r.event_id for r in index.zero_hit_events(pages, own).collect()} == {s[0] for s in specs} - {s[0] for s, _ in pairs}
+    profile, groups = replace(DEFAULT, hit_cap=3, national_hit_cap=2), {}
+    for s, p in pairs:
+        groups.setdefault((s[0], s[2], s[3]), []).append((p[3], p[4], p[5])) if s[6] == "restricted" else None
+    left = Counter((*k, x) for k, v in groups.items() for x in sorted(v)[: 2 if k[2] == "d2" else 3]) + Counter((s[0], s[2], s[3], (p[3], p[4], p[5])) for s, p in pairs if s[6] != "restricted")
+    got = index.capped_match(pages, own, ("d2",), profile)
+    assert Counter((r.event_id, r.crawl_id, r.domain, (r.ts, r.url, r.offset)) for r in got.collect()) == left
+    assert set(got.columns) == set(index.match(pages, own).columns)
+    assert Counter((r.event_id, r.crawl_id, r.domain, (r.ts, r.url, r.offset)) for r in index.cap_hits(index.match(pages, own), ("d2",), profile).collect()) == left
+
+
+def test_no_specs_no_hits(spark):
+    pages, own, _, _ = captures_and_specs(spark)
+    for f in (index.match, index.hit_counts, index.capped_match, index.zero_hit_events):
+        assert f(pages, own.limit(0)).count() == 0
+    assert index.hit_counts(pages.limit(0), own).count() == 0 and index.zero_hit_events(pages.limit(0), own).count() == 43
+
+
 def test_lookup(spark):
     left = spark.createDataFrame([(1, "a", "old"), (2, "a", "x"), (2, "a", "x"), (None, "a", "y")], "k int, v string, url string")
     right = spark.createDataFrame([(1, "u2", 2), (1, "u1", 1), (3, "u3", 1), (None, "u0", 1)], "k int, url string, at int")
