@@ -49,9 +49,12 @@ def predict(model: PipelineModel, rows: DataFrame, threshold: float = 0.5) -> Da
 def guess_language(c, head: int = 3000, least: int = 50):
     """The language with the most stop words among the first characters; short texts are unknown, ties go by name."""
     words = F.split(F.lower(F.left(F.coalesce(c, F.lit("")), F.lit(head))), r"[^\p{L}]+")
-    count = lambda lang: F.size(F.filter(words, lambda w: w.isin(STOP_WORDS[lang])))
-    best = F.array_max(F.array(*(F.struct(count(k).alias("n"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, k in enumerate(sorted(STOP_WORDS)))))
-    return F.when((F.length(F.coalesce(c, F.lit(""))) < least) | (best["n"] == 0), "unknown").otherwise(best["k"])
+    known = F.filter(words, lambda w: w.isin(sorted(set().union(*STOP_WORDS.values()))))
+    count = lambda ws, lang: F.size(F.filter(ws, lambda w: w.isin(STOP_WORDS[lang])))
+    # an array of one: what a lambda takes is made once, however often its body names it
+    best = F.transform(F.array(known), lambda ws: F.array_max(F.array(*(F.struct(count(ws, k).alias("n"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, k in enumerate(sorted(STOP_WORDS))))))
+    told = F.transform(best, lambda b: F.when(b["n"] > 0, b["k"]).otherwise("unknown"))
+    return F.when(F.length(F.coalesce(c, F.lit(""))) < least, "unknown").otherwise(told[0])
 
 
 #: Characters that a language is told by, and texts that are too short for it.

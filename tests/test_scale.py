@@ -10,9 +10,10 @@ import pytest
 from conftest import plain
 from pyspark.sql import functions as F
 
-from millrace.functions import plan
+from millrace import session
+from millrace.functions import plan, text
 from millrace.operators import coverage, dedup, enrich, index, metrics, ordinal, pointers, relevance, report, sampling
-from millrace.plans import queries
+from millrace.plans import queries, refine
 from millrace.profile import DEFAULT
 from millrace.sources import readers
 
@@ -135,6 +136,60 @@ def test_coverage_of_repeated_events(spark):
     assert got == [(1, "PARTIAL", ["a"])] * 3 + [(2, "NO_CRAWL", [])] * 2
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """Columns of each table that a step writes."""
+    seen = []
+    for module in (ordinal, report, queries, plan):
+        monkeypatch.setattr(module, "materialised", lambda df, f=session.materialised: seen.append(df.columns) or f(df))
+    return seen
+
+
+def texts_read(df):
+    """How often a plan cleans texts."""
+    return executed(df).count("accept cookies")
+
+
+def test_rejected_rows_alone(spark, sf, monkeypatch):
+    monkeypatch.setattr(refine.dedup, "flag_duplicates", None)  # kept rows aren't made
+    got = queries.refine_rejected(spark, sf)
+    assert texts_read(got) == 1 and got.count() > 1
+
+
+def test_only_keys_are_written_for_duplicates(spark, sf, written):
+    for f in (queries.exact_dedup, queries.duplicate_rates):
+        written.clear()
+        assert f(spark, sf).count() > 0
+        assert any("text_hash" in c for c in written) and not any({"raw_text", "clean_text", "page_title"} & set(c) for c in written)
+
+
+def test_flags_of_hashes_and_texts(spark):
+    rows = [(1, 1, "https://e/a", "1", "T"), (2, 1, "https://e/b", "2", "T"), (3, 2, "https://e/c", "1", "T"), (4, 2, None, None, None)]
+    rows = spark.createDataFrame(rows, "doc_id int, event_id int, url string, timestamp string, clean_text string")
+    hashed = rows.withColumn("text_hash", text.text_hash(F.col("clean_text"))).drop("clean_text")
+    flags = ["doc_id", "text_hash", "is_content_duplicate", "duplicate_group_id", "cross_event_shared"]
+    assert plain(dedup.flag_duplicates(rows).select(flags).toPandas()) == plain(dedup.flag_duplicates(hashed).select(flags).toPandas())
+
+
+def test_texts_are_cleaned_once(spark, sf, written):
+    for f in (queries.dropout_stage, queries.sorted_report, queries.report_numbered, queries.nlp_input):
+        written.clear()
+        assert texts_read(f(spark, sf)) == 0, f  # what is left to do reads written rows
+        assert not any({"raw_text", "clean_text", "page_title"} & set(c) for c in written), f
+
+
+def test_sorted_rows_are_in_order(spark):
+    rows = [(e, bool(a), bool(r), f, d) for d, (e, a, r, f) in enumerate([(2, 0, 1, 1), (1, 0, 0, 9), (1, 1, 1, 2), (1, 0, 1, 3), (1, 0, 1, 3), (None, 0, 0, 0)])]
+    got = report.sorted_rows(spark.createDataFrame(rows, "event_id int, is_event_article boolean, is_relevant boolean, flood_term_hits int, doc_id int").repartition(3)).collect()
+    assert [r.doc_id for r in got] == [5, 2, 3, 4, 1, 0]
+
+
+def test_only_ranks_are_written(spark, sf, written):
+    got = queries.retrieval_rank(spark, sf)
+    assert got.count() == 6000 and all(len(c) <= 6 for c in written)
+    assert "SortMergeJoin" not in executed(got)  # 60 groups are looked up
+
+
 def captures_and_specs(spark):
     rng = random.Random(5)
     at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
