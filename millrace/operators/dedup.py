@@ -18,15 +18,17 @@ def _group(where):
 
 
 def flag_duplicates(articles: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
-    """articles (doc_id, event_id, url, timestamp, clean_text) with text_hash, is_content_duplicate, duplicate_group_id
-    and cross_event_shared.
+    """articles (doc_id, event_id, url, timestamp, clean_text or its text_hash) with text_hash, is_content_duplicate,
+    duplicate_group_id and cross_event_shared.
 
     The earliest row of a normalised URL stays; among what stays, the earliest of a text. A text belongs to the event
     with the least id that has it, and its copies elsewhere are marked as shared. Rows without a URL or text are no
-    duplicates by it; of rows that repeat one in all of this, one stays. Articles are written once; only their keys go
-    through the comparisons, and the flags come back by row number.
+    duplicates by it; of rows that repeat one in all of this, one stays. Articles are written once, with all columns that
+    they have here; only their keys go through the comparisons, and the flags come back by row number.
     """
-    rows = ordinal.with_row(articles.withColumns({"text_hash": text.text_hash(F.col("clean_text")), "_url": urls.normalise(F.col("url"), profile)}))
+    if "text_hash" not in articles.columns:
+        articles = articles.withColumn("text_hash", text.text_hash(F.col("clean_text")))
+    rows = ordinal.with_row(articles.withColumn("_url", urls.normalise(F.col("url"), profile)))
     keys = rows.select("_row", "event_id", "doc_id", "timestamp", "text_hash", "_url")
     by_url = ordinal.first_rows(keys.filter("_url <> ''"), ["event_id", "_url"], _order())
     rows = ordinal.marked(rows, by_url, "_first_url").withColumn("_by_url", (F.col("_url") != "") & ~F.col("_first_url"))
