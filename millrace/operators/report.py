@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import materialised
 from . import ordinal
 
 
@@ -69,13 +70,15 @@ def _order(spec):
 
 
 def sorted_rows(rows: DataFrame, order=REPORT_ORDER) -> DataFrame:
-    return rows.orderBy(*_order(order))
+    """rows in order. They are written first: an order takes a sample of its rows, and would make each of them twice."""
+    return materialised(rows).orderBy(*_order(order))
 
 
 def numbered(rows: DataFrame, order=REPORT_ORDER, within: str | None = None) -> DataFrame:
-    """doc_num from 1 on, over all rows or within a column. Rows are range-partitioned once and written; a row's number is
-    its place in its partition and the sizes of those before, so no task sees every row of the table or of a group."""
-    keys = _order(order)
+    """doc_num from 1 on, over all rows or within a column. Rows are written, range-partitioned once and written in order; a
+    row's number is its place in its partition and the sizes of those before, so no task sees every row of the table or of
+    a group. Bring only the columns that are wanted."""
+    rows, keys = materialised(rows), _order(order)
     out = ordinal.within(rows, [within], keys, "doc_num") if within else ordinal.numbered(rows, keys, "doc_num")
     return out.withColumn("doc_num", F.col("doc_num").cast("int"))
 
