@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.plan import lookup
 from ..session import materialised
 
 _BITS = 33  # of the place within a partition
@@ -50,7 +51,7 @@ def within(df: DataFrame, groups: list[str], order, name: str = "_n") -> DataFra
     for i, g in enumerate(groups):
         same = F.col(g).eqNullSafe(F.col(f"_g{i}"))
         on = same if on is None else on & same
-    return rows.join(first, on).withColumn(name, F.col("_all") - F.col("_least") + 1).drop("_all", "_least", *(f"_g{i}" for i in range(len(groups))))
+    return rows.join(lookup(first), on).withColumn(name, F.col("_all") - F.col("_least") + 1).drop("_all", "_least", *(f"_g{i}" for i in range(len(groups))))
 
 
 def sums_before(df: DataFrame, order, columns: list[str]) -> DataFrame:
