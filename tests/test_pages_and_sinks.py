@@ -143,3 +143,11 @@ def test_language_model(spark, sf):
     assert len(known) > 200 and (known.language == known.lang).mean() > 0.95
     odd = classify.languages_of(model, spark.createDataFrame([(1, None), (2, "short"), (3, "1234567890 " * 9)], "doc_id int, text string")).toPandas()
     assert odd.language.tolist()[:2] == ["unknown", "unknown"] and len(odd) == 3
+
+
+def test_pages_are_read_in_slices():
+    import pyarrow as pa
+
+    parts = list(archive._read([pa.array(["<title>t</title><p>x"] * 1000), pa.array(["y" * archive._BYTES, None, "z"]), pa.array([], pa.string())], archive._page))
+    assert [len(p) for p in parts] == [256, 256, 256, 232, 1, 2, 0]  # no slice holds a whole batch of ten thousand pages
+    assert parts[0][0].as_py()["page_title"] == "t" and parts[5][0].as_py()["extraction_error"] == "no text"
