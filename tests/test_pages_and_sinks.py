@@ -151,3 +151,8 @@ def test_pages_are_read_in_slices():
     parts = list(archive._read([pa.array(["<title>t</title><p>x"] * 1000), pa.array(["y" * archive._BYTES, None, "z"]), pa.array([], pa.string())], archive._page))
     assert [len(p) for p in parts] == [256, 256, 256, 232, 1, 2, 0]  # no slice holds a whole batch of ten thousand pages
     assert parts[0][0].as_py()["page_title"] == "t" and parts[5][0].as_py()["extraction_error"] == "no text"
+
+
+@pytest.mark.parametrize("title, want", [("a &quot;b&quot; &amp; c", 'a "b" & c'), ("&amp;lt;b&amp;gt;", "&lt;b&gt;"), ("&amp;amp;quot;", "&amp;quot;")])
+def test_titles_are_unescaped_once(title, want):
+    assert archive.read_page(f"<title> {title} </title>")["page_title"] == want
